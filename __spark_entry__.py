@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oracles import ORACLES
-from storepulse.functions.texts import parse_log_line
 from storepulse.functions.numbers import line_amount
+from storepulse.functions.texts import parse_log_line
 from storepulse.operators.inspect import preview, profile, sample_with_replacement
+from storepulse.operators.joins import hold_few, lookup_few
 from storepulse.plans import delivery, kpis, reports
 from storepulse.schemas import ORDER_EVENT, SALE_EVENT, TABLES
 from storepulse.sinks.tables import write_lines, write_sales_by_month
@@ -56,7 +57,7 @@ def kpi_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.spend_by_segment(
-        tables.totals_per_customer(spark, sf_dir), tables.customers(spark, sf_dir)
+        tables.totals_per_customer(spark, sf_dir), tables.segments(spark, sf_dir)
     )
 
 
@@ -90,11 +91,11 @@ def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten sale lines, enriched after they have been picked."""
-    first = preview(
-        tables.lines(spark, sf_dir), 10, *map(F.col, (
-            "order_id", "product_id", "store_id", "line_number", "shipped_at", "amount"))
-    )
-    return tables.enriched_sales(spark, sf_dir, only=first).select(
+    order = ("order_id", "product_id", "store_id", "line_number", "shipped_at", "amount")
+    shown = hold_few(preview(tables.lines(spark, sf_dir), 10, *map(F.col, order)), 10)
+    shown = hold_few(lookup_few(shown, tables.sale_orders(spark, sf_dir), "order_id"), 10)
+    shown = lookup_few(shown, tables.customers(spark, sf_dir), "customer_id")
+    return lookup_few(shown, tables.products(spark, sf_dir), "product_id").select(
         "order_id", "customer_name", "product_name", "category", "quantity", "amount", "stock"
     )
 
@@ -122,7 +123,7 @@ def top_low_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 def revenue_share_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.revenue_share(
         kpis.totals_by(tables.totals_per_customer(spark, sf_dir),
-                       tables.customers(spark, sf_dir), "customer_id", "segment"),
+                       tables.segments(spark, sf_dir), "customer_id", "segment"),
         "segment",
     )
 

@@ -37,16 +37,24 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str,
     return joined
 
 
-def lookup_few(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Left join for the few rows a top-n or a preview has left over.
+def hold_few(rows: DataFrame, n: int) -> DataFrame:
+    """The at most ``n`` rows of a top-n or preview, fetched once and kept.
 
-    The rows go to the dimension rather than the dimension to the rows: a large
-    dimension is filtered where it lies and never shuffled. Only for ``rows`` that
-    come out of a ``limit``, which is what bounds both broadcasts.
+    Without this, everything built on those rows would find them anew.
     """
-    wanted = F.broadcast(rows.select(key).distinct())
-    found = dimension.join(wanted, key, "left_semi")
-    return rows.join(found, key, "left")
+    return rows.sparkSession.createDataFrame(rows.limit(n).collect(), rows.schema)
+
+
+def lookup_few(held: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Left join for rows kept by ``hold_few``.
+
+    Their keys become a filter on the dimension, which parquet applies to row
+    groups: a dimension of any size is neither shuffled nor read in full. What is
+    broadcast is the dimension rows of those few keys.
+    """
+    keys = [row[0] for row in held.select(key).distinct().collect() if row[0] is not None]
+    found = dimension.filter(F.col(key).isin(keys))
+    return held.join(F.broadcast(found), key, "left")
 
 
 def latest_per_key(rows: DataFrame, key: str, version: str) -> DataFrame:

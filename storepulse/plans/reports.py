@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from storepulse.functions.numbers import half_up_ratio, thousands_label
-from storepulse.operators.joins import lookup_few
+from storepulse.operators.joins import hold_few, lookup_few
 from storepulse.operators.ranking import top_n
 
 
@@ -22,7 +22,7 @@ def top_low_stock(low_stock: DataFrame, n: int = 10) -> DataFrame:
 def top_products_by_units(sales: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """The n products sold most often by units; names are fetched for those n only."""
     units = sales.groupBy("product_id").agg(F.sum("quantity").alias("units"))
-    best = top_n(units, n, F.desc("units"), F.col("product_id"))
+    best = hold_few(top_n(units, n, F.desc("units"), F.col("product_id")), n)
     names = products.select("product_id", "product_name")
     return lookup_few(best, names, "product_id").select("product_id", "product_name", "units")
 
@@ -30,12 +30,14 @@ def top_products_by_units(sales: DataFrame, products: DataFrame, n: int = 10) ->
 def revenue_share(grouped: DataFrame, group: str) -> DataFrame:
     """Share of all revenue per group, in percent with one decimal.
 
-    The total is a scalar subquery over the grouped totals, which reuses their
-    shuffle; no row passes through an unpartitioned window.
+    The total is a scalar subquery over the grouped totals, whose shuffle it
+    shares; no row passes through an unpartitioned window.
     """
-    total = grouped.agg(F.sum("cents").alias("total")).scalar()
-    permille = half_up_ratio(F.col("cents") * 1000, total)
-    return grouped.select(group, (permille.cast("double") / 10).alias("share_pct"))
+    total = grouped.agg(F.sum("cents")).scalar()
+    permille = half_up_ratio(F.col("cents") * 1000, F.col("total"))
+    return grouped.select(group, "cents", total.alias("total")).select(
+        group, (permille.cast("double") / 10).alias("share_pct")
+    )
 
 
 def revenue_labels(report: DataFrame, group: str, value: str = "revenue") -> DataFrame:

@@ -33,6 +33,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their segment, for reports that need no city."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment")
+    )
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
@@ -79,24 +86,28 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).withColumnRenamed("store_id", "courier_id")
 
 
-def enriched_sales(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
-    """Every sale line (or those of ``only``) with order, customer, product and store.
+def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sale line with its order, customer, product and store.
 
     Customers are attached to orders first, so that the join on customer moves
     orders and not the several times as many, wider lines.
     """
-    known_orders = lookup(
-        orders(spark, sf_dir).select("order_id", "customer_id", F.col("ordered_at").alias("sold_at")),
-        customers(spark, sf_dir), "customer_id",
-    )
-    sold = (lines(spark, sf_dir) if only is None else only).drop(
-        "discount_pct", "shipped_at", "cancelled"
-    )
-    with_order = lookup(sold, known_orders, "order_id")
+    known_orders = lookup(sale_orders(spark, sf_dir), customers(spark, sf_dir), "customer_id")
+    with_order = lookup(sale_lines(spark, sf_dir), known_orders, "order_id")
     with_product = lookup(with_order, products(spark, sf_dir), "product_id")
     return lookup(with_product, stores(spark, sf_dir), "store_id")
 
 
+def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines(spark, sf_dir).drop("discount_pct", "shipped_at", "cancelled")
+
+
+def sale_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders(spark, sf_dir).select(
+        "order_id", "customer_id", F.col("ordered_at").alias("sold_at")
+    )
+
+
 def totals_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(lines(spark, sf_dir), "product_id")
 
@@ -122,7 +133,7 @@ def campaign_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("n_discounts").alias("n_discounts"),
         F.sum("discounts").alias("discounts"),
     )
-    return lookup(per_customer, customers(spark, sf_dir).select("customer_id", "segment"), "customer_id")
+    return lookup(per_customer, segments(spark, sf_dir), "customer_id")
 
 
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
