@@ -14,7 +14,8 @@ from oracles import ORACLES
 from storepulse.functions.numbers import line_amount
 from storepulse.functions.texts import parse_log_line
 from storepulse.operators.inspect import preview, profile, sample_with_replacement
-from storepulse.operators.joins import hold_few, lookup_few
+from storepulse.operators.joins import hold_few, lookup, lookup_few
+from storepulse.operators.skew import hot_keys
 from storepulse.plans import delivery, kpis, reports
 from storepulse.schemas import ORDER_EVENT, SALE_EVENT, TABLES
 from storepulse.sinks.tables import write_lines, write_sales_by_month
@@ -80,7 +81,8 @@ def campaigns_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sale_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = tables.products(spark, sf_dir).select("product_id", "price")
     sold = tables.lines(spark, sf_dir).select("order_id", "line_number", "product_id", "quantity")
-    return sold.join(prices, "product_id", "left").withColumn(
+    hot = hot_keys(sold, "product_id")["product_id"]
+    return lookup(sold, prices, "product_id", hot=hot).withColumn(
         "amount", line_amount(F.col("price"), F.col("quantity"))
     )
 
@@ -191,6 +193,7 @@ def sale_events(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
     enriched = messages.enrich_events(
         tables.event_sales(tables.events(spark, sf_dir, stream)),
         tables.customers(spark, sf_dir), tables.products(spark, sf_dir),
+        tables.hot_event_keys(spark, sf_dir),
     )
     return tables.text_ids(messages.score_events(enriched, F.col("k")))
 
@@ -284,7 +287,8 @@ def stream_windowed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = messages.to_messages(
         tables.order_events(
-            tables.events(spark, sf_dir, stream=True), tables.customers(spark, sf_dir)
+            tables.events(spark, sf_dir, stream=True), tables.customers(spark, sf_dir),
+            tables.hot_event_keys(spark, sf_dir),
         ),
         ORDER_EVENT, "order_id", F.col("event_time"),
     )

@@ -4,30 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from storepulse.operators.skew import Hot, repeat_dimension, spread_facts
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str,
-           defaults: Mapping[str, object] | None = None,
-           salt: int = 1, spread: Column | None = None) -> DataFrame:
+           defaults: Mapping[str, object] | None = None, hot: Hot | None = None) -> DataFrame:
     """Left join on ``key``; ``defaults`` replace what no dimension row supplied.
 
-    No broadcast hint: Spark broadcasts a dimension whose size is below
-    ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges a larger one, where
-    AQE splits a partition that one hot key has blown up.
-
-    AQE is off inside stateful streaming queries. There, pass ``salt`` > 1 to
-    spread each key over that many partitions; the dimension is repeated as often.
-    ``spread`` must vary within a key and be a function of the row, so that
-    retried tasks send a row to the same place.
+    No broadcast hint: Spark broadcasts a dimension it measures below
+    ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges a larger one. So that
+    a hot key does not then leave one task with all its facts, the keys in ``hot``
+    (from ``operators.skew.hot_keys``) are spread over several tasks each.
     """
-    if salt > 1:
-        if spread is None:
-            raise ValueError("salt needs a spread column")
-        facts = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salt)).cast("int"))
-        slots = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
-        joined = facts.join(dimension.withColumn("_salt", slots), [key, "_salt"], "left")
-        joined = joined.drop("_salt")
+    if hot:
+        joined = spread_facts(facts, key, hot).join(
+            repeat_dimension(dimension, key, hot), [key, "_slot"], "left"
+        ).drop("_slot")
     else:
         joined = facts.join(dimension, key, "left")
     if defaults:

@@ -1,0 +1,67 @@
+"""Finding keys that hold more rows than one task should process, and spreading them."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# Rows of one key beyond which a join spreads them over several tasks.
+ROWS_PER_TASK = 200_000
+
+# Hash of a key -> number of tasks to spread the key's rows over, a power of two.
+Hot = Mapping[int, int]
+
+
+def hot_keys(rows: DataFrame, *keys: str, fraction: float = 0.001,
+             rows_per_task: int = ROWS_PER_TASK, most: int = 1_000) -> dict[str, Hot]:
+    """The hottest values of each key column, by a count over a row sample.
+
+    One job that reads only the key columns and shuffles only the sample's counts.
+    What it finds decides how ``operators.joins.lookup`` distributes rows, never
+    which rows come out: a key it misses is joined like any other, so the ``most``
+    keys the driver holds are no limit on the data. Keys go by their hash, which
+    also covers NULL; two keys under one hash are both spread.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashes = rows.select(*[F.xxhash64(key).alias(key) for key in keys])
+    sampled = hashes.sample(fraction=fraction, seed=1)
+    counts = sampled.unpivot([], list(keys), "key", "hash").groupBy("key", "hash").count()
+    hottest = (
+        counts.filter(F.col("count") >= rows_per_task * fraction)
+        .orderBy(F.desc("count"))
+        .limit(most)
+        .collect()
+    )
+    found: dict[str, dict[int, int]] = {key: {} for key in keys}
+    for row in hottest:
+        tasks = min(round(row["count"] / fraction / rows_per_task) + 1, 4 * partitions)
+        found[row["key"]][row["hash"]] = 1 << (tasks - 1).bit_length()
+    return found
+
+
+def slots(key: str, hot: Hot) -> Column:
+    """Number of tasks a key is spread over: 1 unless the key is hot.
+
+    One set membership test per power of two, however many keys are hot. Plain
+    expressions rather than a join leave Spark its size estimate of the dimension,
+    and so its choice of a broadcast.
+    """
+    by_number: dict[int, list[int]] = {}
+    for hashed, number in hot.items():
+        by_number.setdefault(number, []).append(hashed)
+    result: Column = F.lit(1)
+    for number, hashes in by_number.items():
+        result = F.when(F.xxhash64(key).isin(hashes), number).otherwise(result)
+    return result
+
+
+def spread_facts(facts: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """Facts with a slot drawn from the whole row, so that retried tasks agree."""
+    slot = F.pmod(F.xxhash64(*facts.columns), slots(key, hot)).cast("int")
+    return facts.withColumn("_slot", F.when(slots(key, hot) == 1, 0).otherwise(slot))
+
+
+def repeat_dimension(dimension: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """Dimension rows once per slot of their key."""
+    return dimension.withColumn("_slot", F.explode(F.sequence(F.lit(0), slots(key, hot) - 1)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from storepulse.operators.skew import hot_keys
 from storepulse.operators.totals import totals
 from storepulse.plans import kpis
 from storepulse.plans.sales import enrich_sales
@@ -53,7 +54,8 @@ def run(spark: SparkSession, raw: str, out: str) -> dict[str, DataFrame]:
     products = files.read_products(spark, f"{raw}/inventario_productos.json")
     campaigns = files.read_campaigns(spark, f"{raw}/campanas_marketing.json")
 
-    write_sales_by_month(enrich_sales(sales, customers, products), f"{out}/sales_enriched")
+    hot = hot_keys(sales, "customer_id", "product_id")
+    write_sales_by_month(enrich_sales(sales, customers, products, hot), f"{out}/sales_enriched")
     enriched = files.read_parquet(spark, f"{out}/sales_enriched")
     # From here on sales come from the columnar copy; no report parses CSV again.
     results = reports(enriched, customers, products, campaigns)

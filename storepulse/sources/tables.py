@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from storepulse import schemas
 from storepulse.functions import texts
 from storepulse.operators.joins import lookup
+from storepulse.operators.skew import Hot, hot_keys
 from storepulse.operators.totals import merge, totals
 from storepulse.plans.kpis import campaign_totals
 from storepulse.sources.streams import parquet_files
@@ -92,10 +95,16 @@ def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     Customers are attached to orders first, so that the join on customer moves
     orders and not the several times as many, wider lines.
     """
-    known_orders = lookup(sale_orders(spark, sf_dir), customers(spark, sf_dir), "customer_id")
-    with_order = lookup(sale_lines(spark, sf_dir), known_orders, "order_id")
-    with_product = lookup(with_order, products(spark, sf_dir), "product_id")
-    return lookup(with_product, stores(spark, sf_dir), "store_id")
+    sold, placed = sale_lines(spark, sf_dir), sale_orders(spark, sf_dir)
+    hot = {**hot_keys(sold, "order_id", "product_id", "store_id"), **hot_keys(placed, "customer_id")}
+    known_orders = lookup(
+        placed, customers(spark, sf_dir), "customer_id", hot=hot["customer_id"]
+    )
+    with_order = lookup(sold, known_orders, "order_id", hot=hot["order_id"])
+    with_product = lookup(
+        with_order, products(spark, sf_dir), "product_id", hot=hot["product_id"]
+    )
+    return lookup(with_product, stores(spark, sf_dir), "store_id", hot=hot["store_id"])
 
 
 def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +180,11 @@ def event_sales(raw: DataFrame) -> DataFrame:
     )
 
 
+def hot_event_keys(spark: SparkSession, sf_dir: str) -> dict[str, Hot]:
+    """Hot customers and products among the events at rest."""
+    return hot_keys(event_sales(events(spark, sf_dir)), "customer_id", "product_id")
+
+
 def text_ids(scored: DataFrame) -> DataFrame:
     """Numeric keys of enriched events as the padded text ids messages carry."""
     return scored.withColumns({
@@ -191,7 +205,7 @@ ORDER_KINDS = {
 }
 
 
-def order_events(raw: DataFrame, buyers: DataFrame) -> DataFrame:
+def order_events(raw: DataFrame, buyers: DataFrame, hot: Mapping[str, Hot]) -> DataFrame:
     """Events as delivery messages; each kind fills its own fields only."""
     kind = F.create_map(*[F.lit(x) for pair in ORDER_KINDS.items() for x in pair])[F.col("event_type")]
     k = F.col("k")
@@ -200,8 +214,11 @@ def order_events(raw: DataFrame, buyers: DataFrame) -> DataFrame:
         return F.when(F.col("event_type").isin(*kinds), value)
 
     reason = F.format_string("reason %d", k % 5)
-    located = lookup(raw.withColumnRenamed("user_id", "customer_id"),
-                     buyers.select("customer_id", F.col("city").alias("district")), "customer_id")
+    located = lookup(
+        raw.withColumnRenamed("user_id", "customer_id"),
+        buyers.select("customer_id", F.col("city").alias("district")),
+        "customer_id", hot=hot["customer_id"],
+    )
     return located.withColumn("event_type", kind).select(
         texts.padded_id(texts.EVENT_ID, F.col("event_id")).alias("event_id"),
         texts.padded_id(texts.SALE_ID, F.col("event_id")).alias("order_id"),

@@ -6,6 +6,8 @@ serves batch and streaming frames alike.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -13,6 +15,7 @@ from storepulse.functions.numbers import line_amount
 from storepulse.functions.risk import is_risky, key_position, risk_score
 from storepulse.functions.texts import iso_seconds, moment
 from storepulse.operators.joins import lookup
+from storepulse.operators.skew import Hot
 from storepulse.schemas import SALE_EVENT
 
 # Fixed value: what a message says where the sale's customer or product is unknown.
@@ -23,18 +26,18 @@ PRODUCT_DEFAULTS = {"product_name": UNKNOWN, "category": UNKNOWN, "stock": 0, "s
 
 
 def enrich_events(sales: DataFrame, customers: DataFrame, products: DataFrame,
-                  salt: int = 1) -> DataFrame:
+                  hot: Mapping[str, Hot] | None = None) -> DataFrame:
     """Sales with customer, city, product, category and stock, or their defaults.
 
-    ``salt`` as in ``operators.joins.lookup``, spread by event.
+    ``hot`` lists the hot values of ``customer_id`` and ``product_id``. A stream
+    cannot be counted beforehand; take them from events at rest.
     """
-    spread = F.col("event_id")
+    hot = hot or {}
     customers = customers.select("customer_id", *CUSTOMER_DEFAULTS)
     products = products.select("product_id", *PRODUCT_DEFAULTS)
-    with_customer = lookup(sales, customers, "customer_id", CUSTOMER_DEFAULTS, salt, spread)
-    return lookup(with_customer, products, "product_id", PRODUCT_DEFAULTS, salt, spread).withColumn(
-        "store", F.coalesce("store", F.lit(UNKNOWN))
-    )
+    bought = lookup(sales, customers, "customer_id", CUSTOMER_DEFAULTS, hot.get("customer_id"))
+    known = lookup(bought, products, "product_id", PRODUCT_DEFAULTS, hot.get("product_id"))
+    return known.withColumn("store", F.coalesce("store", F.lit(UNKNOWN)))
 
 
 def score_events(enriched: DataFrame, position: Column | None = None) -> DataFrame:
