@@ -208,13 +208,21 @@ def parsed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.parse_messages(sale_messages(spark, sf_dir, stream=True))
 
 
-def run_batches(spark: SparkSession, sf_dir: str, *outputs: str) -> str:
-    """Run the sales stream to the end of its source; gives where it wrote."""
+def run_batches(spark: SparkSession, sf_dir: str, name: str, *outputs: str) -> DataFrame:
+    """Run the sales stream to the end of its source; gives all batches of one output."""
     out = scratch_path(spark, "sales-stream")
-    batches.run_to_end(batches.start_sales_stream(
-        parsed_stream(spark, sf_dir), out, outputs, availableNow=True
-    ))
-    return out
+    parsed = parsed_stream(spark, sf_dir)
+    batches.run_to_end(batches.start_sales_stream(parsed, out, outputs, availableNow=True))
+    schema = parsed.schema if name == "events" else batches.DERIVED[name](parsed).schema
+    return batches.read_output(spark, out, name, schema)
+
+
+def run_rows(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Run a stateless stream to the end of its source; gives all its rows."""
+    out = scratch_path(spark, "rows")
+    writer = aggregates.update_writer(out, "rows")
+    batches.run_to_end(batches.start(rows, out, writer, availableNow=True))
+    return batches.read_output(spark, out, "rows", rows.schema).drop("batch_id")
 
 
 def run_updates(spark: SparkSession, summary: DataFrame, *keys: str) -> DataFrame:
@@ -226,9 +234,7 @@ def run_updates(spark: SparkSession, summary: DataFrame, *keys: str) -> DataFram
 
 def derived_output(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = run_batches(spark, sf_dir, name)
-        schema = batches.DERIVED[name](parsed_stream(spark, sf_dir)).schema
-        return with_plain_times(batches.read_output(spark, out, name, schema))
+        return with_plain_times(run_batches(spark, sf_dir, name, name))
 
     return query
 
@@ -239,31 +245,24 @@ def events_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = run_batches(spark, sf_dir, *batches.DERIVED)
-    written = batches.read_output(spark, out, "events", parsed_stream(spark, sf_dir).schema)
+    """The whole fan-out: events, alerts, both summaries and dead letters."""
+    written = run_batches(spark, sf_dir, "events", *batches.DERIVED)
     # The processing time is the clock's, which no oracle knows.
     return with_plain_times(written.drop("processing_timestamp", "corrupt_record"))
 
 
 def stream_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = run_batches(spark, sf_dir)
-    written = batches.read_output(spark, out, "events", parsed_stream(spark, sf_dir).schema)
-    return with_plain_times(
-        written.select("message_key", "kafka_timestamp", *SALE_EVENT.fieldNames())
-    )
+    return with_plain_times(run_rows(spark, parsed_stream(spark, sf_dir)).select(
+        "message_key", "kafka_timestamp", *SALE_EVENT.fieldNames()
+    ))
 
 
 def stream_enrich_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream joined to static tables, with defaults where they have no row."""
-    out = scratch_path(spark, "enriched")
-    enriched = sale_events(spark, sf_dir, stream=True).select(
+    return run_rows(spark, sale_events(spark, sf_dir, stream=True).select(
         "event_id", "customer_id", "product_id", "customer_name", "city", "product_name",
         "category", "store", "stock_actual", "stock_minimo",
-    )
-    batches.run_to_end(
-        batches.start(enriched, out, aggregates.update_writer(out, "enriched"), availableNow=True)
-    )
-    return batches.read_output(spark, out, "enriched", enriched.schema).drop("batch_id")
+    ))
 
 
 def risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,14 +307,8 @@ def stream_cancellations_by_reason(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def stream_delay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_path(spark, "delays")
     late = aggregates.delay_alerts(order_stream(spark, sf_dir))
-    batches.run_to_end(
-        batches.start(late, out, aggregates.update_writer(out, "delays"), availableNow=True)
-    )
-    return with_plain_times(
-        batches.read_output(spark, out, "delays", late.schema).drop("batch_id")
-    )
+    return with_plain_times(run_rows(spark, late))
 
 
 def stream_low_rating(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,11 @@ def hot_keys(rows: DataFrame, *keys: str, fraction: float = 0.001,
     keys the driver holds are no limit on the data. Keys go by their hash, which
     also covers NULL; two keys under one hash are both spread.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    settings = rows.sparkSession.conf
+    partitions = int(
+        settings.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or settings.get("spark.sql.shuffle.partitions")
+    )
     hashes = rows.select(*[F.xxhash64(key).alias(key) for key in keys])
     sampled = hashes.sample(fraction=fraction, seed=1)
     counts = sampled.unpivot([], list(keys), "key", "hash").groupBy("key", "hash").count()

@@ -16,3 +16,9 @@ def enrich_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
     hot = hot or {}
     bought = lookup(sales, customers, "customer_id", hot=hot.get("customer_id"))
     return lookup(bought, products, "product_id", hot=hot.get("product_id"))
+
+
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make frames available to ``spark.sql`` under their names."""
+    for name, rows in tables.items():
+        rows.createOrReplaceTempView(name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# No partition counts and no master: those belong to the deployment.
+# No master: that belongs to the deployment.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     # Row-level joins rely on AQE: it switches to broadcast only after measuring
@@ -18,9 +18,28 @@ RECOMMENDED = {
 }
 
 
-def builder(app_name: str = "storepulse") -> SparkSession.Builder:
-    """A session builder with the recommended settings; add master and sizes."""
+# Shuffle bytes per task. Well under an executor core's memory, so that sorts and
+# hash tables of ordinary partitions do not spill.
+BYTES_PER_TASK = 256 << 20
+
+
+def shuffle_settings(shuffled_bytes: int) -> dict[str, str]:
+    """Initial number of shuffle partitions for the largest shuffle of a job.
+
+    Spark's default of 200 would make 500 GB partitions of 100 TB. AQE joins small
+    partitions again, so a generous number costs little. Streaming state is not
+    affected: it goes by ``spark.sql.shuffle.partitions``, fixed at first start.
+    """
+    partitions = min(max(200, -(-shuffled_bytes // BYTES_PER_TASK)), 400_000)
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
+
+
+def builder(app_name: str = "storepulse", shuffled_bytes: int | None = None) -> SparkSession.Builder:
+    """A session builder with the recommended settings; add master and memory."""
+    settings = dict(RECOMMENDED)
+    if shuffled_bytes is not None:
+        settings.update(shuffle_settings(shuffled_bytes))
     result = SparkSession.builder.appName(app_name)
-    for key, value in RECOMMENDED.items():
+    for key, value in settings.items():
         result = result.config(key, value)
     return result

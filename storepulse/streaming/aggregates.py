@@ -78,6 +78,7 @@ def low_ratings(current: DataFrame, limit: float = 2.5) -> DataFrame:
 
 
 def update_writer(out: str, name: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes the rows of each batch, and no more."""
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, out, name, batch_id)
 

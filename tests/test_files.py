@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from storepulse import schemas
 from storepulse.plans import batch_job
+from storepulse.plans.sales import register_views
+from storepulse.session import shuffle_settings
 from storepulse.sinks import reports as report_files, tables as sinks
 from storepulse.sources import files, streams
 from storepulse.sources.scratch import scratch_path
@@ -157,6 +159,11 @@ def test_batch_job(spark, raw, scratch):
     assert read["revenue_by_store"][1:] == ["Sur,2,110.49", '"Plaza, Norte",1,21.00']
     assert read["low_stock"][1:] == ["PROD-000001,Lámpara,Hogar,5,5,A"]
     assert read["campaigns_by_segment"][1:] == ["Premium,SMS,1,15.00"]
+    again = files.read_csv(spark, f"{out}/reports/revenue_by_store.csv",
+                           schemas.struct("store string, n_sales bigint, revenue double"))
+    assert {tuple(row) for row in again.collect()} == {("Sur", 2, 110.49), ("Plaza, Norte", 1, 21.0)}
+    register_views({"sales_view": results["sales_enriched"]})
+    assert spark.sql("select sum(quantity) from sales_view where segment = 'Premium'").first()[0] == 2
     batch_job.export(results, "json", "path", prefix=f"{out}/export/")
     assert spark.read.json(f"{out}/export/sales_enriched").count() == 3
 
@@ -184,3 +191,9 @@ def test_scratch_is_where_the_cluster_says():
 def test_schemas_need_no_session():
     assert schemas.file_schema(schemas.SALES_FIELDS).fieldNames()[0] == "id_transaccion"
     assert len(schemas.SALE_EVENT) == 17
+
+
+def test_shuffle_partitions_follow_the_data():
+    (at_100_tb,) = shuffle_settings(100 << 40).values()
+    (small,) = shuffle_settings(1 << 20).values()
+    assert (at_100_tb, small) == ("400000", "200")
