@@ -43,12 +43,11 @@ def lookup_few(held: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Left join for rows kept by ``hold_few``.
 
     Their keys become a filter on the dimension, which parquet applies to row
-    groups: a dimension of any size is neither shuffled nor read in full. What is
-    broadcast is the dimension rows of those few keys.
+    groups: of a dimension of any size only the rows of those few keys are joined.
     """
     keys = [row[0] for row in held.select(key).distinct().collect() if row[0] is not None]
     found = dimension.filter(F.col(key).isin(keys))
-    return held.join(F.broadcast(found), key, "left")
+    return held.join(found, key, "left")
 
 
 def latest_per_key(rows: DataFrame, key: str, version: str) -> DataFrame:

@@ -22,29 +22,29 @@ def write_report_csv(report: DataFrame, path: str, *order: object, max_rows: int
 
     One file means one task, so only a report of at most ``max_rows`` rows is
     written that way. A longer one is still written whole, as a directory of files
-    at the same path.
+    at the same path. The report is computed once, into a table beside the target
+    that is then counted and written out.
     """
     report = plain_numbers(report)
     spark = report.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    building = f"{path}._building-{uuid.uuid4().hex}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(building)
-    single = report.limit(max_rows + 1).count() <= max_rows
-    if single:
-        report = report.repartition(1)
-    if order:
-        report = report.sortWithinPartitions(*order) if single else report.orderBy(*order)
+    folder = f"{path}._building-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        report.write.option("header", True).csv(building)
+        report.write.parquet(f"{folder}/rows")
+        rows = spark.read.schema(report.schema).parquet(f"{folder}/rows")
+        single = rows.count() <= max_rows
         if single:
-            parts = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "part-*"))
-            ready = parts[0].getPath()
-        else:
-            ready = folder
-        files.delete(target, True)
-        if not files.rename(ready, target):
+            rows = rows.repartition(1).sortWithinPartitions(*order) if order else rows.repartition(1)
+        elif order:
+            rows = rows.orderBy(*order)
+        rows.write.option("header", True).csv(f"{folder}/csv")
+        ready = hadoop(f"{folder}/csv")
+        if single:
+            ready = files.globStatus(hadoop(ready, "part-*"))[0].getPath()
+        files.delete(hadoop(path), True)
+        if not files.rename(ready, hadoop(path)):
             raise OSError(f"could not move the report to {path}")
     finally:
-        files.delete(folder, True)
+        files.delete(hadoop(folder), True)
     return single

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from storepulse.functions.numbers import line_amount
 from storepulse.functions.risk import is_risky, key_position, risk_score
@@ -21,6 +21,10 @@ from storepulse.schemas import SALE_EVENT
 # Fixed value: what a message says where the sale's customer or product is unknown.
 UNKNOWN = "desconocido"
 
+# Beyond this, and for NaN, a number in a message is taken for an error: a double no
+# longer holds its hundredths, and totals would overflow.
+LARGEST_NUMBER = 1e13
+
 CUSTOMER_DEFAULTS = {"customer_name": UNKNOWN, "city": UNKNOWN}
 PRODUCT_DEFAULTS = {"product_name": UNKNOWN, "category": UNKNOWN, "stock": 0, "stock_minimum": 0}
 
@@ -68,8 +72,9 @@ def parse_messages(messages: DataFrame, schema: StructType = SALE_EVENT) -> Data
     """Typed events, one row per message.
 
     A message that is not readable JSON stays as a row of NULLs, so that counts
-    are those of the topic; one unreadable field is NULL by itself. In all such
-    cases, and for an unreadable event time, ``corrupt_record`` keeps the text.
+    are those of the topic. A single unreadable field, event time or number out of
+    all proportion is NULL by itself: no message can stop the stream. In all these
+    cases ``corrupt_record`` keeps the text.
     """
     text = F.col("value").cast("string")
     readable = StructType(schema.fields + [StructField("corrupt_record", StringType())])
@@ -80,13 +85,19 @@ def parse_messages(messages: DataFrame, schema: StructType = SALE_EVENT) -> Data
         text.alias("_text"),
         body.alias("_body"),
     ).select("message_key", "kafka_timestamp", "_text", "_body.*")
-    event_time = moment(F.col("event_timestamp"))
-    unreadable = F.col("_text").isNull() | (F.col("event_timestamp").isNotNull() & event_time.isNull())
+    checked = {
+        field.name: F.when(F.abs(field.name) < LARGEST_NUMBER, F.col(field.name))
+        for field in schema.fields if isinstance(field.dataType, DoubleType)
+    }
+    checked["event_timestamp"] = moment(F.col("event_timestamp"))
+    unreadable = F.col("_text").isNull()
+    for name, value in checked.items():
+        unreadable |= F.col(name).isNotNull() & value.isNull()
     return rows.withColumns({
         "corrupt_record": F.coalesce(
             "corrupt_record", F.when(unreadable, F.coalesce("_text", F.lit("")))
         ),
-        "event_timestamp": event_time,
+        **checked,
         "processing_timestamp": F.current_timestamp(),
     }).drop("_text")
 

@@ -108,6 +108,15 @@ def test_unreadable_messages_stay_as_nulls_and_go_to_the_dead_letters(spark, fol
         "{broken", bad_time, bad_field, ""}
 
 
+def test_absurd_numbers_do_not_stop_the_stream(spark, folder, out):
+    texts = ['{"event_id": "E1", "category": "Hogar", "total_amount": 1e300, "risk_score": 0.5}',
+             '{"event_id": "E2", "category": "Hogar", "total_amount": NaN, "risk_score": 0.7}']
+    stage(spark, folder, [sale(1, risk=0.6)], texts=texts)
+    run(spark, folder, out)
+    assert bag(output(spark, folder, out, "summary_by_category")) == [("Hogar", 3, 10.0, 0.6, 0)]
+    assert {row["corrupt_record"] for row in output(spark, folder, out, "dead_letter").collect()} == set(texts)
+
+
 def test_enrichment_fills_defaults(spark):
     sales = spark.createDataFrame(
         [(1, "t1", 1, 1, "Sur", 2, 800.0, datetime(2024, 5, 1)),
