@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.operators.skew import Hot, repeat_dimension, spread_facts
+from storepulse.operators.skew import Hot, can_spread, repeat_dimension, spread_facts
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str,
@@ -18,7 +18,7 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str,
     a hot key does not then leave one task with all its facts, the keys in ``hot``
     (from ``operators.skew.hot_keys``) are spread over several tasks each.
     """
-    if hot:
+    if hot and can_spread(facts, dimension, key):
         joined = spread_facts(facts, key, hot).join(
             repeat_dimension(dimension, key, hot), [key, "_slot"], "left"
         ).drop("_slot")
@@ -36,7 +36,7 @@ def hold_few(rows: DataFrame, n: int) -> DataFrame:
 
     Without this, everything built on those rows would find them anew.
     """
-    return rows.sparkSession.createDataFrame(rows.limit(n).collect(), rows.schema)
+    return rows.sparkSession.createDataFrame(rows.limit(n).toArrow(), rows.schema)
 
 
 def lookup_few(held: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -45,8 +45,8 @@ def lookup_few(held: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     Their keys become a filter on the dimension, which parquet applies to row
     groups: of a dimension of any size only the rows of those few keys are joined.
     """
-    keys = [row[0] for row in held.select(key).distinct().collect() if row[0] is not None]
-    found = dimension.filter(F.col(key).isin(keys))
+    keys = {row[0] for row in held.select(key).collect()} - {None}
+    found = dimension.filter(F.col(key).isin(*keys))
     return held.join(found, key, "left")
 
 

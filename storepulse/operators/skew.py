@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, IntegralType, StringType
 
 # Rows of one key beyond which a join spreads them over several tasks.
 ROWS_PER_TASK = 200_000
@@ -44,6 +45,18 @@ def hot_keys(rows: DataFrame, *keys: str, fraction: float = 0.001,
     return found
 
 
+def can_spread(facts: DataFrame, dimension: DataFrame, key: str) -> bool:
+    """Whether equal keys have equal hashes on both sides.
+
+    They have for whole numbers, dates and plain strings of the very same type;
+    not for an int against a bigint, for -0.0 against 0.0, or under a collation.
+    """
+    kind = facts.schema[key].dataType
+    return kind == dimension.schema[key].dataType and (
+        isinstance(kind, (IntegralType, DateType)) or kind == StringType()
+    )
+
+
 def slots(key: str, hot: Hot) -> Column:
     """Number of tasks a key is spread over: 1 unless the key is hot.
 

@@ -24,30 +24,32 @@ REPORT_ORDER = {
 }
 
 
-def reports(sales: DataFrame, customers: DataFrame, products: DataFrame,
+def sales_totals(sales: DataFrame, out: str) -> dict[str, DataFrame]:
+    """Totals by product, customer and store, written so that reports share them."""
+    keys = ("product_id", "customer_id", "store")
+    for key in keys:
+        totals(sales, key).write.mode("overwrite").parquet(f"{out}/{key}")
+    return {key: files.read_parquet(sales.sparkSession, f"{out}/{key}") for key in keys}
+
+
+def reports(by: dict[str, DataFrame], customers: DataFrame, products: DataFrame,
             campaigns: DataFrame) -> dict[str, DataFrame]:
-    """All indicators by name."""
-    per_product = totals(sales, "product_id")
-    per_customer = totals(sales, "customer_id")
-    per_store = totals(sales, "store")
+    """All indicators by name, from the totals by product, customer and store."""
     return {
-        "revenue_by_category": kpis.revenue_by_category(per_product, products),
-        "revenue_by_city": kpis.revenue_by_city(per_customer, customers),
-        "spend_by_segment": kpis.spend_by_segment(per_customer, customers),
+        "revenue_by_category": kpis.revenue_by_category(by["product_id"], products),
+        "revenue_by_city": kpis.revenue_by_city(by["customer_id"], customers),
+        "spend_by_segment": kpis.spend_by_segment(by["customer_id"], customers),
         "low_stock": kpis.low_stock(products),
         "campaigns_by_segment": kpis.campaigns_by_segment(
             kpis.campaign_totals(campaigns, "segment", "channel")
         ),
-        "revenue_by_store": kpis.revenue_by_store(per_store),
-        "sales_count_by_store": kpis.sales_count_by_store(per_store),
+        "revenue_by_store": kpis.revenue_by_store(by["store"]),
+        "sales_count_by_store": kpis.sales_count_by_store(by["store"]),
     }
 
 
 def run(spark: SparkSession, raw: str, out: str) -> dict[str, DataFrame]:
-    """Read the four raw files, write enriched sales and every report.
-
-    The file names are those the raw files come with.
-    """
+    """Read the four raw files, write enriched sales, totals and every report."""
     # Names of the input files.
     sales = files.read_sales(spark, f"{raw}/transacciones_ventas.csv")
     customers = files.read_customers(spark, f"{raw}/clientes.csv")
@@ -56,9 +58,10 @@ def run(spark: SparkSession, raw: str, out: str) -> dict[str, DataFrame]:
 
     hot = hot_keys(sales, "customer_id", "product_id")
     write_sales_by_month(enrich_sales(sales, customers, products, hot), f"{out}/sales_enriched")
-    enriched = files.read_parquet(spark, f"{out}/sales_enriched")
     # From here on sales come from the columnar copy; no report parses CSV again.
-    results = reports(enriched, customers, products, campaigns)
+    enriched = files.read_parquet(spark, f"{out}/sales_enriched")
+    by = sales_totals(enriched, f"{out}/totals")
+    results = reports(by, customers, products, campaigns)
     for name, report in results.items():
         first, column, *others = REPORT_ORDER[name]
         write_report_csv(report, f"{out}/reports/{name}.csv", first(column), *others)

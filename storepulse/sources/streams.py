@@ -25,9 +25,12 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, starting: str
 
 
 def parquet_files(spark: SparkSession, path: str, schema: StructType | str,
-                  files_per_batch: int = 1000) -> DataFrame:
+                  files_per_batch: int = 10_000) -> DataFrame:
     """Parquet files as a stream, at most ``files_per_batch`` of them per batch.
 
+    The bound keeps a backlog from arriving as one batch. It is wide, because each
+    batch reads the static side of its joins anew.
+
     ``path`` may be a directory or a single file. The file source takes a single
     file only as a pattern, so the last letter is put in a pattern of its own.
     """

@@ -65,6 +65,22 @@ def test_spreading_works_under_a_sort_merge_join(spark, facts, dimension):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_keys_of_unlike_types_are_joined_without_spreading(spark, facts, dimension):
+    """An int and a bigint are equal and hash differently."""
+    hot = {row[0]: 8 for row in spark.createDataFrame([(7,)], "key long").select(F.xxhash64("key")).collect()}
+    narrow = dimension.withColumn("key", F.col("key").cast("int"))
+    assert bag(lookup(facts, narrow, "key", hot=hot)) == bag(lookup(facts, dimension, "key"))
+    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "key double")
+    named = spark.createDataFrame([(0.0, "zero")], "key double, name string")
+    hot = {row[0]: 4 for row in zeros.select(F.xxhash64("key")).collect()}
+    assert [row["name"] for row in lookup(zeros, named, "key", hot=hot).collect()] == ["zero", "zero"]
+
+
+def test_few_rows_without_keys_keep_their_rows(spark, dimension):
+    held = hold_few(spark.createDataFrame([(None, "a")], "key long, v string"), 5)
+    assert bag(lookup_few(held, dimension, "key")) == [(None, "a", None)]
+
+
 def test_few_rows_fetch_their_dimension_rows(spark, dimension):
     rows = spark.createDataFrame([(3, "a"), (None, "b"), (500, "c"), (3, "d")], "key long, v string")
     held = hold_few(rows, 10)
