@@ -191,7 +191,7 @@ def courier_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sale_events(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
     enriched = messages.enrich_events(
-        tables.event_sales(tables.events(spark, sf_dir, stream)),
+        tables.event_sales(tables.dealt_events(spark, sf_dir, stream)),
         tables.customers(spark, sf_dir), tables.products(spark, sf_dir),
         tables.hot_event_keys(spark, sf_dir),
     )
@@ -286,7 +286,7 @@ def stream_windowed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = messages.to_messages(
         tables.order_events(
-            tables.events(spark, sf_dir, stream=True), tables.customers(spark, sf_dir),
+            tables.dealt_events(spark, sf_dir, stream=True), tables.customers(spark, sf_dir),
             tables.hot_event_keys(spark, sf_dir),
         ),
         ORDER_EVENT, "order_id", F.col("event_time"),

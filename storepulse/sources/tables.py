@@ -18,17 +18,33 @@ from storepulse.sources.streams import parquet_files
 # some names lead nowhere.
 EVENT_PRODUCTS = 2500
 
+# Up to here a nation table is small enough to be a literal of the plan.
+MOST_NATIONS = 250
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their nation as city."""
+    """Customers with their nation as city.
+
+    The nation table has 25 rows at any scale and becomes a map literal, so that
+    customers stay a plain scan whose size Spark knows. Joined to nations, their
+    estimated size would be the product of both, and facts would be shuffled where
+    a small customer table could be broadcast.
+    """
+    known = table(spark, sf_dir, "nation").limit(MOST_NATIONS + 1).collect()
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city")
     )
-    return lookup(table(spark, sf_dir, "customer"), nations, "c_nationkey").select(
+    buyers = table(spark, sf_dir, "customer")
+    if len(known) > MOST_NATIONS:
+        located = lookup(buyers, nations, "c_nationkey")
+    else:
+        names = F.create_map(*[F.lit(value) for row in known for value in row[:2]])
+        located = buyers.withColumn("city", names[F.col("c_nationkey")])
+    return located.select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         "city",
@@ -162,6 +178,18 @@ def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     return raw.withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
 
 
+def dealt_events(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
+    """Events for work that costs much per row, such as writing and reading JSON.
+
+    A table in fewer files than there are cores would leave the others idle; its
+    rows are dealt out before that work. A large table has files enough.
+    """
+    raw = events(spark, sf_dir, stream)
+    cores = spark.sparkContext.defaultParallelism
+    few = len(table(spark, sf_dir, "events").inputFiles()) < cores
+    return raw.repartition(cores) if few else raw
+
+
 def event_store(user: Column) -> Column:
     return F.format_string("Store %d", user % 5)
 

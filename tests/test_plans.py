@@ -32,7 +32,7 @@ def test_indicators_read_only_their_columns(plan):
 
 
 def test_indicators_join_only_what_they_need(plan):
-    for name, joins in {"kpi_category": 1, "kpi_store": 1, "kpi_segment": 2, "kpi_city": 3,
+    for name, joins in {"kpi_category": 1, "kpi_store": 1, "kpi_segment": 2, "kpi_city": 2,
                         "low_stock": 0, "event_type_counts": 0}.items():
         operators = plan(name).split("\n\n")[0]
         assert operators.count("Join") == joins, name
