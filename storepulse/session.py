@@ -18,27 +18,32 @@ RECOMMENDED = {
 }
 
 
-# Shuffle bytes per task. Well under an executor core's memory, so that sorts and
-# hash tables of ordinary partitions do not spill.
-BYTES_PER_TASK = 256 << 20
+GIB = 1 << 30
 
 
-def shuffle_settings(shuffled_bytes: int) -> dict[str, str]:
-    """Initial number of shuffle partitions for the largest shuffle of a job.
+def sized_for(data_bytes: int) -> dict[str, str]:
+    """Scan and shuffle sizes for a job over that much data.
 
-    Spark's default of 200 would make 500 GB partitions of 100 TB. AQE joins small
-    partitions again, so a generous number costs little. Streaming state is not
-    affected: it goes by ``spark.sql.shuffle.partitions``, fixed at first start.
+    Spark's default of 200 shuffle partitions would make 500 GB partitions of
+    100 TB. One per GiB fits an executor core; AQE joins small ones up to the
+    advisory size. Both sides are bounded, since every map task keeps a block per
+    shuffle partition: 100,000 by 50,000 leaves 20 KB blocks of 100 TB. Streaming
+    state goes by ``spark.sql.shuffle.partitions`` instead, fixed at first start.
     """
-    partitions = min(max(200, -(-shuffled_bytes // BYTES_PER_TASK)), 400_000)
-    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
+    partitions = min(max(200, -(-data_bytes // GIB)), 50_000)
+    scan_bytes = min(max(GIB // 8, data_bytes // 100_000), GIB)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+    }
 
 
-def builder(app_name: str = "storepulse", shuffled_bytes: int | None = None) -> SparkSession.Builder:
+def builder(app_name: str = "storepulse", data_bytes: int | None = None) -> SparkSession.Builder:
     """A session builder with the recommended settings; add master and memory."""
     settings = dict(RECOMMENDED)
-    if shuffled_bytes is not None:
-        settings.update(shuffle_settings(shuffled_bytes))
+    if data_bytes is not None:
+        settings.update(sized_for(data_bytes))
     result = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         result = result.config(key, value)

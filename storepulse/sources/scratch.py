@@ -12,7 +12,8 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Every executor must see it, so a machine-local folder is used only when the
-    whole session runs on one machine and names none.
+    whole session runs on one machine and names none. What is written there backs
+    lazy results and is left for the owner of the folder to clear.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:

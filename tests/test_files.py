@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from storepulse import schemas
 from storepulse.plans import batch_job
 from storepulse.plans.sales import register_views
-from storepulse.session import shuffle_settings
+from storepulse.session import sized_for
 from storepulse.sinks import reports as report_files, tables as sinks
 from storepulse.sources import files, streams
 from storepulse.sources.scratch import scratch_path
@@ -193,7 +193,7 @@ def test_schemas_need_no_session():
     assert len(schemas.SALE_EVENT) == 17
 
 
-def test_shuffle_partitions_follow_the_data():
-    (at_100_tb,) = shuffle_settings(100 << 40).values()
-    (small,) = shuffle_settings(1 << 20).values()
-    assert (at_100_tb, small) == ("400000", "200")
+def test_sizes_follow_the_data():
+    small, large = (list(sized_for(size).values()) for size in (1 << 20, 100 << 40))
+    assert small == ["200", "256m", str(128 << 20)]
+    assert large == ["50000", "256m", str(1 << 30)]
