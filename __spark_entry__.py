@@ -6,10 +6,14 @@ calls the library.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from oracles import ORACLES
 from storepulse.functions.numbers import line_amount
 from storepulse.functions.texts import parse_log_line
