@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -27,12 +27,15 @@ def summary_by(events: DataFrame, *groups: object) -> DataFrame:
     }).drop("cents", "risk", "n_scored")
 
 
+def alert_rule() -> Column:
+    return needs_alert(
+        F.col("is_risk"), F.col("risk_score"), F.col("stock_actual"), F.col("stock_minimo")
+    )
+
+
 def alerts(events: DataFrame) -> DataFrame:
     """Events that need attention: flagged, risky, or at minimum stock."""
-    return events.filter(
-        needs_alert(F.col("is_risk"), F.col("risk_score"), F.col("stock_actual"),
-                    F.col("stock_minimo"))
-    ).select(
+    return events.filter(alert_rule()).select(
         "transaction_id", "customer_name", "product_name", "category", "city", "total_amount",
         "stock_actual", "stock_minimo", "risk_score", "event_timestamp",
     )
@@ -95,7 +98,18 @@ def start(rows: DataFrame, out: str, write: Callable[[DataFrame, int], None],
 
 def start_sales_stream(parsed: DataFrame, out: str, outputs: Iterable[str] = tuple(DERIVED),
                        **trigger: object) -> StreamingQuery:
-    return start(parsed, out, batch_writer(out, outputs), **trigger)
+    """Start the sales stream.
+
+    The query's progress reports, under ``received``, how many events, alerts and
+    dead letters each batch had. They are counted on the way, without a job.
+    """
+    counted = parsed.observe(
+        "received",
+        F.count(F.lit(1)).alias("n_events"),
+        F.count_if(alert_rule()).alias("n_alerts"),
+        F.count("corrupt_record").alias("n_dead_letters"),
+    )
+    return start(counted, out, batch_writer(out, outputs), **trigger)
 
 
 def read_output(spark: SparkSession, out: str, name: str, schema: StructType) -> DataFrame:
@@ -114,6 +128,11 @@ def served_alerts(alert_rows: DataFrame) -> DataFrame:
     return alert_rows.orderBy(F.desc("risk_score"), "transaction_id")
 
 
+def served_summary(summary: DataFrame, group: str) -> DataFrame:
+    """A summary in reading order: by batch, highest revenue first."""
+    return summary.orderBy("batch_id", F.desc("revenue"), group)
+
+
 def run_to_end(query: StreamingQuery) -> None:
     """Wait for an ``availableNow`` query; a failed one raises here."""
     query.awaitTermination()

@@ -153,7 +153,12 @@ SUMMARY = [
 
 
 def test_each_batch_writes_its_outputs(spark, two_batches, folder, out):
-    run(spark, folder, out)
+    query = run(spark, folder, out)
+    received = [progress["observedMetrics"]["received"] for progress in query.recentProgress]
+    assert [(r["n_events"], r["n_alerts"], r["n_dead_letters"]) for r in received] == [(4, 1, 1), (2, 2, 0)]
+    served = batches.served_summary(output(spark, folder, out, "summary_by_category"), "category")
+    assert [(r["batch_id"], r["category"]) for r in served.collect()] == [
+        (0, "Hogar"), (0, "Ropa"), (0, None), (1, "Hogar"), (1, "Ropa")]
     events = output(spark, folder, out, "events")
     assert {r["batch_id"]: r["count"] for r in events.groupBy("batch_id").count().collect()} == {0: 4, 1: 2}
     stamps = events.groupBy("batch_id").agg(F.countDistinct("processing_timestamp").alias("n"))
