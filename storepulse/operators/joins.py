@@ -19,9 +19,7 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str,
     (from ``operators.skew.hot_keys``) are spread over several tasks each.
     """
     if hot and can_spread(facts, dimension, key):
-        joined = spread_facts(facts, key, hot).join(
-            repeat_dimension(dimension, key, hot), [key, "_slot"], "left"
-        ).drop("_slot")
+        joined = _spread_join(facts, dimension, key, hot)
     else:
         joined = facts.join(dimension, key, "left")
     if defaults:
@@ -31,6 +29,21 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str,
     return joined
 
 
+def _spread_join(facts: DataFrame, dimension: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """Left join over one bigint, the hash of key and slot, which sorts fastest.
+
+    Rows meet by that place and are then held to equal keys. The range form keeps
+    Spark from sorting by the key as well.
+    """
+    placed = spread_facts(facts, key, hot, "_fact_place")
+    repeated = repeat_dimension(dimension, key, hot, "_place").withColumnRenamed(key, "_same")
+    meet = (F.col("_fact_place") == F.col("_place")) & F.col(key).between(
+        F.col("_same"), F.col("_same")
+    )
+    columns = [key, *facts.columns, *dimension.columns]
+    return placed.join(repeated, meet, "left").select(*dict.fromkeys(columns))
+
+
 def hold_few(rows: DataFrame, n: int) -> DataFrame:
     """The at most ``n`` rows of a top-n or preview, fetched once and kept.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, IntegralType, StringType
 
 # Rows of one key beyond which a join spreads them over several tasks.
-ROWS_PER_TASK = 200_000
+ROWS_PER_TASK = 1_000_000
 
 # Hash of a key -> number of tasks to spread the key's rows over, a power of two.
 Hot = Mapping[int, int]
@@ -73,12 +73,18 @@ def slots(key: str, hot: Hot) -> Column:
     return result
 
 
-def spread_facts(facts: DataFrame, key: str, hot: Hot) -> DataFrame:
-    """Facts with a slot drawn from the whole row, so that retried tasks agree."""
-    slot = F.pmod(F.xxhash64(*facts.columns), slots(key, hot)).cast("int")
-    return facts.withColumn("_slot", F.when(slots(key, hot) == 1, 0).otherwise(slot))
+def spread_facts(facts: DataFrame, key: str, hot: Hot, place: str) -> DataFrame:
+    """Facts with the place of their key and of a slot drawn from the whole row.
+
+    The row decides, so that retried tasks agree.
+    """
+    slot = F.when(slots(key, hot) == 1, 0).otherwise(
+        F.pmod(F.xxhash64(*facts.columns), slots(key, hot)).cast("int")
+    )
+    return facts.withColumn(place, F.xxhash64(key, slot))
 
 
-def repeat_dimension(dimension: DataFrame, key: str, hot: Hot) -> DataFrame:
-    """Dimension rows once per slot of their key."""
-    return dimension.withColumn("_slot", F.explode(F.sequence(F.lit(0), slots(key, hot) - 1)))
+def repeat_dimension(dimension: DataFrame, key: str, hot: Hot, place: str) -> DataFrame:
+    """Dimension rows once per slot of their key, each with its place."""
+    every = F.explode(F.sequence(F.lit(0), slots(key, hot) - 1))
+    return dimension.withColumn(place, every).withColumn(place, F.xxhash64(key, place))

@@ -49,10 +49,11 @@ def test_spreading_changes_the_slots_and_not_the_result(spark, facts, dimension)
     values = spark.createDataFrame([(7,), (None,), (110,)], "key long")
     hot = {row[0]: 8 for row in values.select(F.xxhash64("key")).collect()}
     assert bag(lookup(facts, dimension, "key", hot=hot)) == bag(lookup(facts, dimension, "key"))
-    spread = spread_facts(facts, "key", hot).groupBy("key").agg(F.countDistinct("_slot").alias("n"))
+    spread = spread_facts(facts, "key", hot, "place").groupBy("key").agg(
+        F.countDistinct("place").alias("n"))
     slots = {row["key"]: row["n"] for row in spread.collect()}
     assert slots[7] == 8 and slots[None] == 8 and slots[5] == 1
-    assert repeat_dimension(dimension, "key", hot).count() == 100 + 7
+    assert repeat_dimension(dimension, "key", hot, "place").count() == 100 + 7
 
 
 def test_spreading_works_under_a_sort_merge_join(spark, facts, dimension):
