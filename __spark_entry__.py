@@ -30,6 +30,22 @@ from storepulse.streaming import aggregates, batches, messages
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from storepulse.llm.oracles import ORACLES as sql
+        from storepulse.llm.queries import QUERIES as found
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "storepulse.llm"):
+            raise
+        return {}, {}
+    sql = dict(sql)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**found, "pipeline": corpus_pipeline.run}, sql
+
+
 def with_plain_times(rows: DataFrame) -> DataFrame:
     """Dates and timestamps without time zone, as the given tables hold them."""
     return rows.withColumns({
@@ -361,12 +377,13 @@ def queries() -> dict[str, Query]:
         "stream_cancellations_by_reason": stream_cancellations_by_reason,
         "stream_delay_alerts": stream_delay_alerts,
         "stream_low_rating": stream_low_rating,
+        **training_data()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query; ``sample_sales`` is random and has none."""
-    return dict(ORACLES)
+    return {**ORACLES, **training_data()[1]}
 
 
 def entry(spark: SparkSession) -> DataFrame:
