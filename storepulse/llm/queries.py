@@ -4,25 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from storepulse.llm import mixing, url_filter
+from storepulse.llm import (
+    bpe, mixing, quality_classifier, quality_rules, toxicity, url_filter,
+)
 from storepulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN, with_ids=False,
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.clean(table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.score(docs, model)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select(
         "page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_bpe": op2_bpe,
     "op4_mixing": op4_mixing,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
 }

@@ -69,8 +69,8 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def prior_pages(groups: DataFrame) -> DataFrame:
-    """One row with ``prior``: the pages that a group's prior is worth.
+def prior_pages(groups: DataFrame) -> float:
+    """The pages that a group's prior is worth; one number for all groups.
 
     By moments: with rho the correlation of outcomes within a group, the squared
     deviation of ``good`` from ``pages * mean`` is ``pages v (1 + (pages - 1) rho)``.
@@ -81,12 +81,12 @@ def prior_pages(groups: DataFrame) -> DataFrame:
     scale = F.sum(F.col("pages") * (F.col("pages") - 1) * v)
     rho = F.greatest(F.least(F.coalesce(excess / F.nullif(scale, F.lit(0.0)), F.lit(0.0)),
                              F.lit(RHO[1])), F.lit(RHO[0]))
-    return groups.agg(((1 - rho) / rho).alias("prior"))
+    return groups.agg(((1 - rho) / rho).alias("prior")).first().prior
 
 
 def shrunk(groups: DataFrame) -> DataFrame:
     """Groups with the posterior ``rate`` and ``weight`` given the mean of their parent."""
-    prior = prior_pages(groups).scalar()
+    prior = prior_pages(groups)
     weight = F.col("pages") + prior
     return groups.withColumn(
         "rate", (F.col("good") + prior * F.col("mean")) / weight
@@ -113,8 +113,8 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     suffixes = hosts.groupBy("suffix").agg(F.sum("pages").alias("pages"),
                                            F.sum("good").alias("good"))
     overall = suffixes.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 1)
-                            / (F.coalesce(F.sum("pages"), F.lit(0)) + 2)).alias("mean")).scalar()
-    suffixes = shrunk(suffixes.withColumn("mean", overall))
+                            / (F.coalesce(F.sum("pages"), F.lit(0)) + 2)).alias("mean")).first().mean
+    suffixes = shrunk(suffixes.withColumn("mean", F.lit(overall)))
     domains = shrunk(domains.join(
         suffixes.select("suffix", F.col("rate").alias("mean")), "suffix"))
     hosts = shrunk(hosts.join(
