@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from storepulse.llm import (
-    bpe, mixing, quality_classifier, quality_rules, toxicity, url_filter,
+    bpe, mixing, near_dedup, quality_classifier, quality_rules, toxicity, url_filter,
 )
 from storepulse.llm.common import table
 
@@ -47,6 +47,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(
+        table(spark, sf_dir, "documents"), near_dedup.Settings(words=3, percent=85))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -54,4 +59,5 @@ QUERIES: dict[str, Query] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
+    "op9_near_dedup": op9_near_dedup,
 }
