@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from storepulse.llm import (
-    bpe, mixing, near_dedup, quality_classifier, quality_rules, toxicity, url_filter,
+    bpe, mixing, near_dedup, quality_classifier, quality_rules, token_files, toxicity,
+    url_filter,
 )
 from storepulse.llm.common import table
+from storepulse.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +35,15 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as shards, read back."""
+    model = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    path = scratch_path(spark, "token-shards")
+    token_files.write_shards(
+        table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN, path)
+    return token_files.decoded(token_files.read_shards(spark, path), with_ids=False)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -56,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op4_mixing": op4_mixing,
+    "op5_token_files": op5_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
