@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from storepulse.llm import (
-    bpe, mixing, near_dedup, quality_classifier, quality_rules, token_files, toxicity,
+    ann, bpe, mixing, near_dedup, pii, quality_classifier, quality_rules, token_files, toxicity,
     url_filter,
 )
 from storepulse.llm.common import table
@@ -30,6 +30,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -64,13 +68,20 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), near_dedup.Settings(words=3, percent=85))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_neighbours": op3_neighbours,
     "op4_mixing": op4_mixing,
     "op5_token_files": op5_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filter": op8_url_filter,
     "op9_near_dedup": op9_near_dedup,
+    "op10_pii": op10_pii,
 }
