@@ -21,10 +21,10 @@ MOST_LISTS = 4_096
 ROUNDS = 12
 # A vector is also put on lists whose centroid is at most this much farther than the
 # nearest, up to that many lists.
-BOUNDARY, REPLICAS = 1.10, 4
+BOUNDARY, REPLICAS = 1.10, 3
 # A query looks at lists whose centroid is at most this much farther than the nearest,
 # but at no fewer than this part of all.
-PRUNE, LEAST_PART = 1.35, 0.30
+PRUNE, LEAST_PART = 1.13, 0.18
 # Neighbours of a centroid in the graph, and nodes a search keeps open.
 DEGREE, BEAM = 24, 1.5
 # Rows of one list that a task compares with queries at a time.
@@ -128,15 +128,18 @@ class Lists:
         found = np.argsort(distance, axis=1, kind="stable")[:, :wanted]
         return found, np.sqrt(distance[rows, found])
 
-    def near(self, x: np.ndarray, ratio: float, least: int, most: int) -> Iterator[tuple[int, int]]:
+    def near(
+        self, x: np.ndarray, ratio: float, least: int, most: int,
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Row and list for each list that the distance ratio selects."""
+        parts = [np.zeros((2, 0), np.int64)]
         for i in range(0, len(x), 256):
             found, distance = self.search(x[i:i + 256], most)
             keep = distance <= ratio * distance[:, :1]
             keep[:, :least] = True
-            keep &= np.isfinite(distance)
-            for row, place in zip(*np.nonzero(keep)):
-                yield i + int(row), int(found[row, place])
+            row, place = np.nonzero(keep & np.isfinite(distance))
+            parts.append(np.array([row + i, found[row, place]]))
+        return tuple(np.concatenate(parts, axis=1))
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -165,8 +168,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     their names. Queries are the rows whose ``vec_id`` is divisible by ``every``, their
     candidates all rows of another ``vec_id``. Vectors that are NULL, empty, zero or hold
     a NULL or non-finite component take no part, nor do rows without ``vec_id``. Rows that
-    repeat a ``vec_id`` are one candidate with its best score, and one query by the
-    largest of them. Ties go to the smaller ``vec_id``. With ``k`` candidates or fewer all
+    repeat a ``vec_id`` are one vector, the largest of them. Ties go to the smaller ``vec_id``. With ``k`` candidates or fewer all
     are returned; no rows give no rows.
 
     Centroids are fitted on a bounded sample in the driver and sent to all tasks, at most
@@ -174,8 +176,9 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     and slot, so a list of any length, as of one vector repeated, is many blocks. Each
     block keeps its ``k`` best per query, and only those are shuffled.
     """
-    read = written(usable(vectors.filter(F.col("vec_id").isNotNull()).select(
-        "vec_id", F.col("embedding").cast("array<double>").alias("vector"))), "vectors")
+    read = usable(vectors.filter(F.col("vec_id").isNotNull()).select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("vector")))
+    read = written(read.groupBy("vec_id").agg(F.max("vector").alias("vector")), "vectors")
     facts = read.agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)).alias("largest")).first()
@@ -193,11 +196,10 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
             for rows in batches:
                 if not len(rows):
                     continue
-                pairs = list(shared.value.near(
-                    spherical(rows.vector, largest), ratio, at_least, at_most))
-                at = [row for row, _ in pairs]
+                at, where = shared.value.near(
+                    spherical(rows.vector, largest), ratio, at_least, at_most)
                 yield pd.DataFrame({"vec_id": rows.vec_id.to_numpy()[at],
-                                    "list": np.array([where for _, where in pairs], np.int32),
+                                    "list": where.astype(np.int32),
                                     "vector": rows.vector.to_numpy()[at]})
         return run
 
@@ -206,32 +208,29 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         read.mapInPandas(placed(BOUNDARY, 1, min(REPLICAS, max(n_lists, 1))), schema), "postings")
     lengths = posted.groupBy("list").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("slots"))
-    asked = read.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
-        F.max("vector").alias("vector"))
-    asked = asked.mapInPandas(placed(PRUNE, least, max(n_lists, 1)), schema).join(
-        lengths, "list").withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    asked = read.filter(F.col("vec_id") % every == 0).mapInPandas(placed(PRUNE, least, max(n_lists, 1)), schema).join(
+            lengths, "list").withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
     posted = posted.join(lengths, "list").withColumn(
         "slot", F.pmod(F.xxhash64("vec_id", "vector"), F.col("slots")).cast("int"))
 
     def best(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(queries) and len(rows):
-            x, ids = np.array(rows.vector.tolist()), rows.vec_id.to_numpy()
-            for i in range(0, len(queries), 512):
-                part = queries.iloc[i:i + 512]
-                scores = np.array(part.vector.tolist()) @ x.T
-                own = part.vec_id.to_numpy()[:, None] == ids[None]
-                scores[own] = -np.inf
-                for query, line in zip(part.vec_id, scores):
-                    # All that tie with the last kept stay; repeats of a vec_id count once.
-                    order = np.lexsort((ids, -line))
-                    _, first = np.unique(ids[order], return_index=True)
-                    kept = order[np.sort(first)][:k]
-                    kept = kept[np.isfinite(line[kept])]
-                    found.append(pd.DataFrame(
-                        {"query_id": query, "vec_id": ids[kept], "score": line[kept]}))
-        return pd.concat(found) if found else pd.DataFrame(
-            {"query_id": [], "vec_id": [], "score": []})
+        found = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
+        x, ids = np.array(rows.vector.tolist()), rows.vec_id.to_numpy()
+        for i in range(0, len(queries) if len(rows) else 0, 256):
+            part = queries.iloc[i:i + 256]
+            names = part.vec_id.to_numpy()
+            scores = np.array(part.vector.tolist()) @ x.T
+            scores[names[:, None] == ids[None]] = -np.inf
+            at_least = -np.partition(-scores, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+            row, place = np.nonzero((scores >= at_least[:, None]) & np.isfinite(scores))
+            # More than k only if some tie with the last; the smaller vec_ids stay.
+            order = np.lexsort((ids[place], -scores[row, place], row))
+            row, place = row[order], place[order]
+            nth = np.arange(len(row)) - np.searchsorted(row, row)
+            row, place = row[nth < k], place[nth < k]
+            found.append(pd.DataFrame({"query_id": names[row], "vec_id": ids[place],
+                                       "score": scores[row, place]}))
+        return pd.concat(found[1:] or found)
 
     near = asked.select("list", "slot", "vec_id", "vector").groupBy("list", "slot").cogroup(
         posted.select("list", "slot", "vec_id", "vector").groupBy("list", "slot")
