@@ -4,13 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from storepulse.llm import bpe, mixing, near_dedup, pii, quality_classifier
 from storepulse.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores at least its threshold, as they are."""
+    described = quality_classifier.described(docs)
+    model = quality_classifier.train(described, table(spark, sf_dir, "labels"))
+    return quality_classifier.accepted(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the smallest doc_id."""
+    return near_dedup.deduplicated(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its personal data masked and ``n_chars`` counted anew."""
+    return pii.redact(docs, pii.train(docs))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture of sources takes them, a row each time."""
+    return mixing.repeated(docs, mixing.mix(docs))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, with digests of the ids and of what they decode to."""
+    return bpe.encode(
+        docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixture", mixture),
+    ("encoding", encoding),
+]
 # Trained models, sketches and tokenizers: not expressible in SQL.
 ORACLE_SQL = None
 

@@ -23,8 +23,8 @@ ROUNDS = 12
 # nearest, up to that many lists.
 BOUNDARY, REPLICAS = 1.10, 3
 # A query looks at lists whose centroid is at most this much farther than the nearest,
-# but at no fewer than this part of all.
-PRUNE, LEAST_PART = 1.13, 0.18
+# but at no fewer than this part of all, and this many.
+PRUNE, LEAST_PART, LEAST_LISTS = 1.13, 0.18, 8
 # Neighbours of a centroid in the graph, and nodes a search keeps open.
 DEGREE, BEAM = 24, 1.5
 # Rows of one list that a task compares with queries at a time.
@@ -189,7 +189,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         spherical(sample.vector, largest) if len(sample) else np.zeros((0, 1)), facts["rows"])
     shared = read.sparkSession.sparkContext.broadcast(lists)
     n_lists = len(lists.centres)
-    least = max(1, math.ceil(LEAST_PART * n_lists))
+    least = max(LEAST_LISTS, math.ceil(LEAST_PART * n_lists))
 
     def placed(ratio: float, at_least: int, at_most: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

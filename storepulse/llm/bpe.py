@@ -139,7 +139,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
             out[1].append(own.digest(ids))
             out[2].append(sha256(own.decode(ids)).hexdigest())
             if with_ids:
-                out[3].append(ids)
+                out[3].append(np.array(ids, np.int32))
         return [batch.column(0), *out[:3 + with_ids]]
 
     return map_rows(

@@ -134,9 +134,10 @@ def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     ``mixed`` has one row per row of ``docs``; rows sharing a doc_id share their copies
     evenly, the first ones by source, size and text taking what is over.
     """
+    # Merged at every size: the texts move once.
     counts = mixed.groupBy(F.col("doc_id").alias("mixed_id")).agg(
         F.sum("copies").alias("mixed_copies"), F.count(F.lit(1)).alias("mixed_rows")
-    )
+    ).hint("merge")
     columns = [docs[c] for c in docs.columns]
     held = F.struct(*columns).alias("held")
     rows = docs.select(held, docs["doc_id"].alias("held_id"),

@@ -11,7 +11,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from storepulse.llm.common import map_rows, written
 
@@ -375,7 +375,8 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs that the full sets, read again from the texts of both, confirm."""
         named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = sets.join(named, "id").select("doc_id")
+        # Merged at every size: the texts move once, whether few or many are wanted.
+        wanted = sets.join(named, "id").select("doc_id").hint("merge")
         texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
         found = written(sets_of(texts, settings.words), "sets")
         found = found.join(named.withColumnRenamed("id", "print"), "print", "left_semi")
@@ -402,3 +403,19 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return read.select("doc_id", "n_shingles", "print").join(by_print, "print", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One document of each class: the rows of ``docs`` that stay, with their columns.
+
+    Of rows that repeat a doc_id one stays; rows without doc_id all do.
+    """
+    dropped = classes(docs, settings).filter("not kept").select(
+        F.col("doc_id").alias("dropped_id")).distinct().hint("merge")
+    held = docs.select(F.col("doc_id").alias("held_id"),
+                       F.struct(*[docs[c] for c in docs.columns]).alias("held"))
+    first = F.row_number().over(W.partitionBy("held_id").orderBy(F.xxhash64("held")))
+    return (
+        held.join(dropped, F.col("held_id") == F.col("dropped_id"), "left_anti")
+        .withColumn("place", first).filter("place = 1 or held_id is null").select("held.*")
+    )
