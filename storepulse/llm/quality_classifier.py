@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import learning_fold, map_rows
+from storepulse.llm.common import learning_fold, map_rows, written
 
 # Byte classes that are counted.
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -112,7 +113,20 @@ class Discriminant:
         return 1 / (1 + np.exp(np.clip(density[0] - density[1], -500, 500)))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Discriminant:
+def described(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the ``statistics`` of every whole text, computed once and written.
+
+    What is joined and scored later are these few numbers, never the texts.
+    """
+    def of(batch: pa.RecordBatch) -> list:
+        return [batch.column(0), statistics_of(batch.column(1).to_pylist()).tolist()]
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return written(map_rows(docs.select("doc_id", F.col("text").cast("binary").alias("text")),
+                            f"doc_id {kind}, statistics array<double>", of), "statistics")
+
+
+def train(described: DataFrame, labels: DataFrame) -> Discriminant:
     """Learn from every labelled document of the learning fold.
 
     Each task sums its own documents; what is shuffled is one row of sums per task and
@@ -121,11 +135,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Discriminant:
     """
     known = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("y")
                           ).filter(F.col("y").isin(0, 1) & learning_fold(F.col("label_id")))
-    marked = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
-        known, F.col("doc_id") == F.col("label_id")).select("text", "y")
+    marked = described.join(known, F.col("doc_id") == F.col("label_id")).select("statistics", "y")
 
     def sums(batch: pa.RecordBatch) -> list[list]:
-        x = statistics_of(batch.column(0).to_pylist())
+        x = np.array(batch.column(0).to_pylist()).reshape(-1, FEATURES)
         x = np.hstack([np.ones((len(x), 1)), x])
         y = np.array(batch.column(1).to_pylist())
         return [[0, 1], [(x[y == k].T @ x[y == k]).ravel().tolist() for k in (0, 1)]]
@@ -140,21 +153,34 @@ def train(docs: DataFrame, labels: DataFrame) -> Discriminant:
     return Discriminant.fit(moments[:, 0, 0], moments[:, 0, 1:], moments[:, 1:, 1:])
 
 
-def score(docs: DataFrame, model: Discriminant) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs``.
+def score(described: DataFrame, model: Discriminant) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every described document.
 
-    Reads ``doc_id, text``; other columns are ignored, whatever their names. NULL and
-    empty texts are scored like any other by their statistics, as the empty text;
-    repeated rows are scored alike; NULL doc_ids fall in the fold of the empty id.
+    NULL and empty texts are scored like any other by their statistics, as the empty
+    text; repeated rows are scored alike; NULL doc_ids fall in the fold of the empty id.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = described.sparkSession.sparkContext.broadcast(model)
 
     def of(batch: pa.RecordBatch) -> list:
-        return [batch.column(0), batch.column(1),
-                shared.value.scores(statistics_of(batch.column(2).to_pylist())).tolist()]
+        x = np.array(batch.column(2).to_pylist()).reshape(-1, FEATURES)
+        return [batch.column(0), batch.column(1), shared.value.scores(x).tolist()]
 
-    rows = docs.select("doc_id", (~learning_fold(F.col("doc_id"))).alias("held_out"),
-                       F.col("text").cast("binary").alias("text"))
+    rows = described.select(
+        "doc_id", (~learning_fold(F.col("doc_id"))).alias("held_out"), "statistics")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return map_rows(rows, f"doc_id {kind}, held_out boolean, score double", of).withColumn(
         "predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Discriminant) -> DataFrame:
+    """The documents of class 1, with their columns as they are; one pass, no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([statistics((t.as_py() or "").encode()) for t in batch.column(at)])
+            keep = shared.value.scores(x.reshape(-1, FEATURES)) >= THRESHOLD
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

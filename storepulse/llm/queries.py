@@ -53,9 +53,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
-    return quality_classifier.score(docs, model)
+    described = quality_classifier.described(table(spark, sf_dir, "documents"))
+    model = quality_classifier.train(described, table(spark, sf_dir, "labels"))
+    return quality_classifier.score(described, model)
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
