@@ -31,7 +31,7 @@ LEAST_WORDS = 30
 # over does not decide alone.
 MOST_SHARE = 0.04
 # Documents of a class that the classifier is fitted on at most: the first by md5 of doc_id.
-SAMPLE = 2500
+SAMPLE = 2000
 THRESHOLD = 0.7
 # Words a worker remembers before it forgets them all.
 REMEMBERED = 400_000
@@ -81,22 +81,19 @@ def subwords(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def bags(texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of each text its distinct buckets and the weight of each in the text's average."""
-    parts = [shares(words_of(t)) for t in texts]
-    place = {w: i for i, w in enumerate(dict.fromkeys(w for part in parts for w, _ in part))}
-    buckets, owners = subwords(list(place))
-    order = np.argsort(owners, kind="stable")
-    buckets, counts = buckets[order], np.bincount(owners, minlength=len(place))
-    starts = np.concatenate([[0], np.cumsum(counts)])
-    found = []
-    for part in parts:
-        ids = [place[w] for w, _ in part]
-        at = np.concatenate([buckets[starts[i]:starts[i + 1]] for i in ids] or [buckets[:0]])
-        weight = np.repeat([s / counts[i] for i, (_, s) in zip(ids, part)], counts[ids] if ids else [])
-        distinct, where = np.unique(at, return_inverse=True)
-        found.append((distinct, np.bincount(where, weight, len(distinct)).astype(np.float32)))
-    return found
+def bag(text: str | None, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text, of ``often`` alone, and the weight of each in its average."""
+    part = shares(words_of(text))
+    if not part:
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+    buckets, owners = subwords([w for w, _ in part])
+    weight = (np.array([s for _, s in part]) / np.bincount(owners, minlength=len(part)))[owners]
+    if often is not None:
+        kept = often[buckets]
+        buckets, weight = buckets[kept], weight[kept]
+    distinct, where = np.unique(buckets, return_inverse=True)
+    return (distinct.astype(np.int32),
+            np.bincount(where, weight, len(distinct)).astype(np.float32))
 
 
 @dataclass(frozen=True)
@@ -119,12 +116,11 @@ class Subwords:
         if len(set(y.tolist())) < 2:
             return Subwords(np.zeros(BUCKETS, np.float32), 0.0)
         weigh = len(y) / (2 * np.bincount(y, minlength=2))
-        read = bags(texts)
         documents = np.zeros((2, BUCKETS), np.int64)
-        for (at, _), k in zip(read, y):
-            documents[k, at] += 1
+        for text, k in zip(texts, y):
+            documents[k, bag(text)[0]] += 1
         often = documents.sum(0) >= LEAST_DOCUMENTS
-        read = [(at[often[at]], part[often[at]]) for at, part in read]
+        read = [bag(text, often) for text in texts]
         rates = (documents + 1) / (np.bincount(y, minlength=2)[:, None] + 2)
         log_odds = np.where(often, np.log(rates[1] / rates[0]), 0)
 
