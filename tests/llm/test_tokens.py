@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import random
+from hashlib import sha256
+from zlib import crc32
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+from tokenizers import Tokenizer
+
+from storepulse.llm import bpe, repair, token_files
+from storepulse.llm.common import table
+from tests.llm.conftest import AWKWARD
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+MODEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = [" ", "  ", "\n", "\t", "a", "é", "1", "!", "\x1c", "\xa0", "\u3000", "日", "The", "'s", "\x85",
+          "<|endoftext|>", "\u200b", "aaaa", "000", "\r\n", "😀", "٣", "\x00", "²", "Ⅷ", "\u0301"]
+
+
+@pytest.fixture(scope="module")
+def expected():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
+                             mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+
+
+def odd_texts(n):
+    draw = random.Random(3)
+    return ["".join(draw.choices(PIECES, k=draw.randint(0, 12))) for _ in range(n)]
+
+
+def test_codec_is_tiktoken(expected):
+    codec = bpe.Codec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    texts = odd_texts(3000) + [t or "" for _, t in AWKWARD] + ["a" * 50_000, " ", " x", "x "]
+    for text, ids in zip(texts, codec.encode(texts), strict=True):
+        assert ids == expected.encode_ordinary(text)
+        assert codec.decode(ids) == text.encode()
+
+
+def test_every_byte_has_a_letter():
+    letters = bpe.letters(bytes(range(256)))
+    assert len(set(letters)) == 256 and "\0" not in letters
+
+
+def test_encode_rows(spark, awkward, nothing, expected):
+    found = bpe.encode(awkward, RANKS, public_tokenizers.PATTERN).collect()
+    assert len(found) == len(AWKWARD)
+    texts = [t or "" for _, t in AWKWARD]
+    digests = {sha256(t.encode()).hexdigest(): expected.encode_ordinary(t) for t in texts}
+    for row in found:
+        ids = digests[row.decoded_sha256]
+        assert row.ids == ids and row.n_tokens == len(ids)
+        assert row.ids_sha256 == sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert bpe.encode(nothing, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_encoder_is_the_library():
+    encoder = token_files.Encoder(open(MODEL).read(), public_tokenizers.PATTERN)
+    library = Tokenizer.from_file(MODEL)
+    texts = odd_texts(2000) + [t or "" for _, t in AWKWARD]
+    for text, data in zip(texts, encoder.data(texts), strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_repair_round_trip():
+    random_ids = np.random.default_rng(1)
+    documents = [np.array([], np.uint32), np.array([7], np.uint32), np.zeros(5000, np.uint32),
+                 np.tile(np.array([1, 2, 3, 1, 2], np.uint32), 400),
+                 random_ids.integers(0, 50, 9000).astype(np.uint32), np.array([], np.uint32)]
+    data = repair.compress(documents)
+    shard = repair.Shard(data)
+    assert shard.sizes().tolist() == [len(d) for d in documents]
+    assert len(shard.rules) > 0 and len(data) < sum(d.nbytes for d in documents)
+    for i, (own, whole) in enumerate(zip(documents, shard.documents(), strict=True)):
+        assert np.array_equal(own, whole)
+        assert np.array_equal(own, shard.document(i))
+    assert repair.Shard(repair.compress([])).sizes().tolist() == []
+    with pytest.raises(ValueError):
+        repair.Shard(b"what is this, it is none of ours")
+
+
+def test_shards_in_order(spark, awkward, nothing, scratch, monkeypatch):
+    model = open(MODEL).read()
+    library = Tokenizer.from_file(MODEL)
+    token_files.write_shards(awkward, model, public_tokenizers.PATTERN, f"{scratch}/a")
+    found = token_files.decoded(token_files.read_shards(spark, f"{scratch}/a")).orderBy("start").collect()
+    assert [r.doc_id for r in found] == sorted((i for i, _ in AWKWARD), key=lambda i: (i is not None, i))
+    start = 0
+    texts = {i: t or "" for i, t in AWKWARD}
+    for row in found:
+        ids = library.encode(texts[row.doc_id], add_special_tokens=False).ids + [0]
+        assert (row.start, row.n_tokens, row.ids) == (start, len(ids), ids)
+        assert row.ids_crc32 == crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    token_files.write_shards(nothing, model, public_tokenizers.PATTERN, f"{scratch}/b")
+    assert token_files.decoded(token_files.read_shards(spark, f"{scratch}/b")).count() == 0
+
+
+def test_shards_of_a_table(spark, scratch):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").repartition(5)
+    token_files.write_shards(docs, open(MODEL).read(), public_tokenizers.PATTERN, f"{scratch}/c")
+    found = token_files.decoded(token_files.read_shards(spark, f"{scratch}/c")).orderBy("doc_id").collect()
+    assert [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found)])[:-1].tolist()
+
+
+def test_pattern_is_the_modules():
+    assert regex.compile(public_tokenizers.PATTERN).findall("it's  9\n") == ["it", "'s", " ", " 9", "\n"]
