@@ -213,6 +213,17 @@ def likely(pairs: DataFrame, settings: Settings) -> DataFrame:
         run, "a binary, b binary")
 
 
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Elements that two sorted sets have in common."""
+    place = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    return int((x[place] == y).sum())
+
+
+def linked(x: np.ndarray, y: np.ndarray, settings: Settings) -> bool:
+    common = overlap(x, y)
+    return 100 * common >= settings.percent * (len(x) + len(y) - common)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """The pairs ``a, b`` that the full sets confirm.
 
@@ -226,9 +237,8 @@ def verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= settings.percent * (len(x) + len(y) - common))
+                keep.append(linked(np.frombuffer(x.as_py(), np.uint64),
+                                   np.frombuffer(y.as_py(), np.uint64), settings))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "sa", "sb").mapInArrow(
@@ -275,13 +285,14 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
 
 
-def leftover_pairs(members: DataFrame, settings: Settings) -> DataFrame:
-    """Likely pairs ``a, b`` of different components that share a bucket.
+def leftover_links(members: DataFrame, settings: Settings) -> DataFrame:
+    """Links ``a, b`` that join the components of a bucket; as many as they need.
 
-    ``members`` has ``bucket, id, root, n, registers``. The members of a bucket's largest
-    component need no comparison with each other, the rest with everyone: both are dealt
-    over blocks by hash, and each block of the rest meets every block. Pairs are compared
-    in numpy and only likely ones become rows.
+    ``members`` has ``bucket, id, root, n, registers, shingles``. The members of a
+    bucket's largest component need no comparison with each other, the rest with
+    everyone: both are dealt over blocks by hash, and each block of the rest meets every
+    block. A pair is compared in the first band it shares only: by its sketches, then by
+    its full sets, unless links of the block already join it. Pairs are never rows.
     """
     counts = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = counts.groupBy("bucket").agg(
@@ -301,23 +312,30 @@ def leftover_pairs(members: DataFrame, settings: Settings) -> DataFrame:
     meets = F.sequence(F.lit(0), F.when(F.col("in_main"), F.col("rest_blocks"))
                        .otherwise(F.col("rest_blocks") + F.col("main_blocks")) - 1)
     dealt = dealt.withColumn("other", F.explode(meets)).select(
-        "bucket", "id", "root", "n", "registers", "block",
+        "bucket", "id", "root", "n", "registers", "shingles", "block",
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = rows.low.iloc[0], rows.high.iloc[0]
-        left, right = rows[rows.block == low], rows[rows.block == high]
-        x, y = (matrix(r.registers, settings.registers) for r in (left, right))
-        ids, roots, n = right.id.to_numpy(), right.root.to_numpy(), right.n.to_numpy()
+        low, high, bucket = rows.low.iloc[0], rows.high.iloc[0], rows.bucket.iloc[0]
+        rows = rows.sort_values("block", kind="stable")
+        x, n, ids = matrix(rows.registers, settings.registers), rows.n.to_numpy(), rows.id.to_numpy()
+        sets = [np.frombuffer(packed, np.uint64) for packed in rows.shingles]
+        roots = np.unique(rows.root.to_numpy(), return_inverse=True)[1]
+        in_band = band_hashes(x, settings) == bucket
+        band = in_band.argmax(1)[0]
+        earlier = x[:, :band * settings.band].reshape(len(x), band, settings.band)
+        first_right = 0 if low == high else int((rows.block == low).sum())
         found = []
-        for i, (own, root, size) in enumerate(zip(left.id, left.root, left.n)):
-            at = np.flatnonzero(roots != root)
-            if low == high:
-                at = at[at > i]
-            if len(at):
-                good = promising(np.broadcast_to(x[i], (len(at), settings.registers)), y[at],
-                                 np.full(len(at), size), n[at], settings)
-                found += [(min(own, other), max(own, other)) for other in ids[at[good]]]
+        for i in range(len(rows) if low == high else first_right):
+            at = np.arange(max(i + 1, first_right), len(rows))
+            at = at[roots[at] != roots[i]]
+            at = at[~(earlier[at] == earlier[i]).all(2).any(1)]
+            at = at[promising(np.broadcast_to(x[i], (len(at), settings.registers)), x[at],
+                              np.full(len(at), n[i]), n[at], settings)]
+            for j in at:
+                if roots[i] != roots[j] and linked(sets[i], sets[j], settings):
+                    roots[roots == roots[j]] = roots[i]
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
         return pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
     return dealt.groupBy("bucket", "low", "high").applyInPandas(
@@ -337,8 +355,8 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     they get a NULL component and are kept. No rows give no rows.
 
     Equal sets are one class before anything else, by partial aggregation, so copies
-    never meet in a task. Classes are banded; within a bucket all are paired with the
-    smallest only, verified and joined. Buckets that still hold several components are
+    never meet in a task. Classes are banded; within a bucket all are paired with one of
+    them, drawn anew for each band, verified and joined. Buckets that still hold several components are
     compared whole, except inside their largest component: no link between components is
     left out, and links inside one add nothing.
     """
@@ -360,10 +378,11 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     bands = written(
         sets.select("id", "registers").mapInPandas(banded, "id binary, bucket long"), "bands")
     centres = written(
-        bands.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("members"))
-        .filter("members > 1"), "buckets")
-    stars = (bands.join(centres, "bucket").filter("id <> a")
-             .select("a", F.col("id").alias("b")).distinct())
+        bands.groupBy("bucket").agg(
+            F.min_by("id", F.xxhash64("id", "bucket")).alias("centre"),
+            F.count(F.lit(1)).alias("members")).filter("members > 1"), "buckets")
+    stars = bands.join(centres, "bucket").filter("id <> centre").select(
+        F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("id").alias(name), F.col("n").alias("n" + name),
@@ -372,17 +391,13 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     candidates = written(
         likely(stars.join(side("a"), "a").join(side("b"), "b"), settings), "candidates")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Pairs that the full sets, read again from the texts of both, confirm."""
-        named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        # Merged at every size: the texts move once, whether few or many are wanted.
-        wanted = sets.join(named, "id").select("doc_id").hint("merge")
-        texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-        found = written(sets_of(texts, settings.words), "sets")
-        found = found.join(named.withColumnRenamed("id", "print"), "print", "left_semi")
-        return written(verified(pairs, found.dropDuplicates(["print"]), settings), "links")
-
-    links = confirmed(candidates)
+    # The sets of all that share a bucket, from their texts again. Merged at every size:
+    # the texts move once, whether few or many are wanted.
+    shared = bands.join(centres, "bucket").select("id").distinct()
+    wanted = sets.join(shared, "id").select("doc_id").hint("merge")
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    full_sets = written(sets_of(texts, settings.words).dropDuplicates(["print"]), "sets")
+    links = written(verified(candidates, full_sets, settings), "links")
     roots = components(sets, links)
     split = (
         bands.join(centres.filter("members > 2").select("bucket"), "bucket").join(roots, "id")
@@ -390,11 +405,11 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .filter("low <> high").select("bucket")
     )
     members = bands.join(split, "bucket").join(roots, "id").join(
-        sets.select("id", "n", "registers"), "id")
-    more = written(
-        leftover_pairs(members, settings).join(candidates, ["a", "b"], "left_anti"), "leftovers")
+        sets.select("id", "n", "registers"), "id").join(
+            full_sets.withColumnRenamed("print", "id"), "id")
+    more = written(leftover_links(members, settings), "leftovers")
     if not more.isEmpty():
-        roots = components(sets, links.union(confirmed(more)))
+        roots = components(sets, links.union(more))
 
     named = sets.join(roots, "id")
     lowest = named.groupBy("root").agg(F.min("doc_id").alias("lowest"))
