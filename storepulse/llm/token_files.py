@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -55,6 +56,12 @@ class Encoder:
                 yield next(chunked)
 
 
+@lru_cache(maxsize=1)
+def encoder_of(model: str, pattern: str) -> Encoder:
+    """A worker's encoder, which stays from task to task with what it remembers."""
+    return Encoder(model, pattern)
+
+
 def write_shards(docs: DataFrame, model: str, pattern: str, path: str, end: int = END) -> None:
     """Write all documents in ascending order of doc_id as compressed shards.
 
@@ -74,7 +81,7 @@ def write_shards(docs: DataFrame, model: str, pattern: str, path: str, end: int
                         ("n_ids", pa.int64()), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model, pattern)
+        encoder = encoder_of(model, pattern)
         part, shard = TaskContext.get().partitionId(), 0
         doc_ids: list = []
         held: list[np.ndarray] = []
