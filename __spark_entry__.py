@@ -16,15 +16,19 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracles import ORACLES
 from storepulse.functions.numbers import line_amount
+from storepulse.functions import texts
 from storepulse.functions.texts import parse_log_line
 from storepulse.operators.inspect import preview, profile, sample_with_replacement
-from storepulse.operators.joins import hold_few, lookup, lookup_few
-from storepulse.operators.skew import hot_keys
+from storepulse.operators.joins import lookup
 from storepulse.plans import delivery, kpis, reports
-from storepulse.schemas import ORDER_EVENT, SALE_EVENT, TABLES
-from storepulse.sinks.tables import write_lines, write_sales_by_month
+from storepulse.schemas import MESSAGE, MORE_TABLES, ORDER_EVENT, SALE_EVENT, TABLES
+from storepulse.sinks.reports import plain_numbers, write_report_csv
+from storepulse.sinks.tables import (
+    export_tables, write_csv, write_json, write_lines, write_sales_by_month,
+)
 from storepulse.sources import files, tables
 from storepulse.sources.scratch import scratch_path
+from storepulse.sources.streams import parquet_files
 from storepulse.streaming import aggregates, batches, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,29 +105,83 @@ def campaigns_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sale_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = tables.products(spark, sf_dir).select("product_id", "price")
     sold = tables.lines(spark, sf_dir).select("order_id", "line_number", "product_id", "quantity")
-    hot = hot_keys(sold, "product_id")["product_id"]
-    return lookup(sold, prices, "product_id", hot=hot).withColumn(
+    return lookup(sold, prices, "product_id").withColumn(
         "amount", line_amount(F.col("price"), F.col("quantity"))
     )
 
 
 def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile({name: tables.table(spark, sf_dir, name) for name in TABLES})
+    """All the given tables, by the schemas in their files."""
+    return profile({name: files.read_parquet(spark, f"{sf_dir}/{name}.parquet")
+                    for name in (*TABLES, *MORE_TABLES)})
 
 
 def sales_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first ten sale lines, enriched after they have been picked."""
+    """The first ten sale lines, enriched after they have been picked; one lazy plan."""
     order = ("order_id", "product_id", "store_id", "line_number", "shipped_at", "amount")
-    shown = hold_few(preview(tables.lines(spark, sf_dir), 10, *map(F.col, order)), 10)
-    shown = hold_few(lookup_few(shown, tables.sale_orders(spark, sf_dir), "order_id"), 10)
-    shown = lookup_few(shown, tables.customers(spark, sf_dir), "customer_id")
-    return lookup_few(shown, tables.products(spark, sf_dir), "product_id").select(
+    shown = preview(tables.lines(spark, sf_dir), 10, *map(F.col, order))
+    shown = lookup(shown, tables.sale_orders(spark, sf_dir), "order_id")
+    shown = lookup(shown, tables.customers(spark, sf_dir), "customer_id")
+    return lookup(shown, tables.products(spark, sf_dir), "product_id").select(
         "order_id", "customer_name", "product_name", "category", "quantity", "amount", "stock"
     )
 
 
 def sample_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_with_replacement(tables.lines(spark, sf_dir), 0.01, seed=7)
+    return sample_with_replacement(
+        tables.lines(spark, sf_dir), ("order_id", "line_number"), 0.01, seed="sales-7"
+    ).select("order_id", "line_number", "product_id", "store_id", "quantity", "amount", "draw")
+
+
+# Files
+
+def as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers under the names of the customer file."""
+    return tables.customers(spark, sf_dir).select(
+        texts.padded_id(texts.CUSTOMER_ID, F.col("customer_id")).alias("id_cliente"),
+        F.col("customer_name").alias("nombre"), F.lit("A, \"B\"").alias("apellido"),
+        (F.col("customer_id") % 80 + 18).cast("int").alias("edad"),
+        F.col("city").alias("ciudad"), F.col("segment").alias("segmento"),
+        F.lit(None).cast("string").alias("email"),
+    )
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written with a header line, read back typed by field."""
+    path = scratch_path(spark, "csv")
+    write_csv(as_files(spark, sf_dir), path)
+    return files.read_customers(spark, path)
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products written as JSON lines and read back."""
+    path = scratch_path(spark, "json")
+    write_json(tables.products(spark, sf_dir).select(
+        F.col("product_id").cast("string").alias("id_producto"),
+        F.col("product_name").alias("nombre"), F.col("category").alias("categoria"),
+        F.col("price").alias("precio"), F.col("stock").alias("stock_actual"),
+        F.col("stock_minimum").alias("stock_minimo"), F.col("supplier").alias("proveedor"),
+    ), path)
+    return files.read_products(spark, path, one_document=False)
+
+
+def report_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as one CSV file, replaced, and read back."""
+    path = scratch_path(spark, "report") + ".csv"
+    report = kpi_store(spark, sf_dir)
+    for _ in range(2):
+        write_report_csv(plain_numbers(report), path, F.desc("revenue"), "store")
+    return files.read_csv(spark, path, report.schema)
+
+
+def tables_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched sales and reports copied twice by name; rows of each copy."""
+    path = scratch_path(spark, "export")
+    copied = {"sales": tables.lines(spark, sf_dir), "low_stock": low_stock(spark, sf_dir),
+              "kpi_store": kpi_store(spark, sf_dir)}
+    for _ in range(2):
+        export_tables(copied, "parquet", "path", prefix=f"{path}/")
+    return profile({name: files.read_parquet(spark, f"{path}/{name}") for name in copied})
 
 
 # Reports
@@ -211,9 +269,9 @@ def courier_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sale_events(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
     enriched = messages.enrich_events(
-        tables.event_sales(tables.dealt_events(spark, sf_dir, stream)),
+        tables.event_sales(tables.events(spark, sf_dir, stream),
+                           tables.named_products(spark, sf_dir)),
         tables.customers(spark, sf_dir), tables.products(spark, sf_dir),
-        tables.hot_event_keys(spark, sf_dir),
     )
     return tables.text_ids(messages.score_events(enriched, F.col("k")))
 
@@ -292,13 +350,24 @@ def risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_windowed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The table at rest is not in time order; nothing in it counts as late.
-    summary = aggregates.windowed_summary(
-        parsed_stream(spark, sf_dir), "10 seconds", lateness="3650 days"
-    )
-    return with_plain_times(
-        run_updates(spark, summary, "window_start", "window_end", "category")
-    )
+    """The stream's windows over the table at rest, which is not in time order."""
+    parsed = messages.parse_messages(sale_messages(spark, sf_dir, stream=False))
+    return with_plain_times(aggregates.windowed_summary(parsed, "10 seconds"))
+
+
+def stream_summary_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of a topic kept as files: the stream ends and goes on for each."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "sales-stream")
+    sent = sale_messages(spark, sf_dir, stream=False)
+    number = F.regexp_extract(F.col("key").cast("string"), "([0-9]+)$", 1).cast("long")
+    sent.limit(0).write.parquet(topic)
+    parsed = messages.parse_messages(parquet_files(spark, topic, MESSAGE))
+    for part in range(3):
+        sent.filter(number % 3 == part).write.mode("append").parquet(topic)
+        batches.run_to_end(batches.start_sales_stream(
+            parsed, out, ["summary_by_category"], availableNow=True))
+    schema = batches.DERIVED["summary_by_category"](parsed).schema
+    return batches.read_output(spark, out, "summary_by_category", schema)
 
 
 # Delivery messages in motion
@@ -306,8 +375,7 @@ def stream_windowed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = messages.to_messages(
         tables.order_events(
-            tables.dealt_events(spark, sf_dir, stream=True), tables.customers(spark, sf_dir),
-            tables.hot_event_keys(spark, sf_dir),
+            tables.events(spark, sf_dir, stream=True), tables.customers(spark, sf_dir),
         ),
         ORDER_EVENT, "order_id", F.col("event_time"),
     )
@@ -351,6 +419,10 @@ def queries() -> dict[str, Query]:
         "dataset_profile": dataset_profile,
         "preview": sales_preview,
         "sample_sales": sample_sales,
+        "csv_files": csv_files,
+        "json_lines": json_lines,
+        "report_reread": report_reread,
+        "tables_export": tables_export,
         "top_products_by_units": top_products_by_units,
         "top_cities": top_cities,
         "top_low_stock": top_low_stock,
@@ -373,6 +445,7 @@ def queries() -> dict[str, Query]:
         "stream_summary_category": derived_output("summary_by_category"),
         "stream_summary_city": derived_output("summary_by_city"),
         "stream_windowed_summary": stream_windowed_summary,
+        "stream_summary_batches": stream_summary_batches,
         "stream_running_totals": stream_running_totals,
         "stream_cancellations_by_reason": stream_cancellations_by_reason,
         "stream_delay_alerts": stream_delay_alerts,
@@ -382,7 +455,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; ``sample_sales`` is random and has none."""
+    """DuckDB SQL per query."""
     return {**ORACLES, **training_data()[1]}
 
 

@@ -31,7 +31,7 @@ LINES_WITH_CUSTOMER = f"""
 SALE_EVENTS = f"""
 {CUSTOMERS}, numbered as (
     select event_id as n, ts, user_id, value, event_type,
-           cast(props::json->>'k' as int) as k, event_id % 2500 as partkey
+           cast(props::json->>'k' as int) as k, event_id % (select max(p_partkey) * 5 // 4 + 1 from part) as partkey
     from events
 ), priced as (
     select n, ts, k,
@@ -98,17 +98,25 @@ stocked as (
     from part
 ), low_stock as (select * from stocked where stock <= stock_minimum)"""
 
-PROFILED = {
-    "region": "r_regionkey,r_name",
-    "nation": "n_nationkey,n_name,n_regionkey",
-    "customer": "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment",
-    "supplier": "s_suppkey,s_name,s_nationkey,s_acctbal",
-    "part": "p_partkey,p_name,p_brand,p_type,p_size,p_retailprice",
-    "orders": "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority",
-    "lineitem": "l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,"
-                "l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate",
-    "events": "event_id,ts,user_id,event_type,value,props",
-}
+GIVEN = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+         "benchmark labels conversations").split()
+
+
+def profiled(name: str, columns_of: str, rows: str) -> str:
+    return f"""select '{name}' as table_name, (select count(*) from ({rows})) as n_rows,
+        count(*) as n_columns, string_agg(column_name, ',' order by i) as column_names
+        from ({columns_of})"""
+
+
+def given_profile(name: str) -> str:
+    return profiled(name, f"""select column_name, ordinal_position as i
+        from information_schema.columns where table_name = '{name}'""", f"select 1 from {name}")
+
+
+def export_profile(name: str, names: str, rows: str) -> str:
+    return profiled(name, f"""select unnest(string_split('{names}', ',')) as column_name,
+        generate_subscripts(string_split('{names}', ','), 1) as i""", rows)
+
 
 ENRICHED = f"""
 with {LINES_WITH_CUSTOMER}
@@ -157,11 +165,36 @@ ORACLES = {
                cast(l_quantity as int) as quantity, p_retailprice as price,
                round(p_retailprice * l_quantity, 2) as amount
         from lineitem left join part on p_partkey = l_partkey""",
-    "dataset_profile": " union all ".join(
-        f"select '{name}' as table_name, count(*) as n_rows, "
-        f"cast({names.count(',') + 1} as bigint) as n_columns, '{names}' as column_names from {name}"
-        for name, names in PROFILED.items()
-    ),
+    "dataset_profile": " union all ".join(map(given_profile, GIVEN)),
+    "sample_sales": """
+        select l_orderkey as order_id, l_linenumber as line_number, l_partkey as product_id,
+               l_suppkey as store_id, cast(l_quantity as int) as quantity,
+               l_extendedprice as amount, cast(draw as int) as draw
+        from lineitem, range(1, 5) as draws(draw)
+        where substr(md5('sales-7:' || draw || ':' || l_orderkey || ':' || l_linenumber), 1, 8)
+              < printf('%08x', cast(round(0.01 / 4 * 4294967296) as bigint))""",
+    "csv_files": f"""
+        with {CUSTOMERS}
+        select printf('CLI-%06d', c_custkey) as customer_id, c_name as customer_name,
+               'A, "B"' as last_name, cast(c_custkey % 80 + 18 as int) as age, n_name as city,
+               c_mktsegment as segment, cast(null as varchar) as email
+        from customers""",
+    "json_lines": """
+        select cast(p_partkey as varchar) as product_id, p_name as product_name,
+               p_type as category, p_retailprice as price, p_size * 10 as stock,
+               cast(10 + p_partkey % 31 as int) as stock_minimum, p_brand as supplier
+        from part""",
+    "report_reread": f"""
+        select s_name as store, count(*) as n_sales, {REVENUE} as revenue
+        from lineitem left join supplier on s_suppkey = l_suppkey group by s_name""",
+    "tables_export": " union all ".join((
+        export_profile("sales", "order_id,line_number,product_id,store_id,quantity,amount,"
+                       "discount_pct,shipped_at,cancelled", "select 1 from lineitem"),
+        export_profile("low_stock", "product_id,product_name,category,stock,stock_minimum,supplier",
+                       "select 1 from part where p_size * 10 <= 10 + p_partkey % 31"),
+        export_profile("kpi_store", "store,n_sales,revenue",
+                       "select distinct s_name from lineitem left join supplier on s_suppkey = l_suppkey"),
+    )),
     "preview": f"""
         select order_id, customer_name, product_name, category, quantity, amount, stock
         from ({ENRICHED.format(more=", l_shipdate")})
@@ -211,9 +244,10 @@ ORACLES = {
         from orders left join customers on c_custkey = o_custkey group by n_name""",
     "avg_delivery_time": f"""
         with {DELIVERY_DAYS}
-        select n_name as city, count(*) as n_orders, {mean('100 * days')} as mean_days
-        from delivery left join customers on c_custkey = customer_id
-        where days >= 0 group by n_name""",
+        select n_name as city, count(*) filter (days >= 0) as n_orders,
+               count(*) filter (not coalesce(days >= 0, false)) as n_invalid,
+               {mean('case when days >= 0 then 100 * days end')} as mean_days
+        from delivery left join customers on c_custkey = customer_id group by n_name""",
     "delayed_orders": f"with {DELIVERY_DAYS} select * from delivery where days > 30",
     "cancellations_by_district": f"""
         with {LINES_WITH_CUSTOMER}
@@ -262,6 +296,9 @@ ORACLES = {
         with {SALE_EVENTS}
         select category, {SUMMARY}, cast(0 as bigint) as batch_id from sale_events
         group by category""",
+    "stream_summary_batches": f"""
+        with {SALE_EVENTS}
+        select category, {SUMMARY}, n % 3 as batch_id from sale_events group by all""",
     "stream_summary_city": f"""
         with {SALE_EVENTS}
         select city, {SUMMARY}, cast(0 as bigint) as batch_id from sale_events group by city""",

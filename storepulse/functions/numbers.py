@@ -1,7 +1,7 @@
 """Money and rounding as exact column expressions.
 
-Amounts carry two decimals. They are summed as whole cents in a bigint, which
-stays inside generated code; summing decimal(18,2) takes several times as long.
+Amounts are summed as decimals with six digits after the point and rounded only when
+they are shown, so small amounts count and no order of addition matters.
 """
 
 from __future__ import annotations
@@ -9,15 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 WIDE = "decimal(38,0)"
+EXACT = "decimal(38,6)"
+MICROS = 1_000_000
 
 
-def hundredths(value: Column) -> Column:
-    """A two-decimal double as a whole number of hundredths."""
-    return F.rint(value * 100).cast("long")
+def exact(value: Column) -> Column:
+    """A double as a decimal; NaN and the infinities, which no decimal holds, are NULL."""
+    return value.try_cast(EXACT)
 
 
-def from_hundredths(total: Column) -> Column:
-    return (total.cast(WIDE) / 100).cast("double")
+def shown(total: Column) -> Column:
+    """An exact total to two decimals, ties away from zero."""
+    return F.round(total, 2).cast("double")
 
 
 def half_up_ratio(numerator: Column, denominator: Column) -> Column:
@@ -26,10 +29,10 @@ def half_up_ratio(numerator: Column, denominator: Column) -> Column:
     Whole-number arithmetic throughout, so no intermediate rounding can tip a tie.
     NULL where there is nothing to divide by.
     """
-    wide = denominator.cast(WIDE)
-    size = F.call_function(
-        "div", F.abs(numerator.cast(WIDE)) * 2 + wide, F.nullif(wide * 2, F.lit(0).cast(WIDE))
-    )
+    wide = denominator.cast(WIDE) * 2
+    above = F.abs(numerator.cast(WIDE)) * 2 + denominator.cast(WIDE)
+    size = F.round((above - above % F.nullif(wide, F.lit(0).cast(WIDE))) / F.nullif(
+        wide, F.lit(0).cast(WIDE))).cast(WIDE)
     return F.when(numerator < 0, -size).otherwise(size)
 
 
@@ -38,6 +41,12 @@ def mean_hundredths(total: Column, count: Column) -> Column:
     return half_up_ratio(total, count).cast("double") / 100
 
 
+def mean_of(total: Column, count: Column) -> Column:
+    """Mean of exact values to two decimals, without rounding in between."""
+    micros = F.round(total * MICROS).cast(WIDE)
+    return half_up_ratio(micros, count * (MICROS // 100)).cast("double") / 100
+
+
 def line_amount(unit_price: Column, quantity: Column) -> Column:
     """Price times quantity, to the cent."""
     return F.round(unit_price * quantity, 2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,6 +30,17 @@ def preview(rows: DataFrame, n: int = 10, *order: Column) -> DataFrame:
     return (rows.orderBy(*order) if order else rows).limit(n)
 
 
-def sample_with_replacement(rows: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Random rows, each drawn any number of times; ``fraction`` is the expected share."""
-    return rows.sample(withReplacement=True, fraction=fraction, seed=seed)
+def sample_with_replacement(rows: DataFrame, key: Sequence[str], fraction: float, seed: str,
+                            draws: int = 4) -> DataFrame:
+    """Random rows, each drawn up to ``draws`` times; ``fraction`` is the expected share.
+
+    A draw takes a row if an md5 of seed, draw and key is below a threshold, so the same
+    rows come out on any engine, in any order and on every retry. ``draw`` is its number.
+    """
+    bits = 32
+    below = f"{round(fraction / draws * (1 << bits)):0{bits // 4}x}"
+    named = F.concat_ws(":", F.lit(seed), "draw", *key)
+    return (
+        rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
+        .filter(F.substring(F.md5(named.cast("binary")), 1, bits // 4) < below)
+    )

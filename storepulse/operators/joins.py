@@ -6,22 +6,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.operators.skew import Hot, can_spread, repeat_dimension, spread_facts
-
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str,
-           defaults: Mapping[str, object] | None = None, hot: Hot | None = None) -> DataFrame:
+           defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Left join on ``key``; ``defaults`` replace what no dimension row supplied.
 
     No broadcast hint: Spark broadcasts a dimension it measures below
-    ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges a larger one. So that
-    a hot key does not then leave one task with all its facts, the keys in ``hot``
-    (from ``operators.skew.hot_keys``) are spread over several tasks each.
+    ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges a larger one. A hot key
+    is then split by AQE, which measures the shuffled partitions: nothing is counted
+    beforehand, and any number of keys can be hot.
     """
-    if hot and can_spread(facts, dimension, key):
-        joined = _spread_join(facts, dimension, key, hot)
-    else:
-        joined = facts.join(dimension, key, "left")
+    joined = facts.join(dimension, key, "left")
     if defaults:
         joined = joined.withColumns(
             {name: F.coalesce(F.col(name), F.lit(value)) for name, value in defaults.items()}
@@ -29,21 +24,6 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str,
     return joined
 
 
-def _spread_join(facts: DataFrame, dimension: DataFrame, key: str, hot: Hot) -> DataFrame:
-    """Left join over one bigint, the hash of key and slot, which sorts fastest.
-
-    Rows meet by that place and are then held to equal keys. The range form keeps
-    Spark from sorting by the key as well.
-    """
-    placed = spread_facts(facts, key, hot, "_fact_place")
-    repeated = repeat_dimension(dimension, key, hot, "_place").withColumnRenamed(key, "_same")
-    meet = (F.col("_fact_place") == F.col("_place")) & F.col(key).between(
-        F.col("_same"), F.col("_same")
-    )
-    columns = [key, *facts.columns, *dimension.columns]
-    return placed.join(repeated, meet, "left").select(*dict.fromkeys(columns))
-
-
 def hold_few(rows: DataFrame, n: int) -> DataFrame:
     """The at most ``n`` rows of a top-n or preview, fetched once and kept.
 

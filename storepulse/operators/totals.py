@@ -10,40 +10,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from storepulse.functions.numbers import WIDE, from_hundredths, hundredths, mean_hundredths
+from storepulse.functions.numbers import exact, mean_of, shown
 
 
 def totals(sales: DataFrame, *keys: str, amount: str = "amount") -> DataFrame:
-    """Per key: sales, sales with an amount, and the amounts in cents."""
+    """Per key: sales, sales with a readable amount, and the sum of the amounts."""
     return sales.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_sales"),
-        F.count(amount).alias("n_amounts"),
-        F.sum(hundredths(F.col(amount))).alias("cents"),
+        F.count(exact(F.col(amount))).alias("n_amounts"),
+        F.sum(exact(F.col(amount))).alias("total"),
     )
 
 
 def merge(partials: DataFrame, *keys: str) -> DataFrame:
-    """Partial totals of a coarser key, still in bigint (ANSI mode rejects overflow)."""
+    """Partial totals of a coarser key."""
     return partials.groupBy(*keys).agg(
         F.sum("n_sales").alias("n_sales"),
         F.sum("n_amounts").alias("n_amounts"),
-        F.sum("cents").alias("cents"),
+        F.sum("total").alias("total"),
     )
 
 
 def rollup_to(partials: DataFrame, *groups: str, **extra: Column) -> DataFrame:
-    """Final totals per report group, in decimals that no total can overflow."""
+    """Final totals per report group."""
     return partials.groupBy(*groups).agg(
         F.sum("n_sales").alias("n_sales"),
         F.sum("n_amounts").alias("n_amounts"),
-        F.sum(F.col("cents").cast(WIDE)).alias("cents"),
+        F.sum("total").alias("total"),
         *[column.alias(name) for name, column in extra.items()],
     )
 
 
 def revenue() -> Column:
-    return from_hundredths(F.col("cents"))
+    return shown(F.col("total"))
 
 
 def mean_amount() -> Column:
-    return mean_hundredths(F.col("cents"), F.col("n_amounts"))
+    return mean_of(F.col("total"), F.col("n_amounts"))

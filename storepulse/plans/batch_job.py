@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storepulse.operators.skew import hot_keys
+from storepulse.operators.inspect import profile
+from storepulse.operators.joins import latest_per_key
 from storepulse.operators.totals import totals
 from storepulse.plans import kpis
-from storepulse.plans.sales import enrich_sales
-from storepulse.sinks.reports import write_report_csv
+from storepulse.plans.sales import enrich_sales, register_views
+from storepulse.sinks.reports import plain_numbers, write_report_csv
 from storepulse.sinks.tables import export_tables, write_sales_by_month
 from storepulse.sources import files
 
@@ -48,23 +49,38 @@ def reports(by: dict[str, DataFrame], customers: DataFrame, products: DataFrame,
     }
 
 
-def run(spark: SparkSession, raw: str, out: str) -> dict[str, DataFrame]:
-    """Read the four raw files, write enriched sales, totals and every report."""
+def run(spark: SparkSession, raw: str, out: str, one_document: bool = True
+        ) -> dict[str, DataFrame]:
+    """Read the four raw files, write their profile, enriched sales, totals and every report.
+
+    ``one_document`` says that the JSON files hold an array each, which one task reads;
+    pass False for JSON lines. Of a customer or product listed twice one row counts, so
+    that no sale is counted twice. Everything is registered as a view under its name.
+    """
     # Names of the input files.
     sales = files.read_sales(spark, f"{raw}/transacciones_ventas.csv")
     customers = files.read_customers(spark, f"{raw}/clientes.csv")
-    products = files.read_products(spark, f"{raw}/inventario_productos.json")
-    campaigns = files.read_campaigns(spark, f"{raw}/campanas_marketing.json")
+    products = files.read_products(spark, f"{raw}/inventario_productos.json", one_document)
+    campaigns = files.read_campaigns(spark, f"{raw}/campanas_marketing.json", one_document)
+    profiled = profile({"sales": sales, "customers": customers, "products": products,
+                        "campaigns": campaigns})
+    write_report_csv(profiled, f"{out}/reports/profile.csv", "table_name")
+    customers = latest_per_key(customers, "customer_id", "customer_name")
+    products = latest_per_key(products, "product_id", "product_name")
 
-    hot = hot_keys(sales, "customer_id", "product_id")
-    write_sales_by_month(enrich_sales(sales, customers, products, hot), f"{out}/sales_enriched")
+    write_sales_by_month(enrich_sales(sales, customers, products), f"{out}/sales_enriched")
     # From here on sales come from the columnar copy; no report parses CSV again.
     enriched = files.read_parquet(spark, f"{out}/sales_enriched")
     by = sales_totals(enriched, f"{out}/totals")
     results = reports(by, customers, products, campaigns)
     for name, report in results.items():
         first, column, *others = REPORT_ORDER[name]
-        write_report_csv(report, f"{out}/reports/{name}.csv", first(column), *others)
+        # A row per product, unlike the others with a row per group.
+        one_file = name != "low_stock"
+        path = f"{out}/reports/{name}.csv" if one_file else f"{out}/reports/{name}"
+        write_report_csv(plain_numbers(report), path, first(column), *others, one_file=one_file)
+    register_views({"sales": sales, "customers": customers, "products": products,
+                    "campaigns": campaigns, "sales_enriched": enriched, **results})
     return {"sales_enriched": enriched, **results}
 
 

@@ -33,16 +33,24 @@ def delivery_days(orders: DataFrame, shipments: DataFrame) -> DataFrame:
 
 
 def mean_delivery_days(days: DataFrame, customers: DataFrame) -> DataFrame:
-    """Mean delivery time per district over orders not dated before their shipment."""
-    valid = days.filter(F.col("days") >= 0)
-    per_customer = valid.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sum("days").alias("days")
+    """Mean delivery time per district over orders not dated after their shipment.
+
+    ``n_invalid`` counts the orders left out: those shipped before they were placed, and
+    those without a date.
+    """
+    valid = F.col("days") >= 0
+    per_customer = days.groupBy("customer_id").agg(
+        F.count_if(valid).alias("n_orders"),
+        F.sum(F.when(valid, F.col("days"))).alias("days"),
+        F.count_if(~F.coalesce(valid, F.lit(False))).alias("n_invalid"),
     )
     joined = per_customer.join(customers.select("customer_id", "city"), "customer_id", "left")
     return joined.groupBy("city").agg(
-        F.sum("n_orders").alias("n_orders"), F.sum("days").alias("days")
+        F.sum("n_orders").alias("n_orders"), F.sum("days").alias("days"),
+        F.sum("n_invalid").alias("n_invalid"),
     ).select(
-        "city", "n_orders", mean_hundredths(F.col("days") * 100, F.col("n_orders")).alias("mean_days")
+        "city", "n_orders", "n_invalid",
+        mean_hundredths(F.col("days") * 100, F.col("n_orders")).alias("mean_days")
     )
 
 

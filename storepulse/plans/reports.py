@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.functions.numbers import half_up_ratio, thousands_label
+from storepulse.functions.numbers import MICROS, WIDE, half_up_ratio, thousands_label
 from storepulse.operators.joins import hold_few, lookup_few
 from storepulse.operators.ranking import top_n
 
@@ -33,9 +33,12 @@ def revenue_share(grouped: DataFrame, group: str) -> DataFrame:
     The total is a scalar subquery over the grouped totals, whose shuffle it
     shares; no row passes through an unpartitioned window.
     """
-    total = grouped.agg(F.sum("cents")).scalar()
-    permille = half_up_ratio(F.col("cents") * 1000, F.col("total"))
-    return grouped.select(group, "cents", total.alias("total")).select(
+    everything = grouped.agg(F.sum("total")).scalar()
+    permille = half_up_ratio(F.col("micros") * 1000, F.col("all_micros"))
+    return grouped.select(
+        group, (F.col("total") * MICROS).cast(WIDE).alias("micros"),
+        (everything * MICROS).cast(WIDE).alias("all_micros"),
+    ).select(
         group, (permille.cast("double") / 10).alias("share_pct")
     )
 

@@ -7,15 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from storepulse.operators.joins import lookup
-from storepulse.operators.skew import Hot
 
 
-def enrich_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
-                 hot: Mapping[str, Hot] | None = None) -> DataFrame:
+def enrich_sales(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Every sale, with NULLs where its customer or product is unknown."""
-    hot = hot or {}
-    bought = lookup(sales, customers, "customer_id", hot=hot.get("customer_id"))
-    return lookup(bought, products, "product_id", hot=hot.get("product_id"))
+    bought = lookup(sales, customers, "customer_id")
+    return lookup(bought, products, "product_id")
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

@@ -103,6 +103,9 @@ TABLES = {name: struct(fields) for name, fields in {
               "value double, props string",
 }.items()}
 
+# Given tables that the sales model does not use.
+MORE_TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
 
 def file_schema(fields: dict[str, tuple[str, str]]) -> T.StructType:
     """Schema of an input file under its own field names."""

@@ -17,34 +17,34 @@ def plain_numbers(report: DataFrame) -> DataFrame:
     })
 
 
-def write_report_csv(report: DataFrame, path: str, *order: object, max_rows: int = 100_000) -> bool:
-    """Replace the CSV file at ``path``; True if it is a single file.
+def write_report_csv(report: DataFrame, path: str, *order: object, one_file: bool = True) -> None:
+    """Replace the CSV report at ``path``, as the caller says in one file or a folder of files.
 
-    One file means one task, so only a report of at most ``max_rows`` rows is
-    written that way. A longer one is still written whole, as a directory of files
-    at the same path. The report is computed once, into a table beside the target
-    that is then counted and written out.
+    One file is written by one task: for reports with a row per group. The report is
+    written beside the target; the old one is moved aside, not deleted, until the new one
+    is in its place. A folder is never replaced by a file, nor a file by a folder.
     """
-    report = plain_numbers(report)
     spark = report.sparkSession
     folder = f"{path}._building-{uuid.uuid4().hex}"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    target, aside = hadoop(path), hadoop(f"{folder}/old")
+    if files.exists(target) and files.getFileStatus(target).isFile() != one_file:
+        raise FileExistsError(f"{path} is not {'a file' if one_file else 'a folder'}")
     try:
-        report.write.parquet(f"{folder}/rows")
-        rows = spark.read.schema(report.schema).parquet(f"{folder}/rows")
-        single = rows.count() <= max_rows
-        if single:
+        rows = report
+        if one_file:
             rows = rows.repartition(1).sortWithinPartitions(*order) if order else rows.repartition(1)
         elif order:
             rows = rows.orderBy(*order)
         rows.write.option("header", True).csv(f"{folder}/csv")
         ready = hadoop(f"{folder}/csv")
-        if single:
+        if one_file:
             ready = files.globStatus(hadoop(ready, "part-*"))[0].getPath()
-        files.delete(hadoop(path), True)
-        if not files.rename(ready, hadoop(path)):
+        if files.exists(target) and not files.rename(target, aside):
+            raise OSError(f"could not move the old report from {path}")
+        if not files.rename(ready, target):
+            files.rename(aside, target)
             raise OSError(f"could not move the report to {path}")
     finally:
         files.delete(hadoop(folder), True)
-    return single

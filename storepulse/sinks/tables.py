@@ -34,7 +34,7 @@ def write_table(rows: DataFrame, format: str, **options: str) -> None:
     """Overwrite one table or collection of an external store.
 
     The connector and its address come with the deployment, as in
-    ``write_table(sales, "mongodb", database="retail", collection="sales")``.
+    ``write_table(sales, "mongodb", database="shop", collection="sales")``.
     Executors write their own partitions.
     """
     rows.write.format(format).options(**options).mode("overwrite").save()
@@ -47,8 +47,13 @@ def export_tables(tables: Mapping[str, DataFrame], format: str, name_option: str
         write_table(rows, format, **{**options, name_option: prefix + name})
 
 
-def write_messages(messages: DataFrame, servers: str, topic: str) -> None:
-    """Send keyed messages to a topic, from the executors."""
-    messages.select("key", "value").write.format("kafka").option(
+def write_messages(messages: DataFrame, servers: str, topic: str, **options: str) -> None:
+    """Send keyed messages to a topic, from the executors.
+
+    ``options`` go to the connector as they are, with dots as double underscores, as in
+    ``kafka__security__protocol="SSL"``.
+    """
+    given = {name.replace("__", "."): value for name, value in options.items()}
+    messages.select("key", "value").write.format("kafka").options(**given).option(
         "kafka.bootstrap.servers", servers
     ).option("topic", topic).save()

@@ -7,21 +7,24 @@ from pyspark.sql.types import StructType
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
-                   max_offsets: int | None = None) -> DataFrame:
+                   max_offsets: int = 5_000_000, **options: str) -> DataFrame:
     """Keyed messages of one topic: ``key``, ``value`` and ``timestamp``.
 
     The connector jar comes with the deployment. ``max_offsets`` bounds a batch,
-    so that catching up on a backlog does not arrive as one batch.
+    so that catching up on a backlog does not arrive as one batch. ``options`` go to the
+    connector as they are, with dots as double underscores: ``minPartitions="64"``,
+    ``kafka__security__protocol="SSL"``.
     """
-    reader = (
+    given = {name.replace("__", "."): value for name, value in options.items()}
+    return (
         spark.readStream.format("kafka")
+        .options(**given)
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
+        .option("maxOffsetsPerTrigger", max_offsets)
+        .load().select("key", "value", "timestamp")
     )
-    if max_offsets is not None:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select("key", "value", "timestamp")
 
 
 def parquet_files(spark: SparkSession, path: str, schema: StructType | str,

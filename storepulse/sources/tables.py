@@ -2,48 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from storepulse import schemas
 from storepulse.functions import texts
 from storepulse.operators.joins import lookup
-from storepulse.operators.skew import Hot, hot_keys
 from storepulse.operators.totals import merge, totals
 from storepulse.plans.kpis import campaign_totals
 from storepulse.sources.streams import parquet_files
 
-# An event names one of this many products; where the part table is smaller,
-# some names lead nowhere.
-EVENT_PRODUCTS = 2500
-
-# Up to here a nation table is small enough to be a literal of the plan.
-MOST_NATIONS = 250
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their nation as city.
-
-    The nation table has 25 rows at any scale and becomes a map literal, so that
-    customers stay a plain scan whose size Spark knows. Joined to nations, their
-    estimated size would be the product of both, and facts would be shuffled where
-    a small customer table could be broadcast.
-    """
-    known = table(spark, sf_dir, "nation").limit(MOST_NATIONS + 1).collect()
+    """Customers with their nation as city."""
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city")
     )
-    buyers = table(spark, sf_dir, "customer")
-    if len(known) > MOST_NATIONS:
-        located = lookup(buyers, nations, "c_nationkey")
-    else:
-        names = F.create_map(*[F.lit(value) for row in known for value in row[:2]])
-        located = buyers.withColumn("city", names[F.col("c_nationkey")])
+    located = lookup(table(spark, sf_dir, "customer"), nations, "c_nationkey")
     return located.select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
@@ -108,19 +86,14 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sale line with its order, customer, product and store.
 
-    Customers are attached to orders first, so that the join on customer moves
-    orders and not the several times as many, wider lines.
+    The narrow sides, product and store, are attached to the lines first; customers are
+    attached to the orders, which are several times fewer, and the orders come last.
     """
     sold, placed = sale_lines(spark, sf_dir), sale_orders(spark, sf_dir)
-    hot = {**hot_keys(sold, "order_id", "product_id", "store_id"), **hot_keys(placed, "customer_id")}
-    known_orders = lookup(
-        placed, customers(spark, sf_dir), "customer_id", hot=hot["customer_id"]
-    )
-    with_order = lookup(sold, known_orders, "order_id", hot=hot["order_id"])
-    with_product = lookup(
-        with_order, products(spark, sf_dir), "product_id", hot=hot["product_id"]
-    )
-    return lookup(with_product, stores(spark, sf_dir), "store_id", hot=hot["store_id"])
+    with_product = lookup(sold, products(spark, sf_dir), "product_id")
+    with_store = lookup(with_product, stores(spark, sf_dir), "store_id")
+    known_orders = lookup(placed, customers(spark, sf_dir), "customer_id")
+    return lookup(with_store, known_orders, "order_id")
 
 
 def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +126,9 @@ def campaign_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaigns, one per sale line, counted by customer segment and order channel."""
     per_order = campaign_totals(lines(spark, sf_dir), "order_id")
     where = orders(spark, sf_dir).select("order_id", "customer_id", "channel")
-    per_customer = lookup(per_order, where, "order_id").groupBy("customer_id", "channel").agg(
+    # Dealt by customer alone: the grouping and the lookup after it share one shuffle.
+    bought = lookup(per_order, where, "order_id").repartition("customer_id")
+    per_customer = bought.groupBy("customer_id", "channel").agg(
         F.sum("n_campaigns").alias("n_campaigns"),
         F.sum("n_discounts").alias("n_discounts"),
         F.sum("discounts").alias("discounts"),
@@ -178,28 +153,22 @@ def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     return raw.withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
 
 
-def dealt_events(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
-    """Events for work that costs much per row, such as writing and reading JSON.
-
-    A table in fewer files than there are cores would leave the others idle; its
-    rows are dealt out before that work. A large table has files enough.
-    """
-    raw = events(spark, sf_dir, stream)
-    cores = spark.sparkContext.defaultParallelism
-    few = len(table(spark, sf_dir, "events").inputFiles()) < cores
-    return raw.repartition(cores) if few else raw
-
-
 def event_store(user: Column) -> Column:
     return F.format_string("Store %d", user % 5)
 
 
-def event_sales(raw: DataFrame) -> DataFrame:
+def named_products(spark: SparkSession, sf_dir: str) -> int:
+    """How many product keys events name: a quarter more than there are."""
+    highest = table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] or 0
+    return highest * 5 // 4 + 1
+
+
+def event_sales(raw: DataFrame, n_products: int) -> DataFrame:
     """Events as sales: who bought how many of what, where and when."""
     return raw.select(
         "event_id",
         F.col("user_id").alias("customer_id"),
-        (F.col("event_id") % EVENT_PRODUCTS).alias("product_id"),
+        (F.col("event_id") % n_products).alias("product_id"),
         event_store(F.col("user_id")).alias("store"),
         (F.col("k") % 5 + 1).alias("quantity"),
         F.col("value").alias("unit_price"),
@@ -208,11 +177,6 @@ def event_sales(raw: DataFrame) -> DataFrame:
     )
 
 
-def hot_event_keys(spark: SparkSession, sf_dir: str) -> dict[str, Hot]:
-    """Hot customers and products among the events at rest."""
-    return hot_keys(event_sales(events(spark, sf_dir)), "customer_id", "product_id")
-
-
 def text_ids(scored: DataFrame) -> DataFrame:
     """Numeric keys of enriched events as the padded text ids messages carry."""
     return scored.withColumns({
@@ -233,7 +197,7 @@ ORDER_KINDS = {
 }
 
 
-def order_events(raw: DataFrame, buyers: DataFrame, hot: Mapping[str, Hot]) -> DataFrame:
+def order_events(raw: DataFrame, buyers: DataFrame) -> DataFrame:
     """Events as delivery messages; each kind fills its own fields only."""
     kind = F.create_map(*[F.lit(x) for pair in ORDER_KINDS.items() for x in pair])[F.col("event_type")]
     k = F.col("k")
@@ -245,7 +209,7 @@ def order_events(raw: DataFrame, buyers: DataFrame, hot: Mapping[str, Hot]) -> D
     located = lookup(
         raw.withColumnRenamed("user_id", "customer_id"),
         buyers.select("customer_id", F.col("city").alias("district")),
-        "customer_id", hot=hot["customer_id"],
+        "customer_id",
     )
     return located.withColumn("event_type", kind).select(
         texts.padded_id(texts.EVENT_ID, F.col("event_id")).alias("event_id"),

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from storepulse.functions.numbers import from_hundredths, hundredths, mean_hundredths
+from storepulse.functions.numbers import exact, mean_of, shown
 from storepulse.streaming.batches import start, summary_by, write_batch
 
 
@@ -37,8 +37,8 @@ def running_totals(orders: DataFrame) -> DataFrame:
     placed = orders.filter(F.col("event_type") == "placed")
     return placed.groupBy("district").agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(hundredths(F.col("total_amount"))).alias("cents"),
-    ).select("district", "n_orders", from_hundredths(F.col("cents")).alias("amount"))
+        F.sum(exact(F.col("total_amount"))).alias("total"),
+    ).select("district", "n_orders", shown(F.col("total")).alias("amount"))
 
 
 def cancellations_by_reason(orders: DataFrame) -> DataFrame:
@@ -56,22 +56,22 @@ def delay_alerts(orders: DataFrame, limit_minutes: float = 30) -> DataFrame:
 
 
 def ratings_by_courier(orders: DataFrame) -> DataFrame:
-    """Rated deliveries and the sum of their ratings in hundredths, per courier.
+    """Rated deliveries and the sum of their ratings, per courier.
 
     The condition on the mean is left to ``low_ratings``: applied here, a courier
     whose mean recovers would emit nothing, and the old alert would stay.
     """
-    rated = orders.filter((F.col("event_type") == "delivered") & F.col("rating").isNotNull())
+    rated = orders.filter((F.col("event_type") == "delivered") & exact(F.col("rating")).isNotNull())
     return rated.groupBy("courier_id").agg(
         F.count(F.lit(1)).alias("n_ratings"),
-        F.sum(hundredths(F.col("rating"))).alias("ratings"),
+        F.sum(exact(F.col("rating"))).alias("ratings"),
     )
 
 
 def low_ratings(current: DataFrame, limit: float = 2.5) -> DataFrame:
     """Couriers whose mean rating is now below the limit."""
-    mean = mean_hundredths(F.col("ratings"), F.col("n_ratings"))
-    bound = F.col("n_ratings") * F.lit(round(limit * 100))
+    mean = mean_of(F.col("ratings"), F.col("n_ratings"))
+    bound = F.col("n_ratings") * F.lit(limit).cast("decimal(10,4)")
     return current.filter(F.col("ratings") < bound).select(
         "courier_id", "n_ratings", mean.alias("mean_rating")
     )

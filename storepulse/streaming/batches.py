@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from storepulse.functions.numbers import from_hundredths, hundredths, mean_hundredths
+from storepulse.functions.numbers import exact, mean_of, shown
 from storepulse.functions.risk import needs_alert
 from storepulse.streaming.messages import dead_letters
 
@@ -18,13 +18,13 @@ def summary_by(events: DataFrame, *groups: object) -> DataFrame:
     """Events, revenue and mean risk per group."""
     return events.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.sum(hundredths(F.col("total_amount"))).alias("cents"),
-        F.sum(hundredths(F.col("risk_score"))).alias("risk"),
-        F.count("risk_score").alias("n_scored"),
+        F.sum(exact(F.col("total_amount"))).alias("total"),
+        F.sum(exact(F.col("risk_score"))).alias("risk"),
+        F.count(exact(F.col("risk_score"))).alias("n_scored"),
     ).withColumns({
-        "revenue": from_hundredths(F.col("cents")),
-        "mean_risk": mean_hundredths(F.col("risk"), F.col("n_scored")),
-    }).drop("cents", "risk", "n_scored")
+        "revenue": shown(F.col("total")),
+        "mean_risk": mean_of(F.col("risk"), F.col("n_scored")),
+    }).drop("total", "risk", "n_scored")
 
 
 def alert_rule() -> Column:
@@ -48,6 +48,9 @@ DERIVED: dict[str, Callable[[DataFrame], DataFrame]] = {
     "dead_letter": dead_letters,
 }
 
+# Outputs that hold the rows found in a batch, and are not written where there are none.
+FOUND = ("alerts", "dead_letter")
+
 
 def batch_path(out: str, name: str, batch_id: int) -> str:
     return f"{out}/{name}/batch_id={batch_id}"
@@ -58,12 +61,19 @@ def write_batch(rows: DataFrame, out: str, name: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_path(out, name, batch_id))
 
 
+def remove_batch(spark: SparkSession, out: str, name: str, batch_id: int) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(batch_path(out, name, batch_id))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def batch_writer(out: str, outputs: Iterable[str] = tuple(DERIVED)) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes the events and what derives from them.
 
     The source is read once, into the events output. Everything else is computed
     from that written table: it reads only the columns it needs, nothing is held
-    in executor memory, and a lost executor costs no second read of the source.
+    in executor memory, and a lost executor costs no second read of the source. An
+    empty batch writes nothing; a batch without alerts or dead letters has no such
+    output.
     """
     outputs = tuple(outputs)
 
@@ -72,10 +82,14 @@ def batch_writer(out: str, outputs: Iterable[str] = tuple(DERIVED)) -> Callable[
         written = batch.sparkSession.read.schema(batch.schema).parquet(
             batch_path(out, "events", batch_id)
         )
+        # Asked of the written rows: asking the batch would read the source twice.
         if written.isEmpty():
+            remove_batch(batch.sparkSession, out, "events", batch_id)
             return
         for name in outputs:
-            write_batch(DERIVED[name](written), out, name, batch_id)
+            rows = DERIVED[name](written)
+            if name not in FOUND or not rows.isEmpty():
+                write_batch(rows, out, name, batch_id)
 
     return write
 
@@ -113,13 +127,17 @@ def start_sales_stream(parsed: DataFrame, out: str, outputs: Iterable[str] = tup
 
 
 def read_output(spark: SparkSession, out: str, name: str, schema: StructType) -> DataFrame:
-    """All batches of one output with their ``batch_id``; empty if there are none."""
+    """All batches of one output with their ``batch_id``; empty if there are none.
+
+    A path that no query was ever started on fails like any missing input.
+    """
     full = StructType(schema.fields).add("batch_id", "long")
     try:
         return spark.read.schema(full).parquet(f"{out}/{name}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        spark.read.text(f"{out}/_checkpoint/metadata")
         return spark.createDataFrame([], full)
 
 
@@ -133,9 +151,13 @@ def served_summary(summary: DataFrame, group: str) -> DataFrame:
     return summary.orderBy("batch_id", F.desc("revenue"), group)
 
 
-def run_to_end(query: StreamingQuery) -> None:
-    """Wait for an ``availableNow`` query; a failed one raises here."""
-    query.awaitTermination()
+def run_to_end(query: StreamingQuery, seconds: float | None = None) -> None:
+    """Wait for an ``availableNow`` query; one that fails or takes longer raises here."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
+        query.stop()
+        raise TimeoutError(f"the stream has not come to its end in {seconds} s")
 
 
 def run_for(query: StreamingQuery, seconds: float) -> None:

@@ -6,8 +6,6 @@ serves batch and streaming frames alike.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -15,32 +13,21 @@ from storepulse.functions.numbers import line_amount
 from storepulse.functions.risk import is_risky, key_position, risk_score
 from storepulse.functions.texts import iso_seconds, moment
 from storepulse.operators.joins import lookup
-from storepulse.operators.skew import Hot
 from storepulse.schemas import SALE_EVENT
 
 # Fixed value: what a message says where the sale's customer or product is unknown.
 UNKNOWN = "desconocido"
 
-# Beyond this, and for NaN, a number in a message is taken for an error: a double no
-# longer holds its hundredths, and totals would overflow.
-LARGEST_NUMBER = 1e13
-
 CUSTOMER_DEFAULTS = {"customer_name": UNKNOWN, "city": UNKNOWN}
 PRODUCT_DEFAULTS = {"product_name": UNKNOWN, "category": UNKNOWN, "stock": 0, "stock_minimum": 0}
 
 
-def enrich_events(sales: DataFrame, customers: DataFrame, products: DataFrame,
-                  hot: Mapping[str, Hot] | None = None) -> DataFrame:
-    """Sales with customer, city, product, category and stock, or their defaults.
-
-    ``hot`` lists the hot values of ``customer_id`` and ``product_id``. A stream
-    cannot be counted beforehand; take them from events at rest.
-    """
-    hot = hot or {}
+def enrich_events(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales with customer, city, product, category and stock, or their defaults."""
     customers = customers.select("customer_id", *CUSTOMER_DEFAULTS)
     products = products.select("product_id", *PRODUCT_DEFAULTS)
-    bought = lookup(sales, customers, "customer_id", CUSTOMER_DEFAULTS, hot.get("customer_id"))
-    known = lookup(bought, products, "product_id", PRODUCT_DEFAULTS, hot.get("product_id"))
+    bought = lookup(sales, customers, "customer_id", CUSTOMER_DEFAULTS)
+    known = lookup(bought, products, "product_id", PRODUCT_DEFAULTS)
     return known.withColumn("store", F.coalesce("store", F.lit(UNKNOWN)))
 
 
@@ -72,8 +59,8 @@ def parse_messages(messages: DataFrame, schema: StructType = SALE_EVENT) -> Data
     """Typed events, one row per message.
 
     A message that is not readable JSON stays as a row of NULLs, so that counts
-    are those of the topic. A single unreadable field, event time or number out of
-    all proportion is NULL by itself: no message can stop the stream. In all these
+    are those of the topic. A single unreadable field or event time, and a number
+    that is none (NaN, infinite), is NULL by itself: no message can stop the stream. In all these
     cases ``corrupt_record`` keeps the text.
     """
     text = F.col("value").cast("string")
@@ -86,7 +73,7 @@ def parse_messages(messages: DataFrame, schema: StructType = SALE_EVENT) -> Data
         body.alias("_body"),
     ).select("message_key", "kafka_timestamp", "_text", "_body.*")
     checked = {
-        field.name: F.when(F.abs(field.name) < LARGEST_NUMBER, F.col(field.name))
+        field.name: F.when(F.abs(field.name) < float("inf"), F.col(field.name))
         for field in schema.fields if isinstance(field.dataType, DoubleType)
     }
     checked["event_timestamp"] = moment(F.col("event_timestamp"))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from storepulse import schemas
 from storepulse.plans import batch_job
-from storepulse.plans.sales import register_views
 from storepulse.session import sized_for
 from storepulse.sinks import reports as report_files, tables as sinks
 from storepulse.sources import files, streams
@@ -127,21 +126,25 @@ def test_report_is_one_plain_file_replaced_each_time(spark, scratch):
     path = f"{scratch}/report.csv"
     report = spark.createDataFrame([("b", 25432459.2), ("a", 1e9), ("c", None)], "k string, v double")
     for _ in range(2):
-        assert report_files.write_report_csv(report, path, F.desc("v"), "k")
+        report_files.write_report_csv(report_files.plain_numbers(report), path, F.desc("v"), "k")
     assert Path(path).read_text().splitlines() == ["k,v", "a,1000000000.00", "b,25432459.20", "c,"]
     assert sorted(p.name for p in Path(scratch).iterdir() if not p.name.startswith(".")) == ["report.csv"]
 
 
-def test_long_report_is_written_whole_as_a_folder(spark, scratch):
-    path = f"{scratch}/report.csv"
-    assert not report_files.write_report_csv(spark.range(1000), path, "id", max_rows=100)
-    assert files.read_csv(spark, path, spark.range(1).schema).count() == 1000
-    assert report_files.write_report_csv(spark.range(3), path, "id")
-    assert Path(path).read_text() == "id\n0\n1\n2\n"
+def test_report_has_the_form_the_caller_names(spark, scratch):
+    report_files.write_report_csv(spark.range(1000), f"{scratch}/long", "id", one_file=False)
+    assert files.read_csv(spark, f"{scratch}/long", spark.range(1).schema).count() == 1000
+    report_files.write_report_csv(spark.range(200_000), f"{scratch}/one.csv", "id")
+    assert Path(scratch, "one.csv").is_file()
+    with pytest.raises(FileExistsError):
+        report_files.write_report_csv(spark.range(3), f"{scratch}/long")
+    with pytest.raises(FileExistsError):
+        report_files.write_report_csv(spark.range(3), f"{scratch}/one.csv", one_file=False)
+    assert files.read_csv(spark, f"{scratch}/long", spark.range(1).schema).count() == 1000
 
 
 def test_empty_report_still_has_its_header(spark, scratch):
-    assert report_files.write_report_csv(spark.range(0), f"{scratch}/empty.csv")
+    report_files.write_report_csv(spark.range(0), f"{scratch}/empty.csv")
     assert Path(scratch, "empty.csv").read_text() == "id\n"
 
 
@@ -151,23 +154,33 @@ def test_batch_job(spark, raw, scratch):
     enriched = spark.read.parquet(f"{out}/sales_enriched")
     assert enriched.count() == 3 and enriched.filter("city is null").count() == 1
     read = {p.stem: p.read_text().splitlines() for p in Path(out, "reports").glob("*.csv")}
-    assert set(read) == set(results) - {"sales_enriched"}
+    assert set(read) == set(results) - {"sales_enriched", "low_stock"} | {"profile"}
+    assert read["profile"][1].startswith('campaigns,1,7,"campaign_id,')
     assert read["revenue_by_category"] == [
         "category,n_sales,revenue,mean_ticket", "Calzado,1,99.99,99.99", "Hogar,2,31.50,15.75"]
     assert read["spend_by_segment"][1:] == [
         "Regular,1,99.99,99.99", "Premium,1,21.00,21.00", ",1,10.50,10.50"]
     assert read["revenue_by_store"][1:] == ["Sur,2,110.49", '"Plaza, Norte",1,21.00']
-    assert read["low_stock"][1:] == ["PROD-000001,Lámpara,Hogar,5,5,A"]
+    low = [line for part in Path(out, "reports", "low_stock").glob("*.csv") for line in part.read_text().splitlines()]
+    assert low[1:] == ["PROD-000001,Lámpara,Hogar,5,5,A"]
     assert read["campaigns_by_segment"][1:] == ["Premium,SMS,1,15.00"]
     again = files.read_csv(spark, f"{out}/reports/revenue_by_store.csv",
                            schemas.struct("store string, n_sales bigint, revenue double"))
     assert {tuple(row) for row in again.collect()} == {("Sur", 2, 110.49), ("Plaza, Norte", 1, 21.0)}
-    register_views({"sales_view": results["sales_enriched"]})
-    assert spark.sql("select sum(quantity) from sales_view where segment = 'Premium'").first()[0] == 2
+    assert spark.sql("select sum(quantity) from sales_enriched where segment = 'Premium'").first()[0] == 2
     batch_job.export(results, "json", "path", prefix=f"{out}/export/")
     assert spark.read.json(f"{out}/export/sales_enriched").count() == 3
 
 
+def test_batch_job_of_json_lines_and_repeated_customers(spark, raw, scratch):
+    for name, content in (("inventario_productos", PRODUCTS), ("campanas_marketing", CAMPAIGNS)):
+        Path(raw, f"{name}.json").write_text("\n".join(map(json.dumps, content)), encoding="utf-8")
+    Path(raw, "clientes.csv").write_text(CUSTOMERS + CUSTOMERS.splitlines()[1] + "\n", encoding="utf-8")
+    results = batch_job.run(spark, raw, f"{scratch}/out", one_document=False)
+    assert results["sales_enriched"].count() == 3
+    assert results["revenue_by_category"].count() == 2
+
+
 class Session:
     """As much of a session as choosing a scratch folder takes."""
 
@@ -185,6 +198,8 @@ def test_scratch_is_where_the_cluster_says():
     assert first.startswith("hdfs://shared/scratch/x-") and first != second
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Session(spark_master="yarn"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session(spark_master="local-cluster[2,1,1024]"), "x")
     assert scratch_path(Session(spark_master="local[2]"), "x").startswith("/")
 
 

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from storepulse.operators.joins import hold_few, latest_per_key, lookup, lookup_few
-from storepulse.operators.skew import hot_keys, repeat_dimension, spread_facts
 
 
 @pytest.fixture(scope="module")
@@ -38,45 +37,6 @@ def test_defaults_replace_what_is_missing(spark):
         [(1, 10, "one", 5), (2, 20, "unknown", 0), (None, 30, "unknown", 0)], key=repr)
 
 
-def test_hot_keys_are_found_by_their_count(facts):
-    hot = hot_keys(facts, "key", "id", fraction=1.0, rows_per_task=100)
-    seven = facts.sparkSession.range(7, 8).select(F.xxhash64("id")).first()[0]
-    assert hot["id"] == {}
-    assert hot["key"] == {seven: 16}
-
-
-def test_spreading_changes_the_slots_and_not_the_result(spark, facts, dimension):
-    values = spark.createDataFrame([(7,), (None,), (110,)], "key long")
-    hot = {row[0]: 8 for row in values.select(F.xxhash64("key")).collect()}
-    assert bag(lookup(facts, dimension, "key", hot=hot)) == bag(lookup(facts, dimension, "key"))
-    spread = spread_facts(facts, "key", hot, "place").groupBy("key").agg(
-        F.countDistinct("place").alias("n"))
-    slots = {row["key"]: row["n"] for row in spread.collect()}
-    assert slots[7] == 8 and slots[None] == 8 and slots[5] == 1
-    assert repeat_dimension(dimension, "key", hot, "place").count() == 100 + 7
-
-
-def test_spreading_works_under_a_sort_merge_join(spark, facts, dimension):
-    hot = hot_keys(facts, "key", fraction=1.0, rows_per_task=100)["key"]
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert bag(lookup(facts, dimension, "key", hot=hot)) == bag(lookup(facts, dimension, "key"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
-def test_keys_of_unlike_types_are_joined_without_spreading(spark, facts, dimension):
-    """An int and a bigint are equal and hash differently."""
-    hot = {row[0]: 8 for row in spark.createDataFrame([(7,)], "key long").select(F.xxhash64("key")).collect()}
-    narrow = dimension.withColumn("key", F.col("key").cast("int"))
-    assert bag(lookup(facts, narrow, "key", hot=hot)) == bag(lookup(facts, dimension, "key"))
-    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "key double")
-    named = spark.createDataFrame([(0.0, "zero")], "key double, name string")
-    hot = {row[0]: 4 for row in zeros.select(F.xxhash64("key")).collect()}
-    assert [row["name"] for row in lookup(zeros, named, "key", hot=hot).collect()] == ["zero", "zero"]
-
-
 def test_few_rows_without_keys_keep_their_rows(spark, dimension):
     held = hold_few(spark.createDataFrame([(None, "a")], "key long, v string"), 5)
     assert bag(lookup_few(held, dimension, "key")) == [(None, "a", None)]
@@ -106,3 +66,24 @@ def test_repeated_dimension_keys_multiply_facts_unless_reduced(spark):
     assert latest.columns == repeated.columns
     assert bag(lookup(facts, latest, "key").select("key", "name")) == [
         (1, "new"), (1, "new"), (2, "only")]
+
+
+def test_many_hot_keys_are_split_by_the_engine(spark):
+    """3,000 keys, a third of the rows under one, no broadcast: no task holds a key whole."""
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {key: spark.conf.get(key) for key in held}
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 3000)
+    facts = spark.range(0, 400_000, 1, 8).select("id", key.alias("key"), F.uuid().alias("more"))
+    dimension = spark.range(3000).select(F.col("id").alias("key"), F.format_string("n%d", "id").alias("name"))
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        joined = lookup(facts, dimension, "key").withColumn("task", F.spark_partition_id())
+        tasks = joined.filter("key = 7").groupBy("task").count().collect()
+        assert len(tasks) > 1 and sum(row["count"] for row in tasks) > 133_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

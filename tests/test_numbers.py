@@ -36,16 +36,29 @@ def test_mean_equals_decimal_arithmetic(spark, pairs):
     assert means(spark, pairs) == expected
 
 
-def test_hundredths_of_awkward_doubles(spark):
-    values = [0.07, 1.15, 2.675, 104999.91, -0.0, 1e9 + 0.01]
+def exact_sums(spark, values):
     rows = spark.createDataFrame([(v,) for v in values], "v double")
-    cents = [r[0] for r in rows.select(numbers.hundredths(F.col("v"))).collect()]
-    assert cents == [7, 115, 268, 10499991, 0, 100000000001]
+    value = numbers.exact(F.col("v"))
+    total, count = F.sum(value).alias("total"), F.count(value).alias("n")
+    found = rows.agg(total, count).select(
+        numbers.shown(F.col("total")), numbers.mean_of(F.col("total"), F.col("n")))
+    return tuple(found.first())
 
 
-def test_totals_beyond_bigint_stay_exact(spark):
-    row = spark.sql("select cast('12345678901234567890123' as decimal(38,0)) as cents")
-    assert row.select(numbers.from_hundredths(F.col("cents"))).first()[0] == float("123456789012345678901.23")
+def test_awkward_doubles_sum_exactly(spark):
+    assert exact_sums(spark, [0.07, 1.15, 2.675, -0.0]) == (3.90, 0.97)
+    assert exact_sums(spark, [0.1] * 10 + [0.2] * 10) == (3.0, 0.15)
+
+
+def test_small_amounts_count(spark):
+    assert exact_sums(spark, [0.004] * 1000) == (4.0, 0.0)
+
+
+def test_large_amounts_count_and_no_number_does_not(spark):
+    assert exact_sums(spark, [2e13, 1e20, 0.01]) == (float("100000020000000000000.01"),
+                                                     float("33333340000000000000"))
+    assert exact_sums(spark, [float("nan"), float("inf"), 2.0, None]) == (2.0, 2.0)
+    assert exact_sums(spark, [float("nan")]) == (None, None)
 
 
 def test_amount_and_label(spark):

@@ -109,12 +109,14 @@ def test_unreadable_messages_stay_as_nulls_and_go_to_the_dead_letters(spark, fol
 
 
 def test_absurd_numbers_do_not_stop_the_stream(spark, folder, out):
-    texts = ['{"event_id": "E1", "category": "Hogar", "total_amount": 1e300, "risk_score": 0.5}',
-             '{"event_id": "E2", "category": "Hogar", "total_amount": NaN, "risk_score": 0.7}']
-    stage(spark, folder, [sale(1, risk=0.6)], texts=texts)
+    large = '{"event_id": "E1", "category": "Hogar", "total_amount": 2e13, "risk_score": 0.5}'
+    beyond = '{"event_id": "E3", "category": "Ropa", "total_amount": 1e300, "risk_score": 0.5}'
+    none = '{"event_id": "E2", "category": "Hogar", "total_amount": NaN, "risk_score": 0.7}'
+    stage(spark, folder, [sale(1, risk=0.6)], texts=[large, beyond, none])
     run(spark, folder, out)
-    assert bag(output(spark, folder, out, "summary_by_category")) == [("Hogar", 3, 10.0, 0.6, 0)]
-    assert {row["corrupt_record"] for row in output(spark, folder, out, "dead_letter").collect()} == set(texts)
+    assert bag(output(spark, folder, out, "summary_by_category")) == [
+        ("Hogar", 3, 20000000000010.0, 0.6, 0), ("Ropa", 1, None, 0.5, 0)]
+    assert [row["corrupt_record"] for row in output(spark, folder, out, "dead_letter").collect()] == [none]
 
 
 def test_enrichment_fills_defaults(spark):
@@ -191,9 +193,30 @@ def test_replayed_batch_replaces_its_outputs(spark, two_batches, folder, out):
 
 def test_empty_batch_writes_no_reports(spark, two_batches, folder, out):
     batches.batch_writer(out)(at_rest(spark, folder).filter("false"), 0)
-    for name in ("events", *batches.DERIVED):
-        assert output(spark, folder, out, name).isEmpty()
-    assert not Path(out, "alerts").exists()
+    assert list(Path(out).glob("*/batch_id=*")) == []
+
+
+def test_batch_without_alerts_writes_none(spark, folder, out):
+    stage(spark, folder, [sale(1)])
+    stage(spark, folder, [sale(2, risk=0.9)])
+    run(spark, folder, out)
+    assert [p.name for p in Path(out, "alerts").glob("batch_id=*")] == ["batch_id=1"]
+    assert not Path(out, "dead_letter").exists()
+    assert output(spark, folder, out, "dead_letter").isEmpty()
+
+
+def test_output_of_no_stream_fails(spark, folder, out):
+    stage(spark, folder, [sale(1)])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        output(spark, folder, out, "alerts")
+
+
+def test_waiting_has_an_end(spark, folder, out):
+    stage(spark, folder, [sale(1)])
+    query = batches.start_sales_stream(parsed(spark, folder), out, processingTime="1 second")
+    with pytest.raises(TimeoutError):
+        batches.run_to_end(query, 5)
+    assert not query.isActive
 
 
 def test_bounded_run_stops(spark, two_batches, folder, out):
