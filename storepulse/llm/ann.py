@@ -22,9 +22,10 @@ ROUNDS = 12
 # A vector is also put on lists whose centroid is at most this much farther than the
 # nearest, up to that many lists.
 BOUNDARY, REPLICAS = 1.10, 3
-# A query looks at lists whose centroid is at most this much farther than the nearest,
-# but at no fewer than this part of all, and this many.
-PRUNE, LEAST_PART, LEAST_LISTS = 1.13, 0.18, 8
+# A query looks at lists that promise at least this part of the best list's inner product,
+# but at no fewer than this part of all, and this many. What a list promises is the inner
+# product with its centroid and one deviation of its vectors from there.
+PROMISE, LEAST_PART, LEAST_LISTS = 0.5, 0.45, 8
 # Neighbours of a centroid in the graph, and nodes a search keeps open.
 DEGREE, BEAM = 24, 1.5
 # Rows of one list that a task compares with queries at a time.
@@ -93,8 +94,16 @@ class Lists:
         entries = random.permutation(n)[:min(16, n)]
         return Lists(centres, graph, entries)
 
-    def search(self, x: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``wanted`` nearest centroids found for each row, and their distances.
+    @property
+    def norms(self) -> np.ndarray:
+        return (self.centres * self.centres).sum(1)
+
+    def search(
+        self, x: np.ndarray, wanted: int, norms: np.ndarray,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ``wanted`` nearest centroids found for each row, and their squared distances.
+
+        ``norms`` are the centroids' squared norms, or what stands for them.
 
         Best-first search in the graph for all rows at once: each step opens the nearest
         unopened nodes of every row, until the nearest nodes of a row are all open.
@@ -105,12 +114,11 @@ class Lists:
         rows = np.arange(len(x))[:, None]
         distance = np.full((len(x), n), np.inf)
         opened = np.zeros((len(x), n), bool)
-        norms = (self.centres * self.centres).sum(1)
         own = (x * x).sum(1)[:, None]
 
         def reach(nodes: np.ndarray) -> None:
-            d = own - 2 * np.einsum("ij,ikj->ik", x, self.centres[nodes]) + norms[nodes]
-            distance[rows, nodes] = np.maximum(d, 0)
+            distance[rows, nodes] = (
+                own - 2 * np.einsum("ij,ikj->ik", x, self.centres[nodes]) + norms[nodes])
 
         reach(np.tile(self.entries, (len(x), 1)))
         while True:
@@ -126,21 +134,42 @@ class Lists:
             nodes = self.graph[np.where(fresh, chosen, self.entries[0])].reshape(len(x), -1)
             reach(nodes) if nodes.shape[1] else None
         found = np.argsort(distance, axis=1, kind="stable")[:, :wanted]
-        return found, np.sqrt(distance[rows, found])
+        return found, distance[rows, found]
 
-    def near(
-        self, x: np.ndarray, ratio: float, least: int, most: int,
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Row and list for each list that the distance ratio selects."""
+    def near(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and list for each list that a stored vector is put on."""
         parts = [np.zeros((2, 0), np.int64)]
         for i in range(0, len(x), 256):
-            found, distance = self.search(x[i:i + 256], most)
-            keep = distance <= ratio * distance[:, :1]
-            keep[:, :least] = True
+            found, squared = self.search(x[i:i + 256], REPLICAS, self.norms)
+            distance = np.sqrt(np.maximum(squared, 0))
+            keep = distance <= BOUNDARY * distance[:, :1]
+            keep[:, :1] = True
             row, place = np.nonzero(keep & np.isfinite(distance))
             parts.append(np.array([row + i, found[row, place]]))
         return tuple(np.concatenate(parts, axis=1))
 
+    def promising(self, x: np.ndarray, largest: float) -> tuple[np.ndarray, np.ndarray]:
+        """Row and list for each list that a query looks at; ``x`` from ``asking``.
+
+        All stored vectors are as long as ``largest``, so the lists nearest to a query by
+        the mean square of its vectors' distances are those of the largest mean inner
+        product. A centroid falls short of ``largest`` by the variance of its list, whose
+        deviation in one direction is added; long vectors of a mixed list are found by it.
+        """
+        deviation = np.sqrt(
+            np.maximum(largest ** 2 - self.norms, 0) / max(self.centres.shape[1] - 1, 1))
+        norms = largest ** 2 - 2 * largest * deviation
+        least = max(LEAST_LISTS, math.ceil(LEAST_PART * len(self.centres)))
+        parts = [np.zeros((2, 0), np.int64)]
+        for i in range(0, len(x), 256):
+            found, squared = self.search(x[i:i + 256], len(self.centres), norms)
+            promise = 2 * largest ** 2 - squared
+            keep = promise >= PROMISE * promise[:, :1]
+            keep[:, :least] = True
+            row, place = np.nonzero(keep & np.isfinite(squared))
+            parts.append(np.array([row + i, found[row, place]]))
+        return tuple(np.concatenate(parts, axis=1))
+
 
 def usable(vectors: DataFrame) -> DataFrame:
     """Vectors that take part: not NULL, zero, or with a NULL or non-finite component."""
@@ -152,15 +181,23 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def spherical(rows: pd.Series, largest: float) -> np.ndarray:
-    """Vectors with one more component that brings each to the largest norm.
+    """Stored vectors with one more component that brings each to the largest norm.
 
-    Among such the nearest by distance has the largest inner product.
+    Among such the nearest to a query of ``asking`` has the largest inner product.
     """
     x = np.array(rows.tolist(), np.float64)
     rest = np.maximum(largest ** 2 - (x * x).sum(1), 0)
     return np.hstack([x, np.sqrt(rest)[:, None]])
 
 
+def asking(rows: pd.Series, largest: float) -> np.ndarray:
+    """Queries brought to the largest norm, with 0 as the component more."""
+    x = np.array(rows.tolist(), np.float64)
+    x /= np.abs(x).max(1)[:, None]
+    x *= largest / np.sqrt((x * x).sum(1))[:, None]
+    return np.hstack([x, np.zeros((len(x), 1))])
+
+
 def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's nearest by inner product.
 
@@ -188,16 +225,15 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     lists = Lists.fit(
         spherical(sample.vector, largest) if len(sample) else np.zeros((0, 1)), facts["rows"])
     shared = read.sparkSession.sparkContext.broadcast(lists)
-    n_lists = len(lists.centres)
-    least = max(LEAST_LISTS, math.ceil(LEAST_PART * n_lists))
 
-    def placed(ratio: float, at_least: int, at_most: int):
+    def placed(queries: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for rows in batches:
                 if not len(rows):
                     continue
-                at, where = shared.value.near(
-                    spherical(rows.vector, largest), ratio, at_least, at_most)
+                at, where = (
+                    shared.value.promising(asking(rows.vector, largest), largest) if queries
+                    else shared.value.near(spherical(rows.vector, largest)))
                 yield pd.DataFrame({"vec_id": rows.vec_id.to_numpy()[at],
                                     "list": where.astype(np.int32),
                                     "vector": rows.vector.to_numpy()[at]})
@@ -205,10 +241,11 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     schema = "vec_id long, list int, vector array<double>"
     posted = written(
-        read.mapInPandas(placed(BOUNDARY, 1, min(REPLICAS, max(n_lists, 1))), schema), "postings")
+        read.mapInPandas(placed(queries=False), schema), "postings")
     lengths = posted.groupBy("list").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("slots"))
-    asked = read.filter(F.col("vec_id") % every == 0).mapInPandas(placed(PRUNE, least, max(n_lists, 1)), schema).join(
+    asked = read.filter(F.col("vec_id") % every == 0).mapInPandas(
+        placed(queries=True), schema).join(
             lengths, "list").withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
     posted = posted.join(lengths, "list").withColumn(
         "slot", F.pmod(F.xxhash64("vec_id", "vector"), F.col("slots")).cast("int"))

@@ -134,6 +134,23 @@ def test_recall(spark):
             assert abs(score - np.dot(np.array(exact[i], float), np.array(exact[j], float))) < 1e-12
 
 
+@pytest.mark.parametrize("lengths", ["uniform", "lognormal"])
+def test_recall_of_vectors_of_differing_lengths(spark, lengths):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x *= (draw.uniform(0.5, 1.5, (6000, 1)) if lengths == "uniform"
+          else draw.lognormal(0, 0.5, (6000, 1)))
+    rows = list(enumerate(x.tolist()))
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = nearest(rows, 20, 20)
+    found = {}
+    for r in ann.search(vectors).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = [len(found[i] & {j for j, _ in expected[i]}) / 20 for i in expected]
+    assert np.mean(hits) >= 0.94
+
+
 def test_few_and_odd_vectors(spark):
     rows = [(0, [1., 0.]), (1, [0., 1.]), (2, [2., 0.]), (3, [2., 0.]), (20, [0.5, 0.5]), (4, None),
             (5, []), (6, [0., 0.]), (7, [float("nan"), 1.]), (8, [float("inf"), 1.]), (9, [None, 1.]),
