@@ -25,6 +25,9 @@ RATE = 0.05
 GAIN = 40.0
 # A subword of fewer training documents stays neutral.
 LEAST_DOCUMENTS = 5
+# So does one whose rates in the two classes differ by fewer standard errors than this;
+# else chance subwords of few toxic texts are learned by heart.
+LEAST_Z = 3.0
 # Texts shorter than this are averaged as if they had that many words.
 LEAST_WORDS = 30
 # The part of a text that one word counts for at most, so that a word said over and
@@ -81,21 +84,29 @@ def subwords(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def bag(text: str | None, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text, of ``often`` alone, and the weight of each in its average."""
+def bag(text: str | None, telling: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text, of ``telling`` alone, and the weight of each in its average."""
     part = shares(words_of(text))
     if not part:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
     buckets, owners = subwords([w for w, _ in part])
     weight = (np.array([s for _, s in part]) / np.bincount(owners, minlength=len(part)))[owners]
-    if often is not None:
-        kept = often[buckets]
+    if telling is not None:
+        kept = telling[buckets]
         buckets, weight = buckets[kept], weight[kept]
     distinct, where = np.unique(buckets, return_inverse=True)
     return (distinct.astype(np.int32),
             np.bincount(where, weight, len(distinct)).astype(np.float32))
 
 
+def z_of(documents: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Standard errors between the rates of two classes, of ``documents`` among ``sizes``."""
+    pooled = documents.sum(0) / sizes.sum()
+    error = np.sqrt(pooled * (1 - pooled) * (1 / sizes[0] + 1 / sizes[1]))
+    apart = np.abs(documents[1] / sizes[1] - documents[0] / sizes[0])
+    return np.divide(apart, error, out=np.zeros_like(apart), where=error > 0)
+
+
 @dataclass(frozen=True)
 class Subwords:
     """A trained classifier, folded into one logit per bucket and a bias."""
@@ -108,7 +119,8 @@ class Subwords:
         """Adagrad over documents, embeddings and softmax layer together.
 
         The first dimension starts at the log odds of a subword's documents, the others at
-        zero, so subwords of few training documents stay neutral. Both classes weigh the
+        zero, so subwords of few training documents, or of much the same rate in both
+        classes, stay neutral. Both classes weigh the
         same, however many documents each has. Without documents of both classes every
         score is 0.5.
         """
@@ -119,10 +131,11 @@ class Subwords:
         documents = np.zeros((2, BUCKETS), np.int64)
         for text, k in zip(texts, y):
             documents[k, bag(text)[0]] += 1
-        often = documents.sum(0) >= LEAST_DOCUMENTS
-        read = [bag(text, often) for text in texts]
-        rates = (documents + 1) / (np.bincount(y, minlength=2)[:, None] + 2)
-        log_odds = np.where(often, np.log(rates[1] / rates[0]), 0)
+        sizes = np.bincount(y, minlength=2)
+        telling = (documents.sum(0) >= LEAST_DOCUMENTS) & (z_of(documents, sizes) >= LEAST_Z)
+        read = [bag(text, telling) for text in texts]
+        rates = (documents + 1) / (sizes[:, None] + 2)
+        log_odds = np.where(telling, np.log(rates[1] / rates[0]), 0)
 
         random = np.random.default_rng(seed)
         vectors = np.zeros((BUCKETS, DIMENSIONS), np.float32)

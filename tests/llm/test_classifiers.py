@@ -36,6 +36,12 @@ def test_toxicity_held_out(spark):
     assert (both[both.toxic == 0].predicted == 0).mean() > 0.98
 
 
+def test_toxic_recall_held_out(spark):
+    _, both = accuracy(spark, "op1_toxicity", "toxic")
+    assert (both[both.toxic == 1].predicted == 1).mean() > 0.8
+    assert (both[both.toxic == 0].predicted == 1).mean() < 0.005
+
+
 def test_unseen_misspellings_share_subwords():
     clean = [f"a quiet page about gardens and rivers number {i} with words" for i in range(60)]
     bad = [f"a quiet page about gardens you wretched{s} person number {i}"
