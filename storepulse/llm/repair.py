@@ -10,8 +10,7 @@ import numpy as np
 # Fixed value: what a shard starts with.
 MAGIC = b"RPG1"
 HEADER = struct.Struct("<4sIIII")
-ROUNDS = 3
-# Pairs replaced in a round, and occurrences a pair needs.
+# Pairs replaced in a round, and occurrences a pair needs; rounds go on while one has them.
 PAIRS = 256
 LEAST = 8
 
@@ -65,9 +64,7 @@ def compress(documents: Sequence[np.ndarray]) -> bytes:
     last = np.zeros(len(symbols), bool)
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
     rules = np.zeros((0, 2), np.uint32)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    while len(symbols) >= 2:
         symbols, last, pairs = replace_pairs(symbols, last, base + len(rules))
         if not len(pairs):
             break

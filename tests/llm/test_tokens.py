@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from hashlib import sha256
 from zlib import crc32
 
@@ -65,6 +66,20 @@ def test_encoder_is_the_library():
         assert np.frombuffer(data, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_repair_leaves_no_frequent_pair():
+    draw = np.random.default_rng(9)
+    phrase = draw.integers(0, 50_000, 64)
+    documents = [np.concatenate([phrase, draw.integers(0, 50_000, 5)]) for _ in range(40)]
+    documents += [np.full(3000, 7), np.zeros(0, np.int64)]
+    shard = repair.Shard(repair.compress(documents))
+    pairs = Counter()
+    for i, document in enumerate(documents):
+        assert shard.document(i).tolist() == document.tolist()
+        own = shard.symbols[shard.ends[i]:shard.ends[i + 1]].tolist()
+        pairs.update(zip(own, own[1:]))
+    assert max(pairs.values()) < repair.LEAST
+
+
 def test_repair_round_trip():
     random_ids = np.random.default_rng(1)
     documents = [np.array([], np.uint32), np.array([7], np.uint32), np.zeros(5000, np.uint32),
