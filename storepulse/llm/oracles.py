@@ -99,4 +99,60 @@ select page_id, host, path, rule,
 from outcomes join h3 using (host)
 """
 
-ORACLES = {"op4_mixing": OP4, "op8_url_filter": OP8}
+OP11 = r"""
+with pieces as (
+    select row_number() over () as piece, lang, regexp_extract_all(part, '[^\x20\x09]+') as words
+    from (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\x0A-\x0D]')) as part from documents)
+), totals as (
+    select lang, cast(sum(len(words)) as bigint) as n from pieces group by lang
+), places as (
+    select lang, words, unnest(range(1, len(words) + 1)) as i from pieces
+), frequent as (
+    select lang, words[i:i + k - 1] as words, k, count(*) as a
+    from places, range(1, 6) as lengths(k) where i + k - 1 <= len(words)
+    group by all having count(*) >= 100
+), cuts as (
+    select f.lang, f.words, f.k, f.a, first.a as l, rest.a as r, n,
+           cast(1000::hugeint * f.a * n // (first.a::hugeint * rest.a) as bigint) as score, cut
+    from frequent f, range(1, 5) as cuts(cut)
+    join frequent first on first.lang = f.lang and first.words = f.words[1:cut]
+    join frequent rest on rest.lang = f.lang and rest.words = f.words[cut + 1:]
+    join totals on totals.lang = f.lang
+    where f.k > 1 and cut < f.k
+), worst as (
+    select * from cuts qualify row_number() over (partition by lang, words order by score, cut) = 1
+), inner_phrases as (
+    select lang, words[i:j] as words, max(a) as longest
+    from frequent, range(1, 5) as starts(i), range(2, 6) as ends(j)
+    where j > i and j <= k and j - i + 1 < k group by all
+), kept as (
+    select w.* from worst w left join inner_phrases p on p.lang = w.lang and p.words = w.words
+    where not coalesce(100 * longest >= 100 * a, false)
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+       phrase, a, l, r, n, score
+from (select *, array_to_string(words, ' ') as phrase from kept)
+qualify rank <= 2000
+"""
+
+OP12 = """
+with vectors as (
+    select row_number() over () as place, vec_id,
+           list_transform(embedding, lambda x: floor(256 * cast(x as double))) as whole
+    from embeddings
+    where vec_id is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.place, q.vec_id as query_id, c.vec_id,
+           cast(list_dot_product(q.whole, c.whole) as bigint) as score
+    from vectors q join vectors c on q.place <> c.place and len(q.whole) = len(c.whole)
+    where q.vec_id % 50 = 0
+)
+select query_id, cast(row_number() over (partition by place order by score desc, vec_id) as int) as rank,
+       vec_id, score
+from scored qualify rank <= 5
+"""
+
+ORACLES = {"op4_mixing": OP4, "op8_url_filter": OP8, "op11_phrases": OP11, "op12_topk": OP12}

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from storepulse.llm import (
-    ann, bpe, mixing, near_dedup, pii, quality_classifier, quality_rules, token_files, toxicity,
-    url_filter,
+    ann, bpe, collocations, conversations, mixing, near_dedup, pii, quality_classifier,
+    quality_rules, token_files, topk, toxicity, url_filter,
 )
 from storepulse.llm.common import table
 from storepulse.sources.scratch import scratch_path
@@ -73,6 +73,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair(damaged)[0]
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -84,4 +97,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_near_dedup": op9_near_dedup,
     "op10_pii": op10_pii,
+    "op11_phrases": op11_phrases,
+    "op12_topk": op12_topk,
+    "op13_conversations": op13_conversations,
 }
