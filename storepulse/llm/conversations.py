@@ -18,7 +18,7 @@ DELETE, INSERT, REROLE, TRUNCATED = 4, 3, 3, 3
 LEGAL = ("su", "ua", "au")
 # Turns, and characters of text, that are aligned and held at a time. Longer conversations
 # are aligned in segments.
-TURNS, CHARACTERS = 64, 1 << 22
+TURNS, CHARACTERS = 32, 1 << 22
 # Strings of turn codes whose alignments a worker remembers.
 REMEMBERED = 100_000
 # What the grammar has read: nothing, then its last letter. Whole strings end in nothing
@@ -63,60 +63,55 @@ def align(codes: str, letters: str, most: int) -> tuple[int, str] | None:
 
     None if it costs over ``most``. Wagner-Fischer from the end, so that the audit is read
     off from the start with the least letter first; only cells on diagonals that a path
-    within ``most`` can touch are filled (Ukkonen's band).
+    within ``most`` can touch are filled (Ukkonen's band). Diagonals are counted over the
+    turns that may stay, so turns that must go do not widen the band.
 
     A code is a turn's initial, or ``x`` for one that must be deleted; capital if it is
     truncated.
     """
-    n, m = len(codes), len(letters)
-    rest = m - n
+    n, m, forced = len(codes), len(letters), codes.count("x")
+    stay, spare = n - forced, most - DELETE * forced
+    rest = m - stay
+    if least(rest) > spare:
+        return None
     low = high = 0
-    while least(low - 1) + least(rest - low + 1) <= most and low > -n:
+    while low > -stay and least(low - 1) + least(rest - low + 1) <= spare:
         low -= 1
-    while least(high + 1) + least(rest - high - 1) <= most and high < m:
+    while high < m and least(high + 1) + least(rest - high - 1) <= spare:
         high += 1
-    if least(0) + least(rest) > most or not low <= rest <= high:
-        return None
-    width = high - low + 1
-    costs = [[INFINITE] * (width + 2) for _ in range(n + 1)]
-
-    def pair(i: int, letter: str) -> int:
-        """Cost of putting turn ``i`` in the place of the letter."""
-        code = codes[i]
-        if code == "x":
-            return INFINITE
-        more = TRUNCATED if code.isupper() else 0
-        if code.lower() == letter:
-            return more
-        return REROLE + more if letter in NAMES else INFINITE
-
+    costs = [[INFINITE] * (high - low + 3) for _ in range(n + 1)]
+    # Where in a row of cells a letter stands: by the turns before that may stay.
+    shift = [1 - low]
+    for code in codes:
+        shift.append(shift[-1] - (code != "x"))
     for i in range(n, -1, -1):
-        row = costs[i]
-        below = costs[i + 1] if i < n else None
-        for j in range(min(m, i + high), max(0, i + low) - 1, -1):
-            at = j - i - low + 1
-            if i == n and j == m:
-                row[at] = 0
-                continue
-            best = INFINITE
-            if i < n:
-                # The turn below is one diagonal lower.
-                best = min(best, below[at - 1] + DELETE)
-                if j < m:
-                    best = min(best, below[at] + pair(i, letters[j]))
+        row, base = costs[i], shift[i]
+        code = codes[i] if i < n else "x"
+        below, step = (costs[i + 1], shift[i + 1]) if i < n else (None, 0)
+        plain, more = code.lower(), TRUNCATED if code.isupper() else 0
+        for j in range(min(m, high + 1 - base - low), max(0, 1 - base) - 1, -1):
+            best = 0 if i == n and j == m else INFINITE
+            if below is not None:
+                # The turn must or may go.
+                best = min(best, below[j + step] + DELETE)
+                if j < m and code != "x":
+                    if plain == letters[j]:
+                        best = min(best, below[j + 1 + step] + more)
+                    elif letters[j] in NAMES:
+                        best = min(best, below[j + 1 + step] + REROLE + more)
             if j < m and letters[j] in NAMES:
-                best = min(best, row[at + 1] + INSERT)
-            row[at] = best
-    total = costs[0][1 - low]
+                best = min(best, row[j + 1 + base] + INSERT)
+            row[j + base] = best
+    total = costs[0][shift[0]]
     if total > most:
         return None
     audit, i, j = [], 0, 0
     while i < n or j < m:
-        left, at = costs[i][j - i - low + 1], j - i - low + 1
-        if i < n and costs[i + 1][at - 1] + DELETE == left:
+        left = costs[i][j + shift[i]]
+        if i < n and costs[i + 1][j + shift[i + 1]] + DELETE == left:
             audit.append("D")
             i += 1
-        elif j < m and letters[j] in NAMES and costs[i][at + 1] + INSERT == left:
+        elif j < m and letters[j] in NAMES and costs[i][j + 1 + shift[i]] + INSERT == left:
             audit.append("I")
             j += 1
         else:
@@ -130,24 +125,30 @@ def between(codes: str, start: str, end: str) -> tuple[int, str] | None:
     """The cheapest and least audit of turns that takes the grammar from state to state.
 
     Aligns to each feasible length, from the number of turns that may stay outwards, until
-    the difference in length alone costs more than the cheapest so far.
+    the difference in length alone costs more than the cheapest so far. Before there is
+    one, the bound that gives the band is doubled until it holds an alignment.
     """
-    n = len(codes)
+    n, forced = len(codes), codes.count("x")
     best = (DELETE * n, "D" * n) if start == end else (INFINITE, "")
-    centre = n - codes.count("x")
-    for step in range(n + 2 * n + 4):
-        lengths = {centre - step, centre + step}
-        if all(least(length - n) > best[0] for length in lengths) and step > n:
-            break
-        for length in sorted(lengths):
-            if length < 1 or least(length - n) > best[0]:
+    step, stay = 0, n - forced
+    while step <= stay or least(step) + DELETE * forced <= best[0]:
+        for length in sorted({stay - step, stay + step}):
+            letters = target(start, end, length) if length > 0 else None
+            bound = least(length - stay) + DELETE * forced
+            if letters is None or bound > best[0]:
                 continue
-            letters = target(start, end, length)
-            if letters is not None:
-                found = align(codes, letters, min(best[0], DELETE * n + INSERT * length))
-                if found and found < best:
-                    best = found
-    return best if best[0] < INFINITE else None
+            top = DELETE * n + INSERT * length
+            most = min(best[0], bound + 2 * REROLE, top)
+            found = align(codes, letters, most)
+            while found is None and most < min(best[0], top):
+                most = min(best[0], top, 2 * most + REROLE)
+                found = align(codes, letters, most)
+            if found and found < best:
+                best = found
+        if best[0] == INFINITE and step > stay + len(STATES):
+            return None
+        step += 1
+    return best
 
 
 def cheapest(codes: str) -> tuple[int, str]:
