@@ -20,7 +20,7 @@ DEPTH, LEAST, FIRST = 5, 100, 2_000
 BLOCK = 1 << 20
 # Suffixes of a group of prefixes: what a task builds subtrees of at a time. With over
 # MOST_GROUPS times as many suffixes, groups grow in proportion, up to LARGEST.
-GROUP, MOST_GROUPS, LARGEST = 1 << 20, 1 << 12, 1 << 23
+GROUP, MOST_GROUPS, LARGEST = 1 << 19, 1 << 13, 1 << 22
 # Shares that light prefixes are dealt to by hash; a group is a run of shares.
 SHARES = 1 << 16
 # Bits that tell which words may be frequent, and bits of one bitmap.
@@ -312,18 +312,23 @@ def subtree(parts: list[dict], least: int) -> Iterator[tuple[int, list[bytes], n
 
     Level by level: the nodes of a level are the pairs of a node above and a word, and what
     lies below a node that is too rare is cut off. Every suffix is a leaf of its own, so a
-    node's total is the number of suffixes below it.
+    node's total is the number of suffixes below it. Uses up ``parts``.
     """
     numbers: dict[bytes, int] = {}
-    rows = []
-    for part in parts:
+    kinds = ["<u4" if part["wide"] else "<u2" for part in parts]
+    sizes = [len(part["suffixes"]) // (DEPTH + 1) // int(kind[-1])
+             for part, kind in zip(parts, kinds)]
+    rows, end = np.empty((sum(sizes), DEPTH + 1), np.int32), 0
+    while parts:
+        part, kind, size = parts.pop(), kinds.pop(), sizes.pop()
         words = part["words"].split(b"\n")
-        of = np.array([0, *(numbers.setdefault(w, len(numbers) + 1) for w in words)], np.int64)
-        own = np.frombuffer(part["suffixes"], "<u4" if part["wide"] else "<u2")
-        own = own.reshape(-1, DEPTH + 1)
-        rows.append(np.hstack([of[own[:, :DEPTH]], own[:, DEPTH:].astype(np.int64)]).astype(np.int32))
-    rows, names = np.concatenate(rows), [b"", *numbers]
-    node, stems = rows[:, 0].astype(np.int64), None
+        of = np.array([0, *(numbers.setdefault(w, len(numbers) + 1) for w in words)], np.int32)
+        own = np.frombuffer(part["suffixes"], kind).reshape(size, DEPTH + 1)
+        rows[end:end + size, :DEPTH] = of[own[:, :DEPTH]]
+        rows[end:end + size, DEPTH] = own[:, DEPTH]
+        end += size
+    names = [b"", *numbers]
+    node = rows[:, 0].astype(np.int64)
     for k in range(1, DEPTH):
         live = rows[:, k] > 0
         rows, node = rows[live], node[live]
@@ -350,9 +355,10 @@ def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
     rows = suffixes.repartition("group").sortWithinPartitions("group", "lang")
 
     def found(parts: list[dict]) -> Iterator[pa.RecordBatch]:
+        lang = parts[0]["lang"]
         for k, phrases, n in subtree(parts, least):
             yield pa.RecordBatch.from_arrays([
-                pa.array([parts[0]["lang"]] * len(phrases), pa.string()),
+                pa.array([lang] * len(phrases), pa.string()),
                 pa.array([p.decode() for p in phrases], pa.string()),
                 pa.array(n.astype(np.int64)), pa.array([k] * len(phrases), pa.int32()),
             ], schema=schema)
@@ -363,7 +369,6 @@ def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
             for row in batch.to_pylist():
                 if held and (held[0]["group"], held[0]["lang"]) != (row["group"], row["lang"]):
                     yield from found(held)
-                    held = []
                 held.append(row)
         if held:
             yield from found(held)
