@@ -18,9 +18,10 @@ from storepulse.llm.common import written
 DEPTH, LEAST, FIRST = 5, 100, 2_000
 # Words and piece ends after which a block of texts is closed.
 BLOCK = 1 << 20
-# Suffixes of a group of prefixes: what a task builds subtrees of at a time. With over
-# MOST_GROUPS times as many suffixes, groups grow in proportion, up to LARGEST.
-GROUP, MOST_GROUPS, LARGEST = 1 << 19, 1 << 13, 1 << 22
+# Suffixes of a group of prefixes, which a task holds at 24 bytes each. With over MOST_GROUPS
+# times as many suffixes, groups grow in proportion, up to LARGEST. A group's subtrees are
+# built a few at a time, of about BUILT suffixes.
+GROUP, MOST_GROUPS, LARGEST, BUILT = 1 << 21, 1 << 10, 1 << 23, 1 << 18
 # Shares that light prefixes are dealt to by hash; a group is a run of shares.
 SHARES = 1 << 16
 # Bits that tell which words may be frequent, and bits of one bitmap.
@@ -249,8 +250,9 @@ def partitioned(
 def routed(read: DataFrame, partition: Partition) -> DataFrame:
     """The suffixes of each block, cut off after ``DEPTH`` words, by group of their prefix.
 
-    A row is all that a block has for a group: ``words``, and ``suffixes`` as rows of numbers
-    of these words from 1, 0 after their end, and the length of the light prefix.
+    A row is all that a block has for a group: ``words``, and ``suffixes`` as columns: the
+    numbers, from 1, of a suffix's words, 0 after its end, and the length of its light
+    prefix. They are sorted by their first word, which packs well.
     """
     shared = read.sparkSession.sparkContext.broadcast(partition)
     schema = pa.schema([("group", pa.int64()), ("lang", pa.string()), ("words", pa.binary()),
@@ -284,19 +286,19 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
                     route[at] = group[of[inverse]] if len(of) else route[at]
                     light[at] = k + 1
                 at = np.flatnonzero(route >= 0)
-                at = at[np.argsort(route[at], kind="stable")]
-                rows = np.stack([c[at] for c in columns] + [light[at]], 1)
+                at = at[np.argsort(route[at] * len(words) + columns[0][at], kind="stable")]
+                rows = np.stack([c[at] for c in columns] + [light[at]]).astype(np.int32)
                 route = route[at]
                 cuts = np.flatnonzero(np.diff(route)) + 1
                 used = np.zeros(len(words), np.int64)
                 for number, part in zip(route[np.concatenate([[0], cuts])] if len(at) else (),
-                                        np.split(rows, cuts)):
+                                        np.split(rows, cuts, axis=1)):
                     present = np.zeros(len(words), bool)
-                    present[part[:, :DEPTH]] = True
+                    present[part[:DEPTH]] = True
                     present[0] = False
                     own = np.flatnonzero(present)
                     used[own] = np.arange(1, len(own) + 1)
-                    part = np.hstack([used[part[:, :DEPTH]], part[:, DEPTH:]])
+                    part = np.vstack([used[part[:DEPTH]], part[DEPTH:]])
                     wide = len(own) >= 1 << 16
                     yield pa.RecordBatch.from_pylist([{
                         "group": number, "lang": lang, "wide": wide,
@@ -307,13 +309,8 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
         run, "group long, lang string, words binary, wide boolean, suffixes binary")
 
 
-def subtree(parts: list[dict], least: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """By length, the phrases of a group that occur ``least`` times, and how often.
-
-    Level by level: the nodes of a level are the pairs of a node above and a word, and what
-    lies below a node that is too rare is cut off. Every suffix is a leaf of its own, so a
-    node's total is the number of suffixes below it. Uses up ``parts``.
-    """
+def unrouted(parts: list[dict]) -> tuple[list[bytes], np.ndarray]:
+    """The words and suffixes of a group, a row each. Uses up ``parts``."""
     numbers: dict[bytes, int] = {}
     kinds = ["<u4" if part["wide"] else "<u2" for part in parts]
     sizes = [len(part["suffixes"]) // (DEPTH + 1) // int(kind[-1])
@@ -323,11 +320,22 @@ def subtree(parts: list[dict], least: int) -> Iterator[tuple[int, list[bytes], n
         part, kind, size = parts.pop(), kinds.pop(), sizes.pop()
         words = part["words"].split(b"\n")
         of = np.array([0, *(numbers.setdefault(w, len(numbers) + 1) for w in words)], np.int32)
-        own = np.frombuffer(part["suffixes"], kind).reshape(size, DEPTH + 1)
+        own = np.frombuffer(part["suffixes"], kind).reshape(DEPTH + 1, size).T
         rows[end:end + size, :DEPTH] = of[own[:, :DEPTH]]
         rows[end:end + size, DEPTH] = own[:, DEPTH]
         end += size
-    names = [b"", *numbers]
+    return [b"", *numbers], rows
+
+
+def subtree(
+    names: list[bytes], rows: np.ndarray, least: int,
+) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """By length, the phrases of these suffixes that occur ``least`` times, and how often.
+
+    Level by level: the nodes of a level are the pairs of a node above and a word, and what
+    lies below a node that is too rare is cut off. Every suffix is a leaf of its own, so a
+    node's total is the number of suffixes below it.
+    """
     node = rows[:, 0].astype(np.int64)
     for k in range(1, DEPTH):
         live = rows[:, k] > 0
@@ -340,15 +348,15 @@ def subtree(parts: list[dict], least: int) -> Iterator[tuple[int, list[bytes], n
         often = np.flatnonzero(counted & (n >= least))
         yield k + 1, [b" ".join([names[w] for w in rows[i, :k + 1].tolist()])
                       for i in first[often].tolist()], n[often]
-        stays = ~counted | (n >= least)
-        live = stays[inverse]
+        live = (~counted | (n >= least))[inverse]
         rows, node = rows[live], inverse[live].astype(np.int64)
 
 
 def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
     """``lang, phrase, n, words`` of all frequent phrases of light prefixes.
 
-    A task reads group after group, and holds one.
+    A task reads group after group, and holds one. Suffixes that begin with the same two
+    words belong to one subtree; subtrees are built as many at a time as BUILT allows.
     """
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64()),
                         ("words", pa.int32())])
@@ -356,12 +364,16 @@ def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
 
     def found(parts: list[dict]) -> Iterator[pa.RecordBatch]:
         lang = parts[0]["lang"]
-        for k, phrases, n in subtree(parts, least):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(phrases), pa.string()),
-                pa.array([p.decode() for p in phrases], pa.string()),
-                pa.array(n.astype(np.int64)), pa.array([k] * len(phrases), pa.int32()),
-            ], schema=schema)
+        names, rows = unrouted(parts)
+        turns = len(rows) // BUILT + 1
+        turn = (rows[:, 0] * np.int32(31) + rows[:, 1]) % np.int32(turns)
+        for i in range(turns):
+            for k, phrases, n in subtree(names, rows[turn == i], least):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(phrases), pa.string()),
+                    pa.array([p.decode() for p in phrases], pa.string()),
+                    pa.array(n.astype(np.int64)), pa.array([k] * len(phrases), pa.int32()),
+                ], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []

@@ -70,7 +70,8 @@ def given(spark, rows):
 
 # Groups of all, of few and of hardly any suffixes: the last extends prefixes to full length.
 @pytest.mark.parametrize(("group", "least"), [(1 << 20, 3), (200, 20), (12, 3)])
-def test_phrases_equal_plain_counting(spark, group, least):
+def test_phrases_equal_plain_counting(spark, monkeypatch, group, least):
+    monkeypatch.setattr(collocations, "BUILT", 100)
     rows = phrase_docs(spark)
     found = collocations.mine(given(spark, rows), least, 40, group).collect()
     assert sorted(map(tuple, found)) == mined_plainly(rows, least, 40)
