@@ -21,7 +21,7 @@ BLOCK = 1 << 20
 # Suffixes of a group of prefixes, which a task holds at 24 bytes each. With over MOST_GROUPS
 # times as many suffixes, groups grow in proportion, up to LARGEST. A group's subtrees are
 # built a few at a time, of about BUILT suffixes.
-GROUP, MOST_GROUPS, LARGEST, BUILT = 1 << 21, 1 << 10, 1 << 23, 1 << 18
+GROUP, MOST_GROUPS, LARGEST, BUILT = 1 << 20, 1 << 10, 1 << 23, 1 << 18
 # Shares that light prefixes are dealt to by hash; a group is a run of shares.
 SHARES = 1 << 16
 # Bits that tell which words may be frequent, and bits of one bitmap.
@@ -252,11 +252,11 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
 
     A row is all that a block has for a group: ``words``, and ``suffixes`` as columns: the
     numbers, from 1, of a suffix's words, 0 after its end, and the length of its light
-    prefix. They are sorted by their first word, which packs well.
+    prefix. They are sorted by their first two words and packed.
     """
     shared = read.sparkSession.sparkContext.broadcast(partition)
     schema = pa.schema([("group", pa.int64()), ("lang", pa.string()), ("words", pa.binary()),
-                        ("wide", pa.bool_()), ("suffixes", pa.binary())])
+                        ("wide", pa.bool_()), ("n", pa.int32()), ("suffixes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,7 +286,7 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
                     route[at] = group[of[inverse]] if len(of) else route[at]
                     light[at] = k + 1
                 at = np.flatnonzero(route >= 0)
-                at = at[np.argsort(route[at] * len(words) + columns[0][at], kind="stable")]
+                at = at[np.lexsort((columns[1][at], route[at] * len(words) + columns[0][at]))]
                 rows = np.stack([c[at] for c in columns] + [light[at]]).astype(np.int32)
                 route = route[at]
                 cuts = np.flatnonzero(np.diff(route)) + 1
@@ -300,27 +300,28 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
                     used[own] = np.arange(1, len(own) + 1)
                     part = np.vstack([used[part[:DEPTH]], part[DEPTH:]])
                     wide = len(own) >= 1 << 16
+                    data = part.astype("<u4" if wide else "<u2").tobytes()
                     yield pa.RecordBatch.from_pylist([{
-                        "group": number, "lang": lang, "wide": wide,
+                        "group": number, "lang": lang, "wide": wide, "n": part.shape[1],
                         "words": b"\n".join([words[i] for i in own.tolist()]),
-                        "suffixes": part.astype("<u4" if wide else "<u2").tobytes()}], schema)
+                        "suffixes": pa.compress(data, "zstd", asbytes=True)}], schema)
 
     return read.mapInArrow(
-        run, "group long, lang string, words binary, wide boolean, suffixes binary")
+        run, "group long, lang string, words binary, wide boolean, n int, suffixes binary")
 
 
 def unrouted(parts: list[dict]) -> tuple[list[bytes], np.ndarray]:
     """The words and suffixes of a group, a row each. Uses up ``parts``."""
     numbers: dict[bytes, int] = {}
-    kinds = ["<u4" if part["wide"] else "<u2" for part in parts]
-    sizes = [len(part["suffixes"]) // (DEPTH + 1) // int(kind[-1])
-             for part, kind in zip(parts, kinds)]
-    rows, end = np.empty((sum(sizes), DEPTH + 1), np.int32), 0
+    rows, end = np.empty((sum(part["n"] for part in parts), DEPTH + 1), np.int32), 0
     while parts:
-        part, kind, size = parts.pop(), kinds.pop(), sizes.pop()
+        part = parts.pop()
+        size, kind = part["n"], "<u4" if part["wide"] else "<u2"
         words = part["words"].split(b"\n")
         of = np.array([0, *(numbers.setdefault(w, len(numbers) + 1) for w in words)], np.int32)
-        own = np.frombuffer(part["suffixes"], kind).reshape(DEPTH + 1, size).T
+        data = pa.decompress(
+            part["suffixes"], size * (DEPTH + 1) * int(kind[-1]), "zstd", asbytes=True)
+        own = np.frombuffer(data, kind).reshape(DEPTH + 1, size).T
         rows[end:end + size, :DEPTH] = of[own[:, :DEPTH]]
         rows[end:end + size, DEPTH] = own[:, DEPTH]
         end += size
