@@ -19,6 +19,7 @@ from storepulse.functions.numbers import line_amount
 from storepulse.functions import texts
 from storepulse.functions.texts import parse_log_line
 from storepulse.operators.inspect import preview, profile, sample_with_replacement
+from storepulse.operators import sketches
 from storepulse.operators.joins import lookup
 from storepulse.plans import delivery, kpis, reports
 from storepulse.schemas import MESSAGE, MORE_TABLES, ORDER_EVENT, SALE_EVENT, TABLES
@@ -133,6 +134,36 @@ def sample_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("order_id", "line_number", "product_id", "store_id", "quantity", "amount", "draw")
 
 
+# Mergeable distinct counts
+
+def segment_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of each month and segment, stored year by year as they come."""
+    path = scratch_path(spark, "sketches")
+    sold = lookup(tables.orders(spark, sf_dir), tables.segments(spark, sf_dir), "customer_id")
+    month = F.date_format("ordered_at", "yyyy-MM")
+    for first, last in (("0000-00", "1995-12"), ("1996-01", "9999-12")):
+        sketches.add_periods(sold, path, month, "segment", first=first, last=last)
+    return sketches.read_sketches(spark, path)
+
+
+def customers_per_segment_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and distinct customers per segment and year, from sketches of months."""
+    year = F.substring("period", 1, 4).alias("year")
+    return sketches.distinct_over(segment_sketches(spark, sf_dir), "segment", year).select(
+        "segment", "year", F.col("n_sales").alias("n_orders"),
+        F.col("n_keys").alias("n_customers"))
+
+
+def returning_customers_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per segment who ordered both up to 1995 and after, and in all three spans."""
+    stored = segment_sketches(spark, sf_dir)
+    spans = [sketches.merged(stored.filter(span), "segment") for span in (
+        "period <= '1995-12'", "period between '1996-01' and '1997-12'", "period >= '1998-01'")]
+    both = sketches.shared_by_all(spans[:2], "segment").withColumnRenamed("n_keys", "n_both")
+    return both.join(sketches.shared_by_all(spans, "segment"), "segment").select(
+        "segment", "n_both", F.col("n_keys").alias("n_all"))
+
+
 # Files
 
 def as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,6 +450,8 @@ def queries() -> dict[str, Query]:
         "dataset_profile": dataset_profile,
         "preview": sales_preview,
         "sample_sales": sample_sales,
+        "customers_per_segment_sketch": customers_per_segment_sketch,
+        "returning_customers_sketch": returning_customers_sketch,
         "csv_files": csv_files,
         "json_lines": json_lines,
         "report_reread": report_reread,

@@ -173,6 +173,21 @@ ORACLES = {
         from lineitem, range(1, 5) as draws(draw)
         where substr(md5('sales-7:' || draw || ':' || l_orderkey || ':' || l_linenumber), 1, 8)
               < printf('%08x', cast(round(0.01 / 4 * 4294967296) as bigint))""",
+    "customers_per_segment_sketch": f"""
+        with {CUSTOMERS}
+        select c_mktsegment as segment, strftime(o_orderdate, '%Y') as year,
+               count(*) as n_orders, count(distinct o_custkey) as n_customers
+        from orders left join customers on c_custkey = o_custkey group by all""",
+    "returning_customers_sketch": f"""
+        with {CUSTOMERS}, spans as (
+            select c_mktsegment as segment, o_custkey,
+                   bool_or(o_orderdate < '1996-01-01') as early,
+                   bool_or(o_orderdate >= '1996-01-01' and o_orderdate < '1998-01-01') as middle,
+                   bool_or(o_orderdate >= '1998-01-01') as late
+            from orders left join customers on c_custkey = o_custkey group by all)
+        select segment, count(*) filter (early and middle) as n_both,
+               count(*) filter (early and middle and late) as n_all
+        from spans group by segment""",
     "csv_files": f"""
         with {CUSTOMERS}
         select printf('CLI-%06d', c_custkey) as customer_id, c_name as customer_name,
