@@ -30,7 +30,7 @@ from storepulse.sinks.tables import (
 from storepulse.sources import files, tables
 from storepulse.sources.scratch import scratch_path
 from storepulse.sources.streams import parquet_files
-from storepulse.streaming import aggregates, batches, messages
+from storepulse.streaming import aggregates, batches, messages, served
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -435,6 +435,40 @@ def stream_low_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.low_ratings(run_updates(spark, ratings, "courier_id"))
 
 
+def order_topic(spark: SparkSession, sf_dir: str, files: int = 8) -> DataFrame:
+    """Delivery messages kept as files, of which each batch takes one."""
+    topic = scratch_path(spark, "order-topic")
+    messages.to_messages(
+        tables.order_events(tables.events(spark, sf_dir), tables.customers(spark, sf_dir)),
+        ORDER_EVENT, "order_id", F.col("event_time"),
+    ).repartition(files).write.parquet(topic)
+    return messages.parse_messages(
+        parquet_files(spark, topic, MESSAGE, files_per_batch=1), ORDER_EVENT)
+
+
+def run_served(spark: SparkSession, summary: DataFrame, *keys: str) -> DataFrame:
+    """Run a running summary over several batches; gives its rows as they are served."""
+    out = scratch_path(spark, "served")
+    batches.run_to_end(
+        served.start_served(summary, out, "updates", *keys, every=3, availableNow=True))
+    return served.current(spark, out, "updates", summary.schema, *keys)
+
+
+def stream_running_totals_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_served(
+        spark, aggregates.running_totals(order_topic(spark, sf_dir)), "district")
+
+
+def stream_cancellations_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_served(
+        spark, aggregates.cancellations_by_reason(order_topic(spark, sf_dir)), "cancel_reason")
+
+
+def stream_low_rating_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = aggregates.ratings_by_courier(order_topic(spark, sf_dir))
+    return aggregates.low_ratings(run_served(spark, ratings, "courier_id"))
+
+
 def queries() -> dict[str, Query]:
     """Every query: (spark, directory of the tables) to DataFrame."""
     return {
@@ -483,6 +517,9 @@ def queries() -> dict[str, Query]:
         "stream_cancellations_by_reason": stream_cancellations_by_reason,
         "stream_delay_alerts": stream_delay_alerts,
         "stream_low_rating": stream_low_rating,
+        "stream_running_totals_served": stream_running_totals_served,
+        "stream_cancellations_served": stream_cancellations_served,
+        "stream_low_rating_served": stream_low_rating_served,
         **training_data()[0],
     }
 

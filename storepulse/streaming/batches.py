@@ -131,7 +131,7 @@ def read_output(spark: SparkSession, out: str, name: str, schema: StructType) ->
 
     A path that no query was ever started on fails like any missing input.
     """
-    full = StructType(schema.fields).add("batch_id", "long")
+    full = StructType(list(schema.fields)).add("batch_id", "long")
     try:
         return spark.read.schema(full).parquet(f"{out}/{name}")
     except AnalysisException as error:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from storepulse.functions.numbers import line_amount
+from storepulse.functions.numbers import exact, line_amount
 from storepulse.functions.risk import is_risky, key_position, risk_score
 from storepulse.functions.texts import iso_seconds, moment
 from storepulse.operators.joins import lookup
@@ -59,9 +59,10 @@ def parse_messages(messages: DataFrame, schema: StructType = SALE_EVENT) -> Data
     """Typed events, one row per message.
 
     A message that is not readable JSON stays as a row of NULLs, so that counts
-    are those of the topic. A single unreadable field or event time, and a number
-    that is none (NaN, infinite), is NULL by itself: no message can stop the stream. In all these
-    cases ``corrupt_record`` keeps the text.
+    are those of the topic. A single unreadable field or event time, and a number that sums
+    cannot hold (NaN, infinite, 1e32 and beyond), is NULL by itself: no message can stop the
+    stream, and no amount leaves a sum unseen. In all these cases ``corrupt_record`` keeps
+    the text.
     """
     text = F.col("value").cast("string")
     readable = StructType(schema.fields + [StructField("corrupt_record", StringType())])
@@ -73,7 +74,7 @@ def parse_messages(messages: DataFrame, schema: StructType = SALE_EVENT) -> Data
         body.alias("_body"),
     ).select("message_key", "kafka_timestamp", "_text", "_body.*")
     checked = {
-        field.name: F.when(F.abs(field.name) < float("inf"), F.col(field.name))
+        field.name: F.when(exact(F.col(field.name)).isNotNull(), F.col(field.name))
         for field in schema.fields if isinstance(field.dataType, DoubleType)
     }
     checked["event_timestamp"] = moment(F.col("event_timestamp"))

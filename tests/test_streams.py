@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from storepulse.functions.numbers import exact
 from storepulse.schemas import MESSAGE, ORDER_EVENT, SALE_EVENT
 from storepulse.sources.streams import parquet_files
 from storepulse.streaming import aggregates, batches, messages
@@ -116,7 +117,21 @@ def test_absurd_numbers_do_not_stop_the_stream(spark, folder, out):
     run(spark, folder, out)
     assert bag(output(spark, folder, out, "summary_by_category")) == [
         ("Hogar", 3, 20000000000010.0, 0.6, 0), ("Ropa", 1, None, 0.5, 0)]
-    assert [row["corrupt_record"] for row in output(spark, folder, out, "dead_letter").collect()] == [none]
+    letters = output(spark, folder, out, "dead_letter").collect()
+    assert {row["corrupt_record"] for row in letters} == {none, beyond}
+
+
+def test_amounts_that_no_sum_holds_go_to_the_dead_letters(spark, folder):
+    texts = [f'{{"event_id": "E{i}", "total_amount": {x}}}'
+             for i, x in enumerate(("9.9e31", "1e32", "-1e32", "1e33", "-9.9e31"))]
+    stage(spark, folder, [sale(1)], texts=texts)
+    events = at_rest(spark, folder)
+    assert {row["corrupt_record"] for row in messages.dead_letters(events).collect()} == set(texts[1:4])
+    kept = {row["event_id"]: row["total_amount"] for row in events.collect()}
+    assert kept["E0"] == 9.9e31 and kept["E4"] == -9.9e31 and kept["E1"] is None
+    # What is not in the dead letters is in the sums.
+    total = events.agg(F.sum(exact(F.col("total_amount")))).first()[0]
+    assert total == 10
 
 
 def test_enrichment_fills_defaults(spark):
