@@ -30,7 +30,7 @@ from storepulse.sinks.tables import (
 from storepulse.sources import files, tables
 from storepulse.sources.scratch import scratch_path
 from storepulse.sources.streams import parquet_files
-from storepulse.streaming import aggregates, batches, messages, served
+from storepulse.streaming import aggregates, batches, messages, served, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -401,6 +401,28 @@ def stream_summary_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.read_output(spark, out, "summary_by_category", schema)
 
 
+def stream_windows_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily windows of a stream in which every tenth event comes two batches late.
+
+    The events of five days make a batch, in the order of their days. The stream ends and
+    goes on for each.
+    """
+    topic, out = scratch_path(spark, "late-topic"), scratch_path(spark, "windows")
+    sent = sale_messages(spark, sf_dir, stream=False)
+    number = F.regexp_extract(F.col("key").cast("string"), "([0-9]+)$", 1).cast("long")
+    first = F.date_trunc("day", F.lit(sent.agg(F.min("timestamp")).scalar()))
+    part = F.floor(F.datediff("timestamp", first) / 5) + F.when(number % 10 == 0, 2).otherwise(0)
+    sent = sent.withColumn("part", part)
+    sent.limit(0).drop("part").write.parquet(topic)
+    parsed = messages.parse_messages(parquet_files(spark, topic, MESSAGE))
+    for n in range((sent.agg(F.max("part")).first()[0] or 0) + 1):
+        sent.filter(F.col("part") == n).drop("part").write.mode("append").parquet(topic)
+        batches.run_to_end(windows.start_windows(
+            parsed, out, "1 day", "1 day", availableNow=True))
+    schema = aggregates.windowed_summary(parsed, "1 day", "1 day").schema
+    return with_plain_times(windows.read_windows(spark, out, schema))
+
+
 # Delivery messages in motion
 
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -513,6 +535,7 @@ def queries() -> dict[str, Query]:
         "stream_summary_city": derived_output("summary_by_city"),
         "stream_windowed_summary": stream_windowed_summary,
         "stream_summary_batches": stream_summary_batches,
+        "stream_windows_late": stream_windows_late,
         "stream_running_totals": stream_running_totals,
         "stream_cancellations_by_reason": stream_cancellations_by_reason,
         "stream_delay_alerts": stream_delay_alerts,

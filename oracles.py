@@ -324,6 +324,34 @@ ORACLES = {
         select window_start, window_start + interval '10 seconds' as window_end, category,
                {SUMMARY}
         from placed group by window_start, category""",
+    "stream_windows_late": f"""
+        with {SALE_EVENTS}, placed as (
+            select *, date_trunc('day', event_timestamp) as window_start,
+                   date_diff('day', (select date_trunc('day', min(ts)) from events), ts) // 5
+                       + case when n % 10 = 0 then 2 else 0 end as part
+            from sale_events
+        ), parts as (
+            select part, max(max(event_timestamp)) over (
+                       order by part rows between unbounded preceding and 1 preceding) as newest
+            from placed group by part
+        ), judged as (
+            select placed.*, coalesce(
+                window_start + interval 1 day <= newest - interval 1 day, false) as late
+            from placed join parts using (part)
+        ), summed as (
+            select window_start, category, count(*) filter (not late) as n_on_time,
+                   cast(sum(cast(total_amount as decimal(18, 2))) filter (not late) as double)
+                       as revenue,
+                   {mean('case when not late then points end')} as mean_risk,
+                   count(*) filter (late) as n_late
+            from judged group by window_start, category
+        )
+        select window_start, window_start + interval 1 day as window_end, category,
+               nullif(n_on_time, 0) as n_events, revenue,
+               case when n_on_time > 0 then mean_risk end as mean_risk, n_late
+        from summed
+        where window_start + interval 1 day
+              <= (select max(event_timestamp) - interval 1 day from sale_events)""",
     "stream_running_totals": f"""
         with {ORDER_EVENTS}
         select district, count(*) as n_orders,
