@@ -30,7 +30,7 @@ from storepulse.sinks.tables import (
 from storepulse.sources import files, tables
 from storepulse.sources.scratch import scratch_path
 from storepulse.sources.streams import parquet_files
-from storepulse.streaming import aggregates, batches, messages, served, windows
+from storepulse.streaming import aggregates, batches, crossings, messages, served, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -491,6 +491,30 @@ def stream_low_rating_served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.low_ratings(run_served(spark, ratings, "courier_id"))
 
 
+def crossings_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of ratings; the stream ends and goes on for each."""
+    topic, out = scratch_path(spark, "rating-topic"), scratch_path(spark, "crossings")
+    sent = messages.to_messages(
+        tables.order_events(tables.events(spark, sf_dir), tables.customers(spark, sf_dir)),
+        ORDER_EVENT, "order_id", F.col("event_time"))
+    number = F.regexp_extract(F.col("key").cast("string"), "([0-9]+)$", 1).cast("long")
+    sent.limit(0).write.parquet(topic)
+    orders = messages.parse_messages(parquet_files(spark, topic, MESSAGE), ORDER_EVENT)
+    for part in range(3):
+        sent.filter(number % 3 == part).write.mode("append").parquet(topic)
+        batches.run_to_end(crossings.start_crossings(orders, out, availableNow=True))
+    return batches.read_output(
+        spark, out, "crossings", crossings.rating_crossings(orders).schema)
+
+
+def stream_rating_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_plain_times(crossings_written(spark, sf_dir))
+
+
+def stream_rating_alerts_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_plain_times(crossings.alerts_on(crossings_written(spark, sf_dir)))
+
+
 def queries() -> dict[str, Query]:
     """Every query: (spark, directory of the tables) to DataFrame."""
     return {
@@ -540,6 +564,8 @@ def queries() -> dict[str, Query]:
         "stream_cancellations_by_reason": stream_cancellations_by_reason,
         "stream_delay_alerts": stream_delay_alerts,
         "stream_low_rating": stream_low_rating,
+        "stream_rating_crossings": stream_rating_crossings,
+        "stream_rating_alerts_on": stream_rating_alerts_on,
         "stream_running_totals_served": stream_running_totals_served,
         "stream_cancellations_served": stream_cancellations_served,
         "stream_low_rating_served": stream_low_rating_served,

@@ -98,6 +98,28 @@ stocked as (
     from part
 ), low_stock as (select * from stocked where stock <= stock_minimum)"""
 
+RATING_CROSSINGS = f"""
+{ORDER_EVENTS}, rated as (
+    select courier_id, order_id, event_timestamp, k,
+           cast(substr(order_id, 5) as bigint) % 3 as batch_id
+    from order_events where event_type = 'view'
+), running as (
+    select *, count(*) over so_far as n_ratings, sum(5 * k) over so_far as hundredths
+    from rated
+    window so_far as (partition by courier_id order by batch_id, event_timestamp, order_id
+                      rows between unbounded preceding and current row)
+), judged as (
+    select *, hundredths < 250 * n_ratings as low,
+           coalesce(lag(hundredths < 250 * n_ratings) over (
+               partition by courier_id order by n_ratings), false) as was_low
+    from running
+), crossings as (
+    select courier_id, case when low then 'begin' else 'end' end as alert, n_ratings,
+           cast((2 * hundredths + n_ratings) // (2 * n_ratings) as double) / 100 as mean_rating,
+           order_id, event_timestamp, batch_id
+    from judged where low <> was_low
+)"""
+
 GIVEN = ("region nation customer supplier part orders lineitem events documents embeddings pages "
          "benchmark labels conversations").split()
 
@@ -372,8 +394,15 @@ ORACLES = {
         from order_events where event_type = 'view'
         group by courier_id having sum(5 * k) < 250 * count(*)""",
 }
-# The same results, served from snapshots.
+# The same results, served from snapshots, and alerts that begin and end.
 ORACLES |= {
+    "stream_rating_crossings": f"with {RATING_CROSSINGS} select * from crossings",
+    "stream_rating_alerts_on": f"""
+        with {RATING_CROSSINGS}
+        select * exclude (alert) from crossings where alert = 'begin'
+        qualify n_ratings = max(n_ratings) over (partition by courier_id)
+            and n_ratings = (select max(c.n_ratings) from crossings c
+                             where c.courier_id = crossings.courier_id)""",
     "stream_running_totals_served": ORACLES["stream_running_totals"],
     "stream_cancellations_served": ORACLES["stream_cancellations_by_reason"],
     "stream_low_rating_served": ORACLES["stream_low_rating"],
