@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -23,6 +24,7 @@ from storepulse.operators import sketches
 from storepulse.operators.joins import lookup
 from storepulse.plans import delivery, kpis, reports
 from storepulse.schemas import MESSAGE, MORE_TABLES, ORDER_EVENT, SALE_EVENT, TABLES
+from storepulse.sinks import manifest
 from storepulse.sinks.reports import plain_numbers, write_report_csv
 from storepulse.sinks.tables import (
     export_tables, write_csv, write_json, write_lines, write_sales_by_month,
@@ -30,7 +32,9 @@ from storepulse.sinks.tables import (
 from storepulse.sources import files, tables
 from storepulse.sources.scratch import scratch_path
 from storepulse.sources.streams import parquet_files
-from storepulse.streaming import aggregates, batches, crossings, messages, served, windows
+from storepulse.streaming import (
+    aggregates, batches, compaction, crossings, messages, served, windows,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +73,17 @@ def sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, path, enriched.schema).select(*enriched.columns)
 
 
+def sales_months_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by month whose sales of 1997 are wrong at first, then replaced at once."""
+    path = scratch_path(spark, "sales-months")
+    enriched = tables.enriched_sales(spark, sf_dir)
+    wrong = F.when(F.year("sold_at") == 1997, F.col("amount") + 1).otherwise(F.col("amount"))
+    manifest.replace_sales_by_month(enriched.withColumn("amount", wrong), path)
+    manifest.replace_sales_by_month(enriched.filter(F.year("sold_at") == 1997), path)
+    schema = StructType(list(enriched.schema.fields)).add("month", "string")
+    return manifest.read(spark, path, schema, "month").drop("month")
+
+
 def kpi_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.revenue_by_category(
         tables.totals_per_product(spark, sf_dir), tables.products(spark, sf_dir)
@@ -401,6 +416,23 @@ def stream_summary_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.read_output(spark, out, "summary_by_category", schema)
 
 
+def stream_events_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of events, of which the first two have been moved into their days."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "compacted")
+    sent = sale_messages(spark, sf_dir, stream=False)
+    number = F.regexp_extract(F.col("key").cast("string"), "([0-9]+)$", 1).cast("long")
+    sent.limit(0).write.parquet(topic)
+    parsed = messages.parse_messages(parquet_files(spark, topic, MESSAGE))
+    for part in range(3):
+        sent.filter(number % 3 == part).write.mode("append").parquet(topic)
+        batches.run_to_end(batches.start_sales_stream(parsed, out, [], availableNow=True))
+        compaction.compact(
+            spark, out, "events", parsed.schema, F.col("event_timestamp"), upto=part - 1)
+        compaction.forget_batches(spark, out, "events")
+    rows = compaction.read_all(spark, out, "events", parsed.schema)
+    return with_plain_times(rows.drop("processing_timestamp", "corrupt_record"))
+
+
 def stream_windows_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily windows of a stream in which every tenth event comes two batches late.
 
@@ -519,6 +551,7 @@ def queries() -> dict[str, Query]:
     """Every query: (spark, directory of the tables) to DataFrame."""
     return {
         "sales_enriched": sales_enriched,
+        "sales_months_replaced": sales_months_replaced,
         "kpi_category": kpi_category,
         "kpi_city": kpi_city,
         "kpi_segment": kpi_segment,
@@ -559,6 +592,7 @@ def queries() -> dict[str, Query]:
         "stream_summary_city": derived_output("summary_by_city"),
         "stream_windowed_summary": stream_windowed_summary,
         "stream_summary_batches": stream_summary_batches,
+        "stream_events_compacted": stream_events_compacted,
         "stream_windows_late": stream_windows_late,
         "stream_running_totals": stream_running_totals,
         "stream_cancellations_by_reason": stream_cancellations_by_reason,

@@ -394,8 +394,14 @@ ORACLES = {
         from order_events where event_type = 'view'
         group by courier_id having sum(5 * k) < 250 * count(*)""",
 }
-# The same results, served from snapshots, and alerts that begin and end.
+# Tables replaced and compacted, results served from snapshots, alerts that begin and end.
 ORACLES |= {
+    "sales_months_replaced": ORACLES["sales_enriched"],
+    "stream_events_compacted": f"""
+        with {SALE_EVENTS}
+        select transaction_id as message_key, ts as kafka_timestamp, {MESSAGE_FIELDS},
+               event_timestamp, n % 3 as batch_id
+        from sale_events""",
     "stream_rating_crossings": f"with {RATING_CROSSINGS} select * from crossings",
     "stream_rating_alerts_on": f"""
         with {RATING_CROSSINGS}
