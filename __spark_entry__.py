@@ -20,16 +20,18 @@ from storepulse.functions.numbers import line_amount
 from storepulse.functions import texts
 from storepulse.functions.texts import parse_log_line
 from storepulse.operators.inspect import preview, profile, sample_with_replacement
-from storepulse.operators import sketches
+from storepulse.operators import draws, sketches
 from storepulse.operators.joins import lookup
 from storepulse.plans import delivery, kpis, reports
-from storepulse.schemas import MESSAGE, MORE_TABLES, ORDER_EVENT, SALE_EVENT, TABLES
+from storepulse.schemas import (
+    MESSAGE, MORE_TABLES, ORDER_EVENT, SALE_EVENT, TABLES, struct,
+)
 from storepulse.sinks import manifest
 from storepulse.sinks.reports import plain_numbers, write_report_csv
 from storepulse.sinks.tables import (
     export_tables, write_csv, write_json, write_lines, write_sales_by_month,
 )
-from storepulse.sources import files, tables
+from storepulse.sources import files, quarantine, tables
 from storepulse.sources.scratch import scratch_path
 from storepulse.sources.streams import parquet_files
 from storepulse.streaming import (
@@ -38,6 +40,9 @@ from storepulse.streaming import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# What tells the sale lines of the given table apart, as far as anything does.
+DRAWN = ("order_id", "line_number", "product_id", "store_id", "quantity", "discount_pct")
+
 
 def training_data() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the training-data operators, where that subpackage is installed."""
@@ -179,6 +184,18 @@ def returning_customers_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "segment", "n_both", F.col("n_keys").alias("n_all"))
 
 
+def draw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand sale lines, each at most once."""
+    sold = tables.lines(spark, sf_dir).select(*DRAWN)
+    return draws.draw(sold, 1_000, DRAWN, "sales-8")
+
+
+def draw_sales_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred thousand draws of any sale line, and how often each line was drawn."""
+    sold = tables.lines(spark, sf_dir).select(*DRAWN)
+    return draws.draw_again(sold, 100_000, DRAWN, "sales-9")
+
+
 # Files
 
 def as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +216,29 @@ def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_customers(spark, path)
 
 
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer lines of which some are short, misspelt or unclosed: typed rows and rejects."""
+    path = scratch_path(spark, "csv-quarantine")
+    key = F.col("customer_id").cast("string")
+    whole = F.concat_ws(",", key, F.concat(F.lit('"'), "customer_name", F.lit(', ""x"""')),
+                        (F.col("customer_id") % 80 + 18).cast("string"), "segment")
+    line = (
+        F.when(F.col("customer_id") % 10 == 1, F.concat_ws(",", key, "customer_name"))
+        .when(F.col("customer_id") % 10 == 2, F.concat(key, F.lit(",Eva,old,"), "segment"))
+        .when(F.col("customer_id") % 10 == 3, F.concat(key, F.lit(',"Eva,30,'), "segment"))
+        .otherwise(whole)
+    )
+    write_lines(tables.segments(spark, sf_dir).join(
+        tables.customers(spark, sf_dir).select("customer_id", "customer_name"), "customer_id",
+    ).select(line.alias("value")), path)
+    split = quarantine.read_csv_split(
+        spark, path, struct("customer_id bigint, name string, age int, segment string"),
+        header=False)
+    return split.good.unionByName(
+        split.rejected.select(F.col("text").alias("rejected")), allowMissingColumns=True,
+    ).fillna(-1, ["customer_id", "age"])
+
+
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products written as JSON lines and read back."""
     path = scratch_path(spark, "json")
@@ -565,7 +605,10 @@ def queries() -> dict[str, Query]:
         "sample_sales": sample_sales,
         "customers_per_segment_sketch": customers_per_segment_sketch,
         "returning_customers_sketch": returning_customers_sketch,
+        "draw_sales": draw_sales,
+        "draw_sales_again": draw_sales_again,
         "csv_files": csv_files,
+        "csv_quarantine": csv_quarantine,
         "json_lines": json_lines,
         "report_reread": report_reread,
         "tables_export": tables_export,

@@ -120,6 +120,19 @@ RATING_CROSSINGS = f"""
     from judged where low <> was_low
 )"""
 
+# Sale lines in the order that an md5 of seed and columns gives.
+DRAWN = """
+with sold as (
+    select l_orderkey as order_id, l_linenumber as line_number, l_partkey as product_id,
+           l_suppkey as store_id, cast(l_quantity as int) as quantity,
+           cast(round(l_discount * 100) as int) as discount_pct
+    from lineitem
+), ordered as (
+    select *, row_number() over (order by md5('{seed}:' || order_id || ':' || line_number || ':'
+        || product_id || ':' || store_id || ':' || quantity || ':' || discount_pct)) - 1 as place
+    from sold
+)"""
+
 GIVEN = ("region nation customer supplier part orders lineitem events documents embeddings pages "
          "benchmark labels conversations").split()
 
@@ -369,7 +382,7 @@ ORACLES = {
             from judged group by window_start, category
         )
         select window_start, window_start + interval 1 day as window_end, category,
-               nullif(n_on_time, 0) as n_events, revenue,
+               n_on_time as n_events, revenue,
                case when n_on_time > 0 then mean_risk end as mean_risk, n_late
         from summed
         where window_start + interval 1 day
@@ -396,6 +409,27 @@ ORACLES = {
 }
 # Tables replaced and compacted, results served from snapshots, alerts that begin and end.
 ORACLES |= {
+    "csv_quarantine": """
+        select case when c_custkey % 10 not in (1, 2, 3) then c_custkey else -1 end as customer_id,
+               case when c_custkey % 10 not in (1, 2, 3) then c_name || ', "x"' end as name,
+               case when c_custkey % 10 not in (1, 2, 3)
+                    then cast(c_custkey % 80 + 18 as int) else -1 end as age,
+               case when c_custkey % 10 not in (1, 2, 3) then c_mktsegment end as segment,
+               case c_custkey % 10 when 1 then c_custkey || ',' || c_name
+                    when 2 then c_custkey || ',Eva,old,' || c_mktsegment
+                    when 3 then c_custkey || ',"Eva,30,' || c_mktsegment end as rejected
+        from customer""",
+    "draw_sales": DRAWN.format(seed="sales-8") + """
+        select order_id, line_number, product_id, store_id, quantity, discount_pct
+        from ordered where place < 1000""",
+    "draw_sales_again": DRAWN.format(seed="sales-9") + """
+        , drawn as (
+            select cast(cast('0x' || substr(md5('sales-9:draw:' || i), 1, 15) as bigint)::hugeint
+                        * (select count(*) from ordered) // 1152921504606846976 as bigint) as place,
+                   count(*) as times
+            from range(100000) as draws(i) group by all)
+        select order_id, line_number, product_id, store_id, quantity, discount_pct, times
+        from ordered join drawn using (place)""",
     "sales_months_replaced": ORACLES["sales_enriched"],
     "stream_events_compacted": f"""
         with {SALE_EVENTS}

@@ -91,7 +91,7 @@ def read_windows(spark: SparkSession, out: str, windows: StructType, group: str
     """Closed windows with the events that came too late for them, over all batches.
 
     ``windows`` is the schema of ``windowed_summary``. A window all of whose events came
-    too late has no summary.
+    too late has no summary, and no events in it.
     """
     keys = ["window_start", "window_end", group]
     closed = read_output(spark, out, "windows", windows).drop("batch_id")
@@ -105,4 +105,4 @@ def read_windows(spark: SparkSession, out: str, windows: StructType, group: str
     return closed.join(late, same, "full").select(
         *[F.coalesce(k, f"_{k}").alias(k) for k in keys],
         *[f.name for f in windows.fields if f.name not in keys],
-        F.coalesce("n_late", F.lit(0)).alias("n_late"))
+        F.coalesce("n_late", F.lit(0)).alias("n_late")).fillna(0, ["n_events"])

@@ -51,7 +51,7 @@ def plainly(parts, width=10, lateness=20):
             newest = second if newest is None else max(newest, second)
         marks.append(newest)
     closed = {k: n for k, n in windows_.items() if k[0] + width <= newest - lateness}
-    return {k: (closed.get(k), late.get(k, 0)) for k in {*closed, *late}}
+    return {k: (closed.get(k, 0), late.get(k, 0)) for k in {*closed, *late}}
 
 
 PARTS = [
@@ -73,7 +73,7 @@ def test_windows_and_late_events(spark, scratch):
     assert found(spark, out) == expected
     assert sum(late for _, late in expected.values()) == 2
     # Every event is in a closed window, too late, or in a window that is open still.
-    counted = sum((n or 0) + late for n, late in found(spark, out).values())
+    counted = sum(n + late for n, late in found(spark, out).values())
     assert counted == sum(s is not None for part in PARTS for s, _ in part) - 1
 
 
