@@ -203,10 +203,11 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     Reads ``vec_id`` and ``embedding`` of one length; other columns are ignored, whatever
     their names. Queries are the rows whose ``vec_id`` is divisible by ``every``, their
-    candidates all rows of another ``vec_id``. Vectors that are NULL, empty, zero or hold
-    a NULL or non-finite component take no part, nor do rows without ``vec_id``. Rows that
-    repeat a ``vec_id`` are one vector, the largest of them. Ties go to the smaller ``vec_id``. With ``k`` candidates or fewer all
-    are returned; no rows give no rows.
+    candidates all other rows. Vectors that are NULL, empty, zero or hold
+    a NULL or non-finite component take no part, nor do rows without ``vec_id``. Every row is
+    a vector of its own: rows that repeat a ``vec_id`` are candidates of each other, and each
+    such query has its results. Ties go to the smaller ``vec_id``. With ``k`` candidates or
+    fewer all are returned; no rows give no rows.
 
     Centroids are fitted on a bounded sample in the driver and sent to all tasks, at most
     ``MOST_LISTS`` of them. Every row is put on its lists; lists and queries meet by list
@@ -215,7 +216,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """
     read = usable(vectors.filter(F.col("vec_id").isNotNull()).select(
         "vec_id", F.col("embedding").cast("array<double>").alias("vector")))
-    read = written(read.groupBy("vec_id").agg(F.max("vector").alias("vector")), "vectors")
+    read = written(read.withColumn("row", F.monotonically_increasing_id()), "vectors")
     facts = read.agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)).alias("largest")).first()
@@ -234,12 +235,13 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
                 at, where = (
                     shared.value.promising(asking(rows.vector, largest), largest) if queries
                     else shared.value.near(spherical(rows.vector, largest)))
-                yield pd.DataFrame({"vec_id": rows.vec_id.to_numpy()[at],
+                yield pd.DataFrame({"row": rows.row.to_numpy()[at],
+                                    "vec_id": rows.vec_id.to_numpy()[at],
                                     "list": where.astype(np.int32),
                                     "vector": rows.vector.to_numpy()[at]})
         return run
 
-    schema = "vec_id long, list int, vector array<double>"
+    schema = "row long, vec_id long, list int, vector array<double>"
     posted = written(
         read.mapInPandas(placed(queries=False), schema), "postings")
     lengths = posted.groupBy("list").agg(
@@ -251,29 +253,32 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         "slot", F.pmod(F.xxhash64("vec_id", "vector"), F.col("slots")).cast("int"))
 
     def best(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
-        x, ids = np.array(rows.vector.tolist()), rows.vec_id.to_numpy()
+        found = [pd.DataFrame({"asking": [], "query_id": [], "row": [], "vec_id": [], "score": []})]
+        x, ids, own = np.array(rows.vector.tolist()), rows.vec_id.to_numpy(), rows.row.to_numpy()
         for i in range(0, len(queries) if len(rows) else 0, 256):
             part = queries.iloc[i:i + 256]
-            names = part.vec_id.to_numpy()
+            names, asking = part.vec_id.to_numpy(), part.row.to_numpy()
             scores = np.array(part.vector.tolist()) @ x.T
-            scores[names[:, None] == ids[None]] = -np.inf
+            scores[asking[:, None] == own[None]] = -np.inf
             at_least = -np.partition(-scores, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
             row, place = np.nonzero((scores >= at_least[:, None]) & np.isfinite(scores))
             # More than k only if some tie with the last; the smaller vec_ids stay.
-            order = np.lexsort((ids[place], -scores[row, place], row))
+            order = np.lexsort((own[place], ids[place], -scores[row, place], row))
             row, place = row[order], place[order]
             nth = np.arange(len(row)) - np.searchsorted(row, row)
             row, place = row[nth < k], place[nth < k]
-            found.append(pd.DataFrame({"query_id": names[row], "vec_id": ids[place],
+            found.append(pd.DataFrame({"asking": asking[row], "query_id": names[row],
+                                       "row": own[place], "vec_id": ids[place],
                                        "score": scores[row, place]}))
         return pd.concat(found[1:] or found)
 
-    near = asked.select("list", "slot", "vec_id", "vector").groupBy("list", "slot").cogroup(
-        posted.select("list", "slot", "vec_id", "vector").groupBy("list", "slot")
-    ).applyInPandas(best, "query_id long, vec_id long, score double")
-    once = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    sides = [side.select("list", "slot", "row", "vec_id", "vector").groupBy("list", "slot")
+             for side in (asked, posted)]
+    near = sides[0].cogroup(sides[1]).applyInPandas(
+        best, "asking long, query_id long, row long, vec_id long, score double")
+    # A row that is on several lists is found on each.
+    once = near.groupBy("asking", "query_id", "row", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(
-        W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id")))
+        W.partitionBy("asking").orderBy(F.col("score").desc(), F.col("vec_id"), F.col("row")))
     return once.withColumn("rank", rank).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -11,9 +11,9 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from storepulse.llm.common import map_rows, written
+from storepulse.llm.common import WORD, map_rows, written
 
 # Base of the register scale: neighbouring values differ by 0.1 per cent, so equal
 # registers are about as likely as equal minima.
@@ -177,8 +177,14 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
     return map_rows(docs.select("text"), "print binary, shingles binary", of)
 
 
+def mark_of(text: Column) -> Column:
+    """What tells texts apart, to the letter."""
+    return F.md5(text.cast("binary"))
+
+
 def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id, n_shingles``, the ``print`` of the set, and its ``registers``."""
+    """``doc_id``, the ``mark`` of the text, ``n_shingles``, the ``print`` of the set, and its
+    ``registers``."""
     hashes = WordHashes()
 
     def of(batch: pa.RecordBatch) -> list:
@@ -188,11 +194,12 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
             out[0].append(len(found))
             out[1].append(print_of(found))
             out[2].append(sketch(found, settings.registers).tobytes() if len(found) else b"")
-        return [batch.column(0), *out]
+        return [batch.column(0), batch.column(2), *out]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", "text"),
-                    f"doc_id {kind}, n_shingles long, print binary, registers binary", of)
+    return map_rows(
+        docs.select("doc_id", "text", mark_of(F.col("text")).alias("mark")),
+        f"doc_id {kind}, mark string, n_shingles long, print binary, registers binary", of)
 
 
 def matrix(packed: pd.Series, registers: int) -> np.ndarray:
@@ -338,7 +345,9 @@ def leftover_links(members: DataFrame, settings: Settings) -> DataFrame:
                     found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
         return pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(
+    # Else Spark takes the deal by bucket, which the joins have made, as good enough, and all
+    # blocks of a bucket are one task's.
+    return dealt.repartition("bucket", "low", "high").groupBy("bucket", "low", "high").applyInPandas(
         compare, "a binary, b binary").distinct()
 
 
@@ -360,6 +369,16 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     compared whole, except inside their largest component: no link between components is
     left out, and links inside one add nothing.
     """
+    read, by_print = judged(docs, settings)
+    component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
+    return read.select("doc_id", "n_shingles", "print").join(by_print, "print", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def judged(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and for the ``print`` of each set that is not empty the
+    component's ``lowest`` doc_id and the print ``lowest_print`` of a set that has it."""
     read = written(sketches(docs, settings), "sketches")
     full = read.filter("n_shingles > 0 and doc_id is not null")
     sets = written(
@@ -412,25 +431,32 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         roots = components(sets, links.union(more))
 
     named = sets.join(roots, "id")
-    lowest = named.groupBy("root").agg(F.min("doc_id").alias("lowest"))
-    by_print = named.join(lowest, "root").select(F.col("id").alias("print"), "lowest")
-    component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
-    return read.select("doc_id", "n_shingles", "print").join(by_print, "print", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    lowest = named.groupBy("root").agg(F.min(F.struct("doc_id", "id")).alias("lowest"))
+    return read, named.join(lowest, "root").select(
+        F.col("id").alias("print"), F.col("lowest.doc_id").alias("lowest"),
+        F.col("lowest.id").alias("lowest_print"))
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One document of each class: the rows of ``docs`` that stay, with their columns.
+    """One row of each class: the rows of ``docs`` that stay, with their columns.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id all do.
+    It is decided by row, not by doc_id: rows of one doc_id with different texts are documents
+    of their own, and each stays unless it is a near copy of a row with a smaller doc_id, or
+    of another row of its own. Rows without doc_id, and texts without words, are linked with
+    nothing and all stay.
     """
-    dropped = classes(docs, settings).filter("not kept").select(
-        F.col("doc_id").alias("dropped_id")).distinct().hint("merge")
-    held = docs.select(F.col("doc_id").alias("held_id"),
-                       F.struct(*[docs[c] for c in docs.columns]).alias("held"))
-    first = F.row_number().over(W.partitionBy("held_id").orderBy(F.xxhash64("held")))
-    return (
-        held.join(dropped, F.col("held_id") == F.col("dropped_id"), "left_anti")
-        .withColumn("place", first).filter("place = 1 or held_id is null").select("held.*")
-    )
+    read, by_print = judged(docs, settings)
+    full = read.filter("n_shingles > 0 and doc_id is not null")
+    # Of the texts that have the lowest doc_id and its set, the one of the least mark.
+    keepers = full.join(by_print.filter("print = lowest_print"), "print").filter(
+        "doc_id = lowest").groupBy("print").agg(F.min(F.struct("doc_id", "mark")).alias("keeper"))
+    keepers = keepers.select(F.col("keeper.doc_id").alias("held_id"),
+                             F.col("keeper.mark").alias("mark")).hint("merge")
+    free = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    held = docs.filter(~free).select(
+        F.col("doc_id").alias("held_id"), mark_of(F.col("text")).alias("mark"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("held"))
+    # Rows that are the same in doc_id and text leave each task as one.
+    one = held.join(keepers, ["held_id", "mark"], "left_semi").groupBy("held_id", "mark").agg(
+        F.min_by("held", F.xxhash64("held")).alias("held"))
+    return one.select("held.*").unionByName(docs.filter(free))

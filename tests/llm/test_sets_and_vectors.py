@@ -84,6 +84,27 @@ def test_awkward_classes(spark, awkward, nothing):
     assert near_dedup.deduplicated(nothing).columns == nothing.columns
 
 
+def test_rows_of_one_doc_id_are_documents_of_their_own(spark):
+    """What has no copy stays, whatever its doc_id; of copies one row stays."""
+    text = [" ".join(f"{name}{i}" for i in range(30)) for name in "abcd"]
+    rows = [(1, text[0]), (5, text[0]), (5, text[1]), (5, text[1]), (6, text[1] + " more"),
+            (7, text[2] + " more"), (7, text[2]), (7, ""), (7, ""), (None, text[2]), (8, text[3])]
+    kept = near_dedup.deduplicated(documents(spark, rows), Settings(3, 85)).collect()
+    found = sorted((r.doc_id or 0, r.text) for r in kept)
+    assert [(i, t) for i, t in found if i != 7] == [
+        (0, text[2]), (1, text[0]), (5, text[1]), (8, text[3])]
+    # Two near copies with the same doc_id are one document; empty texts are linked with nothing.
+    assert sorted(t[:1] for i, t in found if i == 7) == ["", "", "c"]
+
+
+def test_blocks_of_a_bucket_are_dealt_by_block(spark):
+    schema = "bucket long, id binary, root binary, n long, registers binary, shingles binary"
+    members = spark.createDataFrame([], schema).repartition("bucket")
+    plan = near_dedup.leftover_links(members, Settings())._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"hashpartitioning\(bucket#\d+L, low#\d+, high#\d+", plan)
+
+
 def test_sketches_merge_and_estimate():
     settings = Settings(3, 85)
     draw = np.random.default_rng(4)
@@ -157,11 +178,20 @@ def test_few_and_odd_vectors(spark):
             (None, [1., 1.]), (2, [2., 0.])]
     vectors = spark.createDataFrame(
         [(i, v, "clash") for i, v in rows], "vec_id long, embedding array<float>, vector string")
-    good = {i: v for i, v in rows if i in (0, 1, 2, 3, 20)}
+    good = sorted((i, v) for i, v in rows if i in (0, 1, 2, 3, 20))
     found = {}
     for r in ann.search(vectors).orderBy("rank").collect():
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert found == nearest(sorted(good.items()), 20, 20)
+    # Both rows of 2 are candidates.
+    assert found == nearest(good, 20, 20)
+    assert [i for i, _ in found[0]].count(2) == 2
+
+
+def test_each_row_of_a_repeated_query_has_its_results(spark):
+    rows = [(20, [1., 0.]), (20, [0., 1.]), (1, [3., 1.])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(vectors).collect()]
+    assert sorted(found) == [(20, 1, 1, 1.0), (20, 1, 1, 3.0), (20, 2, 20, 0.0), (20, 2, 20, 0.0)]
     assert ann.search(vectors.limit(0)).count() == 0
 
 
