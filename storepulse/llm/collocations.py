@@ -17,7 +17,7 @@ from storepulse.llm.common import written
 # Words of a phrase at most, occurrences of a phrase at least, phrases a language gets.
 DEPTH, LEAST, FIRST = 5, 100, 2_000
 # Words and piece ends after which a block of texts is closed.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 # Suffixes of a group of prefixes, which a task holds at 24 bytes each. With over MOST_GROUPS
 # times as many suffixes, groups grow in proportion, up to LARGEST. A group's subtrees are
 # built a few at a time, of about BUILT suffixes.
@@ -101,6 +101,12 @@ def blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, words binary, tokens binary")
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time: each is large."""
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns)}
+
+
 def unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
     """A block's words by number, with nothing at 0, and its sequence."""
     return [b"", *row["words"].split(b"\n")], np.frombuffer(row["tokens"], "<i4")
@@ -128,7 +134,7 @@ def word_counts(read: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 words, sequence = unpacked(row)
                 found = np.bincount(sequence, minlength=len(words))
                 for i in range(1, len(words), 1 << 16):
@@ -156,8 +162,8 @@ class Partition:
         bit = places % BITS
         often = (self.frequent[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
         often[0] = 0
-        kept = np.concatenate([np.where(often[sequence], sequence, 0),
-                               np.zeros(depth, np.int32)]).astype(np.int64)
+        kept = np.concatenate([np.where(often[sequence], sequence, np.int32(0)),
+                               np.zeros(depth, np.int32)])
         number = {w: i for i, w in enumerate(words)}
         size, names, found = len(sequence), {(): 0}, [np.zeros(len(sequence), np.int64)]
         for k, of_lang in enumerate(self.heavy, 1):
@@ -184,7 +190,7 @@ def extensions(read: DataFrame, partition: Partition, depth: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 words, sequence = unpacked(row)
                 _, kept, heavy = shared.value.suffixes(row["lang"], words, sequence, DEPTH)
                 at = np.flatnonzero((heavy[-1] >= 0) & (kept[depth - 1:depth - 1 + len(sequence)] > 0))
@@ -260,16 +266,16 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 words, sequence = unpacked(row)
                 lang, group = row["lang"], shared.value.group
                 places, kept, heavy = shared.value.suffixes(lang, words, sequence, DEPTH)
                 size = len(sequence)
                 columns = [kept[:size]]
                 for k in range(1, DEPTH):
-                    columns.append(np.where(columns[-1] > 0, kept[k:k + size], 0))
+                    columns.append(np.where(columns[-1] > 0, kept[k:k + size], np.int32(0)))
                 route = np.where(columns[1] > 0, group[places % SHARES][columns[0]], -1)
-                light = np.ones(size, np.int64)
+                light = np.ones(size, np.int32)
                 for k, own in enumerate(heavy, 1):
                     # What a heavy prefix starts goes by one word more; if there is none,
                     # or no room for one, its phrases are counted already.
@@ -287,11 +293,12 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
                     light[at] = k + 1
                 at = np.flatnonzero(route >= 0)
                 at = at[np.lexsort((columns[1][at], route[at] * len(words) + columns[0][at]))]
-                rows = np.stack([c[at] for c in columns] + [light[at]]).astype(np.int32)
+                rows = np.stack([c[at] for c in columns] + [light[at]])
                 route = route[at]
+                del columns, light, heavy, at
                 cuts = np.flatnonzero(np.diff(route)) + 1
                 used = np.zeros(len(words), np.int64)
-                for number, part in zip(route[np.concatenate([[0], cuts])] if len(at) else (),
+                for number, part in zip(route[np.concatenate([[0], cuts])] if len(route) else (),
                                         np.split(rows, cuts, axis=1)):
                     present = np.zeros(len(words), bool)
                     present[part[:DEPTH]] = True
@@ -379,7 +386,7 @@ def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 if held and (held[0]["group"], held[0]["lang"]) != (row["group"], row["lang"]):
                     yield from found(held)
                 held.append(row)
