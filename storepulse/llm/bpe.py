@@ -83,9 +83,8 @@ class Codec:
         self.decimals = [str(i) for i in range(len(ranks))]
         self.chunks = Chunks(regex.compile(pattern), self.encode_pretokens)
 
-    def encode_pretokens(self, pretokens: Sequence[str]) -> list[list[int]]:
+    def encode_pretokens(self, data: Sequence[bytes]) -> list[list[int]]:
         """Ids of each; a pretoken that is itself a token is that token."""
-        data = [p.encode() for p in pretokens]
         found = [[self.ranks[d]] if d in self.ranks else None for d in data]
         rest = [i for i, ids in enumerate(found) if ids is None]
         if rest:

@@ -1,71 +1,130 @@
-"""Encoding whole texts by remembered chunks."""
+"""Encoding whole texts by their distinct pretokens, found and looked up in blocks."""
 
 from __future__ import annotations
 
-import re
+import struct
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import regex
 
-# A single space with no white space beside it parts a text into chunks that no pretoken
-# of a byte-level BPE pattern crosses: a space is only ever the first character of a
-# pretoken, or part of a run of white space.
-LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-# Marks that end a chunk as a pretoken of their own after letters.
-MARKS = frozenset(".,;:!?")
-# Chunks a worker remembers before it forgets them all.
+from storepulse.llm.repair import stretches
+
+# Fixed value: the pattern of byte-level BPE that `split_plain` splits by.
+PLAIN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# What may follow the apostrophe of a contraction.
+SHORT, LONG = ("s", "t", "m", "d"), ("re", "ve", "ll")
+OTHER, LETTER, NUMBER, SPACE = range(4)
+# Pretokens a worker remembers of late; as many that it met earlier are kept besides.
 REMEMBERED = 400_000
-# Characters that are encoded together at least: a call has its price.
-TOGETHER = 1 << 20
+# Characters that are encoded together at least: pretokens repeat within a block.
+TOGETHER = 1 << 22
+
+Encode = Callable[[Sequence[bytes]], Iterable[Sequence[int]]]
+
+
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """Of each code point: letter, number, white space or other, as `regex` has them."""
+    kind = np.full(0x110000, OTHER, np.uint8)
+    every = "".join(map(chr, range(0x110000)))
+    for what, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for found in regex.finditer(pattern, every):
+            kind[found.start():found.end()] = what
+    return kind
+
+
+def bounded(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the joined texts, where pretokens of `PLAIN` start, and texts do.
+
+    A pretoken is a run of one kind, with a single space before it if there is one. White
+    space gives its last character away unless the text ends with it. An apostrophe that
+    starts a run takes the letters of a contraction.
+    """
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    n = len(points)
+    ends = np.cumsum([len(t) for t in texts])
+    firsts = np.concatenate([[0], ends[:-1]])
+    if not n:
+        return points, np.zeros(0, bool), firsts
+    kind = kinds()[points]
+    new_text = np.zeros(n + 1, bool)
+    new_text[firsts] = True
+    start = new_text[:n].copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    white = kind == SPACE
+    tail = np.flatnonzero(white[:-1] & ~white[1:] & ~new_text[1:n])
+    start[tail] = True
+    start[tail[points[tail] == ord(" ")] + 1] = False
+
+    quote = np.flatnonzero(start & (points == ord("'")))
+    if len(quote):
+        left = ends[np.searchsorted(ends, quote, side="right")] - quote - 1
+        padded = np.concatenate([points, np.zeros(2, "<u4")])
+        one, two = padded[quote + 1], padded[quote + 2]
+        short = (left >= 1) & np.isin(one, [ord(c) for c in SHORT])
+        long = (left >= 2) & np.logical_or.reduce(
+            [(one == ord(c[0])) & (two == ord(c[1])) for c in LONG])
+        start[quote[short | long] + 1] = False
+        after = np.concatenate([quote[short] + 2, quote[long] + 3])
+        start[after[after < n]] = True
+    return points, start, firsts
 
-Encode = Callable[[Sequence[str]], Iterable[list[int]]]
+
+def split_plain(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+    """Pretokens of all texts by `PLAIN`, as UTF-8, and the first one of each text."""
+    points, start, firsts = bounded(texts)
+    data = "".join(texts).encode()
+    starts = np.flatnonzero(start)
+    at = starts
+    if len(data) != len(points):
+        width = 1 + (points > 0x7F).astype(np.int8) + (points > 0x7FF) + (points > 0xFFFF)
+        at = (np.cumsum(width, dtype=np.int64) - width)[starts]
+    offsets = np.append(at, len(data)).astype(np.int64)
+    pieces = pa.Array.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return pieces, np.searchsorted(starts, firsts)
 
 
 class Chunks:
-    """Ids of texts, from those of the chunks between their spaces.
+    """Ids of texts, from those of their distinct pretokens.
 
     ``pattern`` splits into pretokens, ``encode`` gives the ids of each of a list of
-    pretokens. A known chunk stands for itself after a space.
+    pretokens in UTF-8.
     """
 
     def __init__(self, pattern, encode: Encode):
         self.pattern, self.encode = pattern, encode
-        self.known: dict[str, bytes] = {}
-        self.edged: set[str] = set()
-
-    def encoded(self, pretokens: Iterable[str]) -> dict[str, bytes]:
-        distinct = list(dict.fromkeys(pretokens))
-        if not distinct:
-            return {}
-        return {p: np.array(ids, "<u4").tobytes()
-                for p, ids in zip(distinct, self.encode(distinct), strict=True)}
-
-    def read(self, piece: str) -> bytes:
-        """Ids of any piece of text, by its pretokens."""
-        parts = self.pattern.findall(piece)
-        ids = self.encoded(parts)
-        return b"".join([ids[p] for p in parts])
-
-    def learn(self, chunks: Iterable[str]) -> None:
-        """Know each chunk as it is read after a space; apart, those edged by white space."""
-        known, whole, marked, parted = self.known, [], [], {}
-        for chunk in chunks:
-            # All letters, or letters and a mark, need no pattern.
-            if chunk.isalpha():
-                whole.append(chunk)
-            elif chunk[-1:] in MARKS and chunk[:-1].isalpha():
-                marked.append(chunk)
-            elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
-                self.edged.add(chunk)
-                known[chunk] = b""
-            else:
-                parted[chunk] = self.pattern.findall(" " + chunk)
-        whole += {c[:-1] for c in marked} - known.keys() - set(whole)
-        ids = self.encoded([*(" " + c for c in whole), *MARKS,
-                            *(p for parts in parted.values() for p in parts)])
-        known.update((c, ids[" " + c]) for c in whole)
-        known.update((c, known[c[:-1]] + ids[c[-1]]) for c in marked)
-        known.update((c, b"".join([ids[p] for p in parts])) for c, parts in parted.items())
+        self.split = split_plain if pattern.pattern == PLAIN else self.split_by_pattern
+        self.late: dict[bytes, bytes] = {}
+        self.early: dict[bytes, bytes] = {}
+
+    def split_by_pattern(self, texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+        parts = [self.pattern.findall(text) for text in texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        return (pa.array([p.encode() for own in parts for p in own], pa.large_binary()),
+                np.cumsum(sizes) - sizes)
+
+    def read(self, pretokens: list[bytes]) -> list[bytes]:
+        """Ids of distinct pretokens, as little-endian unsigned 32-bit integers."""
+        if len(self.late) > REMEMBERED:
+            self.late, self.early = {}, self.late
+        late, early = self.late, self.early
+        found = [late.get(p) for p in pretokens]
+        missing = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                p = pretokens[i]
+                if p in early:
+                    found[i] = late[p] = early[p]
+                else:
+                    missing.append(i)
+        new = [pretokens[i] for i in missing]
+        for i, p, ids in zip(missing, new, self.encode(new) if new else (), strict=True):
+            found[i] = late[p] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
 
     def data(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
@@ -76,20 +135,18 @@ class Chunks:
             if size >= TOGETHER:
                 yield from self.together(held)
                 held, size = [], 0
-        yield from self.together(held)
+        if held:
+            yield from self.together(held)
 
     def together(self, texts: list[str]) -> Iterator[bytes]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-            self.edged.clear()
-        parts = [text.split(" ") for text in texts]
-        self.learn(set().union(*(rest for _, *rest in parts)) - known.keys())
-        firsts = self.encoded(p for first, *_ in parts for p in self.pattern.findall(first))
-        for text, (first, *rest) in zip(texts, parts):
-            if self.edged and not self.edged.isdisjoint(rest) or first and first[-1].isspace():
-                first, *rest = LONE_SPACE.split(text)
-                yield b"".join([self.read(first), *(self.read(" " + piece) for piece in rest)])
-            else:
-                yield b"".join([*(firsts[p] for p in self.pattern.findall(first)),
-                                *map(known.__getitem__, rest)])
+        pieces, firsts = self.split(texts)
+        coded = pieces.dictionary_encode()
+        ids = self.read(coded.dictionary.to_pylist())
+        sizes = np.array([len(i) for i in ids], np.int64) // 4
+        place = coded.indices.to_numpy()
+        own = sizes[place]
+        out = np.frombuffer(b"".join(ids), "<u4")[
+            stretches((np.cumsum(sizes) - sizes)[place], own)]
+        at = np.concatenate([[0], np.cumsum(own)])[np.append(firsts, len(place))].tolist()
+        for begin, end in zip(at, at[1:]):
+            yield out[begin:end].tobytes()

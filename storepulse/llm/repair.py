@@ -10,9 +10,32 @@ import numpy as np
 # Fixed value: what a shard starts with.
 MAGIC = b"RPG1"
 HEADER = struct.Struct("<4sIIII")
-# Pairs replaced in a round, and occurrences a pair needs; rounds go on while one has them.
-PAIRS = 256
+# Occurrences a pair needs; rounds go on while one has them.
 LEAST = 8
+# A round replaces the pairs that occur at least this share as often as the most frequent.
+SHARE = 0.1
+
+
+def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``start, start + 1, ...`` of each stretch, one stretch after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each key, the same for equal keys only, and the key of each number.
+
+    Keys go to slots by a hash; a slot belongs to one of the keys that meet there, and the
+    other keys, which are few, are numbered by sorting. Slots without a key keep any key.
+    """
+    bits = max(8, int(len(keys)).bit_length() + 1)
+    slot = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+    owner = np.zeros(1 << bits, np.uint64)
+    owner[slot] = keys
+    guests = np.flatnonzero(owner[slot] != keys)
+    others, number = np.unique(keys[guests], return_inverse=True)
+    slot[guests] = (1 << bits) + number
+    return slot, np.concatenate([owner, others])
 
 
 def replace_pairs(
@@ -20,33 +43,53 @@ def replace_pairs(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One round: the most frequent pairs become nonterminals ``first_new, ...``.
 
-    ``last`` marks the last symbol of each document; no pair crosses it. Of overlapping
-    occurrences the first of each two is replaced. Gives symbols, marks and the pairs.
+    ``last`` marks the last symbol of each document; no pair crosses it. Where occurrences
+    of different pairs overlap, the more frequent pair has it; where those of one pair do
+    (a run of one symbol), every other one is replaced. A pair that others leave less than
+    half of ``LEAST`` waits; the most frequent never does. Gives symbols, marks and the
+    pairs, none if no pair occurs ``LEAST`` times.
     """
-    keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-    inside = ~last[:-1]
-    ordered = np.sort(keys[inside])
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(
-        ordered) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(starts, len(ordered)))
-    often = np.flatnonzero(counts >= LEAST)
-    if not len(often):
-        return symbols, last, np.zeros((0, 2), np.uint32)
-    top = often[np.argsort(-counts[often], kind="stable")[:PAIRS]]
-    chosen = np.sort(ordered[starts[top]])
-    place = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
-    hit = (chosen[place] == keys) & inside
-    # Runs of overlapping hits: keep every other one.
-    at = np.flatnonzero(hit)
-    new_run = np.concatenate([[True], np.diff(at) > 1])
-    run_start = np.maximum.accumulate(np.where(new_run, at, 0))
-    at = at[(at - run_start) % 2 == 0]
+    none = symbols, last, np.zeros((0, 2), np.uint32)
+    at = np.flatnonzero(~last[:-1])
+    if len(at) < LEAST:
+        return none
+    keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
+    number, key_of = numbered(keys)
+    counts = np.bincount(number, minlength=len(key_of))
+    most = counts.max()
+    if most < LEAST:
+        return none
+    chosen = np.flatnonzero(counts >= max(LEAST, most * SHARE))
+    chosen = chosen[np.lexsort((key_of[chosen], -counts[chosen]))]
+    rank_of = np.full(len(key_of), -1, np.int64)
+    rank_of[chosen] = np.arange(len(chosen))
+    rank = rank_of[number]
+    hit = np.flatnonzero(rank >= 0)
+    at, rank = at[hit], rank[hit]
+
+    # Runs of overlapping occurrences of one pair; of touching runs the lower rank stays.
+    near = np.diff(at) == 1
+    begins = np.concatenate([[True], ~(near & (rank[1:] == rank[:-1]))])
+    begin = np.flatnonzero(begins)
+    run = np.cumsum(begins) - 1
+    lower = rank[begin][1:] < rank[begin][:-1]
+    touching = near[begin[1:] - 1]
+    stays = np.ones(len(begin), bool)
+    stays[1:] &= ~touching | lower
+    stays[:-1] &= ~(touching & lower)
+    taken = stays[run] & ((np.arange(len(at)) - begin[run]) % 2 == 0)
+    at, rank = at[taken], rank[taken]
+    enough = np.bincount(rank, minlength=len(chosen)) >= LEAST // 2
+    kept = enough[rank]
+    at, rank = at[kept], rank[kept]
+
     symbols, last = symbols.copy(), last.copy()
-    symbols[at] = first_new + place[at]
+    symbols[at] = first_new + (np.cumsum(enough) - 1)[rank]
     last[at] = last[at + 1]
     left = np.ones(len(symbols), bool)
     left[at + 1] = False
-    pairs = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+    pairs = key_of[chosen[enough]]
+    pairs = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
     return symbols[left], last[left], pairs
 
 
@@ -110,7 +153,19 @@ class Shard:
         return np.diff(np.cumsum(one)[self.ends])
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids of a stretch of symbols."""
+        """The ids of a stretch of symbols, from those of each rule it names."""
+        new = symbols >= self.base
+        rules, which = np.unique(symbols[new], return_inverse=True)
+        ids, sizes = self.expanded(rules), self.lengths[rules - self.base].astype(np.int64)
+        source = np.concatenate([symbols[~new], ids])
+        starts, size = np.empty(len(symbols), np.int64), np.ones(len(symbols), np.int64)
+        starts[~new] = np.arange(len(symbols) - len(which))
+        starts[new] = (len(symbols) - len(which) + np.cumsum(sizes) - sizes)[which]
+        size[new] = sizes[which]
+        return source[stretches(starts, size)]
+
+    def expanded(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids of symbols, a level of the grammar at a time."""
         while len(symbols) and (new := symbols >= self.base).any():
             size = np.where(new, 2, 1)
             at = np.cumsum(size) - size

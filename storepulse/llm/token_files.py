@@ -25,6 +25,9 @@ PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 LETTERS = {b: chr(b) for b in PLAIN} | {
     b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*PLAIN}))}
 
+# A character that stands for no byte.
+APART = "\u1000"
+
 
 class Encoder:
     """Whole texts to ids by a byte-level BPE file of the tokenizers library."""
@@ -35,10 +38,10 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks = Chunks(regex.compile(pattern), self.encode_pretokens)
 
-    def encode_pretokens(self, pretokens: Sequence[str]) -> list[list[int]]:
+    def encode_pretokens(self, pretokens: Sequence[bytes]) -> list[list[int]]:
         tokenize = self.model.tokenize
-        return [[t.id for t in tokenize(p.encode().decode("latin-1").translate(LETTERS))]
-                for p in pretokens]
+        spelt = APART.join([p.decode("latin-1") for p in pretokens]).translate(LETTERS)
+        return [[t.id for t in tokenize(p)] for p in spelt.split(APART)]
 
     def data(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids as little-endian unsigned 32-bit integers.
@@ -95,7 +98,7 @@ def write_shards(docs: DataFrame, model: str, pattern: str, path: str, end: int
         tail = np.array([end], "<u4")
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for doc_id, data in zip(names, encoder.data(t.as_py() for t in batch.column(1))):
+            for doc_id, data in zip(names, encoder.data(batch.column(1).to_pylist())):
                 doc_ids.append(doc_id)
                 held.append(np.concatenate([np.frombuffer(data, "<u4"), tail]))
                 size += len(held[-1])
