@@ -14,6 +14,8 @@ HEADER = struct.Struct("<4sIIII")
 LEAST = 8
 # A round replaces the pairs that occur at least this share as often as the most frequent.
 SHARE = 0.1
+# Slots that pairs are counted in before they are told apart, as a power of two.
+SLOT_BITS = 18
 
 
 def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -22,13 +24,21 @@ def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def perhaps_frequent(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Places of the pairs whose slot, by a hash, counts ``LEAST`` or more: all that do, few others."""
+    first, second = symbols[:-1], symbols[1:]
+    slot = (first * np.uint32(0x9E3779B1) ^ second * np.uint32(0x85EBCA6B)) >> np.uint32(32 - SLOT_BITS)
+    often = np.bincount(slot, minlength=1 << SLOT_BITS) >= LEAST
+    return np.flatnonzero(often[slot] & ~last[:-1])
+
+
 def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A number for each key, the same for equal keys only, and the key of each number.
 
     Keys go to slots by a hash; a slot belongs to one of the keys that meet there, and the
     other keys, which are few, are numbered by sorting. Slots without a key keep any key.
     """
-    bits = max(8, int(len(keys)).bit_length() + 1)
+    bits = max(8, int(len(keys)).bit_length())
     slot = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
     owner = np.zeros(1 << bits, np.uint64)
     owner[slot] = keys
@@ -50,7 +60,7 @@ def replace_pairs(
     pairs, none if no pair occurs ``LEAST`` times.
     """
     none = symbols, last, np.zeros((0, 2), np.uint32)
-    at = np.flatnonzero(~last[:-1])
+    at = perhaps_frequent(symbols, last)
     if len(at) < LEAST:
         return none
     keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
