@@ -7,6 +7,7 @@ calls the library.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -26,7 +27,7 @@ from storepulse.plans import delivery, kpis, reports
 from storepulse.schemas import (
     MESSAGE, MORE_TABLES, ORDER_EVENT, SALE_EVENT, TABLES, struct,
 )
-from storepulse.sinks import manifest
+from storepulse.sinks import buckets, documents, manifest
 from storepulse.sinks.reports import plain_numbers, write_report_csv
 from storepulse.sinks.tables import (
     export_tables, write_csv, write_json, write_lines, write_sales_by_month,
@@ -35,7 +36,7 @@ from storepulse.sources import files, quarantine, tables
 from storepulse.sources.scratch import scratch_path
 from storepulse.sources.streams import parquet_files
 from storepulse.streaming import (
-    aggregates, batches, compaction, crossings, messages, served, windows,
+    aggregates, batches, compaction, crossings, maintained, messages, served, windows,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +89,19 @@ def sales_months_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.read(spark, path, schema, "month").drop("month")
 
 
+def sales_enriched_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and orders laid out by order beforehand: their join moves no rows."""
+    sides = {"lines": tables.sale_lines(spark, sf_dir), "orders": tables.sale_orders(spark, sf_dir)}
+    count = buckets.buckets_for(max(map(buckets.planned_bytes, sides.values())))
+    sold, placed = (
+        buckets.write_bucketed(rows, f"{name}_{uuid.uuid4().hex}",
+                               scratch_path(spark, f"bucketed-{name}"), "order_id", count)
+        for name, rows in sides.items())
+    known = lookup(lookup(sold, placed, "order_id"), tables.customers(spark, sf_dir), "customer_id")
+    with_product = lookup(known, tables.products(spark, sf_dir), "product_id")
+    return lookup(with_product, tables.stores(spark, sf_dir), "store_id")
+
+
 def kpi_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.revenue_by_category(
         tables.totals_per_product(spark, sf_dir), tables.products(spark, sf_dir)
@@ -269,6 +283,16 @@ def tables_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile({name: files.read_parquet(spark, f"{path}/{name}") for name in copied})
 
 
+def collections_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collections of documents, the products wrong at first; products as they are read."""
+    store = scratch_path(spark, "collections")
+    products = tables.products(spark, sf_dir)
+    documents.write_collection(products.withColumn("stock", F.lit(-1)), store, "products")
+    documents.export_collections(
+        {"products": products, "kpi_store": kpi_store(spark, sf_dir)}, store)
+    return documents.read_collection(spark, store, "products", products.schema)
+
+
 # Reports
 
 def top_products_by_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,6 +496,27 @@ def stream_events_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_plain_times(rows.drop("processing_timestamp", "corrupt_record"))
 
 
+def stream_summary_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of three batches; the second lacks half its events at first, and is replaced."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "maintained")
+    sent = sale_messages(spark, sf_dir, stream=False)
+    number = F.regexp_extract(F.col("key").cast("string"), "([0-9]+)$", 1).cast("long")
+    sent.limit(0).write.parquet(topic)
+    parsed = messages.parse_messages(parquet_files(spark, topic, MESSAGE))
+    for part in range(3):
+        held = sent.filter(number % 3 == part)
+        if part == 1:
+            held = held.filter(number % 2 == 0)
+        held.write.mode("append").parquet(topic)
+        batches.run_to_end(maintained.start_maintained(parsed, out, "category", availableNow=True))
+    whole = messages.parse_messages(sent.filter(number % 3 == 1)).select(
+        "transaction_id", "total_amount", "risk_score", "category")
+    for _ in range(2):
+        maintained.maintain(whole, f"{out}/totals", 1, "category")
+    return maintained.running_summary(
+        spark, f"{out}/totals", maintained.schema_of(whole, "category"))
+
+
 def stream_windows_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily windows of a stream in which every tenth event comes two batches late.
 
@@ -591,6 +636,7 @@ def queries() -> dict[str, Query]:
     return {
         "sales_enriched": sales_enriched,
         "sales_months_replaced": sales_months_replaced,
+        "sales_enriched_bucketed": sales_enriched_bucketed,
         "kpi_category": kpi_category,
         "kpi_city": kpi_city,
         "kpi_segment": kpi_segment,
@@ -611,6 +657,7 @@ def queries() -> dict[str, Query]:
         "json_lines": json_lines,
         "report_reread": report_reread,
         "tables_export": tables_export,
+        "collections_export": collections_export,
         "top_products_by_units": top_products_by_units,
         "top_cities": top_cities,
         "top_low_stock": top_low_stock,
@@ -635,6 +682,7 @@ def queries() -> dict[str, Query]:
         "stream_windowed_summary": stream_windowed_summary,
         "stream_summary_batches": stream_summary_batches,
         "stream_events_compacted": stream_events_compacted,
+        "stream_summary_maintained": stream_summary_maintained,
         "stream_windows_late": stream_windows_late,
         "stream_running_totals": stream_running_totals,
         "stream_cancellations_by_reason": stream_cancellations_by_reason,

@@ -431,6 +431,15 @@ ORACLES |= {
         select order_id, line_number, product_id, store_id, quantity, discount_pct, times
         from ordered join drawn using (place)""",
     "sales_months_replaced": ORACLES["sales_enriched"],
+    "sales_enriched_bucketed": ORACLES["sales_enriched"],
+    "collections_export": """
+        select p_partkey as product_id, p_name as product_name, p_type as category,
+               p_retailprice as price, p_size * 10 as stock,
+               cast(10 + p_partkey % 31 as int) as stock_minimum, p_brand as supplier
+        from part""",
+    "stream_summary_maintained": f"""
+        with {SALE_EVENTS}
+        select category, {SUMMARY} from sale_events group by category""",
     "stream_events_compacted": f"""
         with {SALE_EVENTS}
         select transaction_id as message_key, ts as kafka_timestamp, {MESSAGE_FIELDS},
