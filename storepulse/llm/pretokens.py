@@ -88,6 +88,16 @@ def split_plain(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
     return pieces, np.searchsorted(starts, firsts)
 
 
+def plain_list(pieces: pa.Array) -> list[bytes]:
+    """What `to_pylist` gives for pieces without NULLs, cut from their one buffer."""
+    if not len(pieces):
+        return []
+    _, offsets, data = pieces.buffers()
+    at = np.frombuffer(offsets, np.int64)[pieces.offset:pieces.offset + len(pieces) + 1].tolist()
+    whole = data.to_pybytes() if data else b""
+    return [whole[a:b] for a, b in zip(at, at[1:])]
+
+
 class Chunks:
     """Ids of texts, from those of their distinct pretokens.
 
@@ -141,7 +151,7 @@ class Chunks:
     def together(self, texts: list[str]) -> Iterator[bytes]:
         pieces, firsts = self.split(texts)
         coded = pieces.dictionary_encode()
-        ids = self.read(coded.dictionary.to_pylist())
+        ids = self.read(plain_list(coded.dictionary))
         sizes = np.array([len(i) for i in ids], np.int64) // 4
         place = coded.indices.to_numpy()
         own = sizes[place]
