@@ -32,7 +32,7 @@ from storepulse.sinks.reports import plain_numbers, write_report_csv
 from storepulse.sinks.tables import (
     export_tables, write_csv, write_json, write_lines, write_sales_by_month,
 )
-from storepulse.sources import files, quarantine, tables
+from storepulse.sources import arrays, files, quarantine, tables
 from storepulse.sources.scratch import scratch_path
 from storepulse.sources.streams import parquet_files
 from storepulse.streaming import (
@@ -264,6 +264,23 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_products(spark, path, one_document=False)
 
 
+def json_array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products in files of one array each, ten thousand ids a file, read back by block."""
+    path = scratch_path(spark, "json-arrays")
+    products = tables.products(spark, sf_dir)
+    rows = products.select(
+        F.floor(F.col("product_id") / 10_000).alias("chunk"), F.col("product_id").alias("line"),
+        F.to_json(F.struct(*products.columns)).alias("document"))
+    first = rows.groupBy("chunk").agg(F.min("line").alias("first"))
+    mark = F.when(F.col("line") == F.col("first"), "[").otherwise(",")
+    lines = rows.join(first, "chunk").select(
+        "chunk", "line", F.concat(mark, "document").alias("value")
+    ).unionByName(first.select("chunk", F.lit((1 << 63) - 1).alias("line"), F.lit("]").alias("value")))
+    lines.repartition("chunk").sortWithinPartitions("chunk", "line").select(
+        "chunk", "value").write.partitionBy("chunk").text(path)
+    return arrays.read_json_array(spark, path, products.schema)
+
+
 def report_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report written as one CSV file, replaced, and read back."""
     path = scratch_path(spark, "report") + ".csv"
@@ -655,6 +672,7 @@ def queries() -> dict[str, Query]:
         "csv_files": csv_files,
         "csv_quarantine": csv_quarantine,
         "json_lines": json_lines,
+        "json_array_documents": json_array_documents,
         "report_reread": report_reread,
         "tables_export": tables_export,
         "collections_export": collections_export,

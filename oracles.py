@@ -437,6 +437,11 @@ ORACLES |= {
                p_retailprice as price, p_size * 10 as stock,
                cast(10 + p_partkey % 31 as int) as stock_minimum, p_brand as supplier
         from part""",
+    "json_array_documents": """
+        select p_partkey as product_id, p_name as product_name, p_type as category,
+               p_retailprice as price, p_size * 10 as stock,
+               cast(10 + p_partkey % 31 as int) as stock_minimum, p_brand as supplier
+        from part""",
     "stream_summary_maintained": f"""
         with {SALE_EVENTS}
         select category, {SUMMARY} from sale_events group by category""",
