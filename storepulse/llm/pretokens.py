@@ -122,15 +122,14 @@ class Chunks:
         if len(self.late) > REMEMBERED:
             self.late, self.early = {}, self.late
         late, early = self.late, self.early
-        found = [late.get(p) for p in pretokens]
+        found = list(map(late.get, pretokens))
         missing = []
-        for i, ids in enumerate(found):
-            if ids is None:
-                p = pretokens[i]
-                if p in early:
-                    found[i] = late[p] = early[p]
-                else:
-                    missing.append(i)
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            p = pretokens[i]
+            if p in early:
+                found[i] = late[p] = early[p]
+            else:
+                missing.append(i)
         new = [pretokens[i] for i in missing]
         for i, p, ids in zip(missing, new, self.encode(new) if new else (), strict=True):
             found[i] = late[p] = struct.pack(f"<{len(ids)}I", *ids)
@@ -152,7 +151,7 @@ class Chunks:
         pieces, firsts = self.split(texts)
         coded = pieces.dictionary_encode()
         ids = self.read(plain_list(coded.dictionary))
-        sizes = np.array([len(i) for i in ids], np.int64) // 4
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         place = coded.indices.to_numpy()
         own = sizes[place]
         out = np.frombuffer(b"".join(ids), "<u4")[

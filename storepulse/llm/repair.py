@@ -116,13 +116,13 @@ def compress(documents: Sequence[np.ndarray]) -> bytes:
     base = int(symbols.max()) + 1 if len(symbols) else 0
     last = np.zeros(len(symbols), bool)
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
-    rules = np.zeros((0, 2), np.uint32)
+    rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
     while len(symbols) >= 2:
         symbols, last, pairs = replace_pairs(symbols, last, base + len(rules))
         if not len(pairs):
             break
-        rules = np.concatenate([rules, pairs])
-    lengths = expansion_lengths(rules, base)
+        rules, lengths = np.concatenate([rules, pairs]), np.concatenate(
+            [lengths, expansion_lengths(pairs, lengths, base)])
     ends = np.zeros(len(documents) + 1, np.uint32)
     filled = np.flatnonzero(sizes > 0)
     ends[filled + 1] = np.flatnonzero(last) + 1
@@ -133,13 +133,12 @@ def compress(documents: Sequence[np.ndarray]) -> bytes:
     ])
 
 
-def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
-    """Ids that each rule expands to; a rule only names earlier ones."""
-    lengths = np.zeros(len(rules), np.uint32)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[i] = (lengths[a - base] if a >= base else 1) + (
-            lengths[b - base] if b >= base else 1)
-    return lengths
+def expansion_lengths(pairs: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """Ids that each pair expands to, from the ``lengths`` of the earlier rules it may name."""
+    new = pairs >= base
+    sizes = np.ones(pairs.shape, np.uint32)
+    sizes[new] = lengths[pairs[new] - base]
+    return sizes.sum(axis=1, dtype=np.uint32)
 
 
 class Shard:
@@ -165,13 +164,16 @@ class Shard:
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """The ids of a stretch of symbols, from those of each rule it names."""
         new = symbols >= self.base
-        rules, which = np.unique(symbols[new], return_inverse=True)
-        ids, sizes = self.expanded(rules), self.lengths[rules - self.base].astype(np.int64)
-        source = np.concatenate([symbols[~new], ids])
-        starts, size = np.empty(len(symbols), np.int64), np.ones(len(symbols), np.int64)
-        starts[~new] = np.arange(len(symbols) - len(which))
-        starts[new] = (len(symbols) - len(which) + np.cumsum(sizes) - sizes)[which]
-        size[new] = sizes[which]
+        named = symbols[new] - self.base
+        is_named = np.zeros(len(self.rules), bool)
+        is_named[named] = True
+        sizes = np.where(is_named, self.lengths, 0).astype(np.int64)
+        ids = self.expanded(np.flatnonzero(is_named).astype(np.uint32) + np.uint32(self.base))
+        # The symbols themselves, of which ids stand for one id, and what the rules expand to.
+        source = np.concatenate([symbols, ids])
+        starts, size = np.arange(len(symbols)), np.ones(len(symbols), np.int64)
+        starts[new] = (len(symbols) + np.cumsum(sizes) - sizes)[named]
+        size[new] = sizes[named]
         return source[stretches(starts, size)]
 
     def expanded(self, symbols: np.ndarray) -> np.ndarray:

@@ -136,7 +136,7 @@ def decoded(shards: DataFrame, with_ids: bool = True) -> DataFrame:
                     pa.array(np.full(len(sizes), row["part"], np.int32)),
                     pa.array(np.full(len(sizes), row["shard"], np.int32)),
                     pa.array(np.cumsum(sizes) - sizes), pa.array(sizes),
-                    pa.array([crc32(d.astype("<u4").tobytes()) for d in documents], pa.int64()),
+                    pa.array([crc32(np.ascontiguousarray(d, "<u4")) for d in documents], pa.int64()),
                 ]
                 if with_ids:
                     columns.append(pa.array([d.tolist() for d in documents], pa.list_(pa.int32())))
