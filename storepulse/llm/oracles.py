@@ -60,10 +60,17 @@ with parsed as (
 ), outcomes as (
     select r.*, v.verdict as ruled from ruled r left join rules v on rule = rule_host || rule_path
 ), hosts as (
-    select host, regexp_extract(host, '([^.]*\.)?[^.]*$', 0) as domain,
-           regexp_extract(host, '[^.]*$', 0) as suffix,
-           count(ruled) as pages, count(*) filter (ruled = 'allow') as good
-    from outcomes group by host
+    select host, case when address then name else regexp_extract(name, '([^.]*\.)?(?:' || ending, 0)
+                 end as domain,
+           case when address then '(address)' else regexp_extract(name, '(^|\.)((?:' || ending || ')', 2)
+                 end as suffix, pages, good
+    from (select *, regexp_matches(name, '^([0-9]+(\.[0-9]+){3}|\[.*\])\z') as address,
+                 '(?:ac|co|com|edu|go|gov|ne|net|or|org)\.[a-z][a-z]|blogspot\.com|github\.io|gitlab\.io'
+                 || '|herokuapp\.com|netlify\.app|pages\.dev|substack\.com|vercel\.app|web\.app'
+                 || '|wordpress\.com|[^.]*)\z' as ending
+          from (select host, regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*\z', '') as name,
+                       count(ruled) as pages, count(*) filter (ruled = 'allow') as good
+                from outcomes group by host))
 ), s1 as (
     select suffix, sum(pages) as pages, sum(good) as good,
            (sum(sum(good)) over () + 1) / (sum(sum(pages)) over () + 2) as mean

@@ -11,6 +11,15 @@ from storepulse.llm.common import written
 
 # A-Z and what they become.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Second levels under which two-letter countries register names, and hosts
+# whose subdomains are registrants of their own. A short list, not the public suffix list.
+LEVELS = ("ac", "co", "com", "edu", "go", "gov", "ne", "net", "or", "org")
+PLATFORMS = ("blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev",
+             "substack.com", "vercel.app", "web.app", "wordpress.com")
+SUFFIX = r"(?:(?:{})\.[a-z][a-z]|{}|[^.]*)\z".format(
+    "|".join(LEVELS), "|".join(p.replace(".", r"\.") for p in PLATFORMS))
+# The parent of all hosts that are addresses; no name has a parenthesis.
+ADDRESSES = "(address)"
 # A host is blocked if even the upper bound of its rate of good pages is below this.
 LEAST_GOOD = 0.5
 # Standard deviations from the posterior mean to its bound.
@@ -60,13 +69,27 @@ def by_rules(rules: Sequence[Rule], host: Column, path: Column) -> tuple[Column,
     return name, verdict
 
 
+def name_of(host: Column) -> Column:
+    """The host without user and port, which the rules see and reputation does not."""
+    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*\z", "")
+
+
+def is_address(name: Column) -> Column:
+    return name.rlike(r"^([0-9]+(\.[0-9]+){3}|\[.*\])\z")
+
+
 def domain_of(host: Column) -> Column:
-    """The last two labels."""
-    return F.substring_index(host, ".", -2)
+    """The registered domain: the suffix and the label before it; an address is its own."""
+    name = name_of(host)
+    return F.when(is_address(name), name).otherwise(
+        F.regexp_extract(name, r"([^.]*\.)?" + SUFFIX, 0))
 
 
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    """What domains are registered under: the last label, or two where those are one level."""
+    name = name_of(host)
+    return F.when(is_address(name), ADDRESSES).otherwise(
+        F.regexp_extract(name, r"(^|\.)(" + SUFFIX + ")", 2))
 
 
 def prior_pages(groups: DataFrame) -> float:

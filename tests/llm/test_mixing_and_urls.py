@@ -98,6 +98,47 @@ def test_urls_and_rules(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+LEVELS = {
+    "www.bbc.co.uk": ("bbc.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "xco.uk": ("xco.uk", "uk"),
+    "a.xco.uk": ("xco.uk", "uk"), "me.github.io": ("me.github.io", "github.io"),
+    "x.me.github.io:8080": ("me.github.io", "github.io"), "blog.example.com": ("example.com", "com"),
+    "example.com:80": ("example.com", "com"), "u:p@a.example.com:": ("example.com", "com"),
+    "10.0.0.1": ("10.0.0.1", "(address)"), "10.0.0.1:99": ("10.0.0.1", "(address)"),
+    "[::1]:8080": ("[::1]", "(address)"), "10.0.0.1.com": ("1.com", "com"), "": ("", ""),
+    "localhost": ("localhost", "localhost"), "a.com.": ("com.", ""), "a.b\n": ("a.b\n", "b\n"),
+    "a." * 5000 + "org": ("a.org", "org"),
+}
+
+
+def test_levels_of_hosts(spark):
+    """Also by the SQL that the query is held to."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from storepulse.llm.oracles import OP8
+
+    hosts = spark.createDataFrame([(h,) for h in LEVELS], "host string")
+    found = {r.host: (r.domain, r.suffix) for r in hosts.select(
+        "host", url_filter.domain_of(F.col("host")).alias("domain"),
+        url_filter.suffix_of(F.col("host")).alias("suffix")).collect()}
+    assert found == LEVELS
+    database = duckdb.connect()
+    database.execute("create table pages(page_id bigint, url varchar)")
+    database.executemany("insert into pages values (?, ?)",
+                         [(i, f"x://{h}/") for i, h in enumerate(LEVELS)])
+    sql = OP8[:OP8.index("), s1 as (")] + ") select host, domain, suffix from hosts"
+    assert {h: (d, s) for h, d, s in database.sql(sql).fetchall()} == LEVELS
+
+
+def test_registrants_below_a_shared_suffix_are_apart(spark):
+    rows = [("spam.github.io", 200, 0), ("www.spam.github.io", 0, 0), ("docs.github.io", 200, 199),
+            ("www.docs.github.io", 0, 0), ("10.0.0.1:80", 50, 0), ("10.0.0.1:81", 0, 0)]
+    outcomes = spark.createDataFrame(rows, "host string, pages long, good long")
+    found = {r.host: r.rate for r in url_filter.host_reputation(outcomes).collect()}
+    assert found["www.spam.github.io"] < 0.3 < 0.7 < found["www.docs.github.io"]
+    assert found["10.0.0.1:81"] < 0.5
+
+
 def test_reputation_shrinks(spark):
     rows = [("bad.site.net", 200, 0), ("worse.site.net", 150, 1), ("new.site.net", 0, 0),
             ("good.other.net", 300, 299), ("one.fresh.net", 1, 0), ("", 0, 0)]
