@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 WIDE = "decimal(38,0)"
+# Whole micros below 2^40 are summed in two parts of at most 20 bits each, so that bigints
+# hold the sums of 2^43 rows. Any such number of micros is what its double stands for.
+PART_BITS = 20
+PART = 1 << PART_BITS
 EXACT = "decimal(38,6)"
 MICROS = 1_000_000
 
@@ -18,6 +22,24 @@ def exact(value: Column) -> Column:
     return value.try_cast(EXACT)
 
 
+def plain_micros(value: Column) -> Column:
+    """A double's millionths as a bigint if they are a whole number below 2^40, else NULL.
+
+    The number found is divided again: only a double that is the nearest to those millionths
+    passes, and a double that has fewer than 16 digits is the nearest to one such number.
+    """
+    micros = F.rint(value * MICROS)
+    return F.when((F.abs(micros) < PART * PART) & (micros / MICROS == value), micros.cast("bigint"))
+
+
+def joined_sum(high: Column, low: Column, rest: Column, count: Column) -> Column:
+    """The exact total of the parts of `plain_micros` and of the other amounts; NULL of none."""
+    micros = (F.coalesce(high, F.lit(0)).cast("decimal(20,0)") * F.lit(PART).cast("decimal(7,0)")
+              + F.coalesce(low, F.lit(0)).cast("decimal(20,0)"))
+    plain = (micros * F.lit("0.000001").cast("decimal(6,6)")).cast(EXACT)
+    return F.when(count > 0, (plain + F.coalesce(rest, F.lit(0).cast(EXACT))).cast(EXACT))
+
+
 def shown(total: Column) -> Column:
     """An exact total to two decimals, ties away from zero."""
     return F.round(total, 2).cast("double")

@@ -10,16 +10,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from storepulse.functions.numbers import exact, mean_of, shown
+from storepulse.functions.numbers import (
+    PART, PART_BITS, exact, joined_sum, mean_of, plain_micros, shown,
+)
 
 
 def totals(sales: DataFrame, *keys: str, amount: str = "amount") -> DataFrame:
-    """Per key: sales, sales with a readable amount, and the sum of the amounts."""
-    return sales.groupBy(*keys).agg(
+    """Per key: sales, sales with a readable amount, and the sum of the amounts.
+
+    Amounts of whole millionths below a million are summed as bigints in two parts; only
+    others become decimals, row by row. Both sums are exact, and so is their sum.
+    """
+    micros = F.col("_micros")
+    split = sales.select(*keys, plain_micros(F.col(amount)).alias("_micros"), F.col(amount).alias("_amount"))
+    split = split.select(
+        *keys, F.shiftright(micros, PART_BITS).alias("_high"),
+        micros.bitwiseAND(F.lit(PART - 1)).alias("_low"),
+        F.when(micros.isNull(), exact(F.col("_amount"))).alias("_rest"))
+    summed = split.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_sales"),
-        F.count(exact(F.col(amount))).alias("n_amounts"),
-        F.sum(exact(F.col(amount))).alias("total"),
+        F.count("_high").alias("_n_plain"),
+        F.sum("_high").alias("_high"), F.sum("_low").alias("_low"),
+        # The filter keeps the rows that have none from touching the decimal.
+        F.expr("count(_rest) filter (where _rest is not null)").alias("_n_rest"),
+        F.expr("sum(_rest) filter (where _rest is not null)").alias("_rest"),
     )
+    n_amounts = F.col("_n_plain") + F.col("_n_rest")
+    return summed.select(
+        *keys, "n_sales", n_amounts.alias("n_amounts"),
+        joined_sum(F.col("_high"), F.col("_low"), F.col("_rest"), n_amounts).alias("total"))
 
 
 def merge(partials: DataFrame, *keys: str) -> DataFrame:

@@ -1,12 +1,17 @@
 from __future__ import annotations
 
+import math
+import random
 from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings, strategies as st
 from hypothesis import HealthCheck
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from storepulse.functions import numbers
+from storepulse.functions.numbers import exact
+from storepulse.operators.totals import totals
 
 
 def means(spark, pairs):
@@ -66,3 +71,22 @@ def test_amount_and_label(spark):
         numbers.line_amount(F.col("p"), F.col("q")), numbers.thousands_label(F.col("v"))
     ).first()
     assert tuple(row) == (1645.1, "25,432,459")
+
+
+def test_totals_are_those_of_decimals(spark):
+    """Whole millionths go another way than all else, to the same sums."""
+    draw = random.Random(8)
+    odd = [0.0, -0.0, 0.004, 1e-6, 5e-7, 4.9999999e-7, 0.1 + 0.2, -0.005, 1_099_511.627775,
+           1_099_511.627776, -1_099_511.627775, 1e9 + 0.01, 1e15, 9.9e31, 1e32, -1e308, math.inf,
+           -math.inf, math.nan, None, 1.0000005, 2.5e-6, 123456.7890125, 2 ** 53 + 0.0]
+    rows = [("odd", v) for v in odd]
+    rows += [("cents", draw.randint(-10 ** 7, 10 ** 7) / 100) for _ in range(3000)]
+    rows += [("any", draw.uniform(-1, 1) * 10 ** draw.randint(-8, 12)) for _ in range(3000)]
+    rows += [("none", None), ("none", math.nan)]
+    sales = spark.createDataFrame(rows, "key string, amount double").repartition(5)
+    found = totals(sales, "key")
+    plain = sales.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_sales"), F.count(exact(F.col("amount"))).alias("n_amounts"),
+        F.sum(exact(F.col("amount"))).alias("total"))
+    assert sorted(found.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert found.schema["total"].dataType == DecimalType(38, 6)
