@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from storepulse.operators.joins import lookup
 from storepulse.sinks import buckets
@@ -50,3 +51,16 @@ def test_null_keys_and_empty_tables(spark, scratch):
 def test_number_of_buckets(spark, small):
     assert buckets.planned_bytes(tables.sale_orders(spark, small)) > 0
     assert [buckets.buckets_for(n << 20) for n in (0, 256, 257, 1000, 100 << 20)] == [1, 1, 2, 4, 1 << 19]
+
+
+def test_buckets_grow_with_what_a_sort_holds(spark, scratch):
+    """Three million rows whose columns pack to next to nothing in the file."""
+    path = f"{scratch}/packed"
+    zero = [F.lit(0).cast("long").alias(f"c{i}") for i in range(5)]
+    spark.range(3_000_000).select(F.col("id").alias("order_id"), *zero).write.parquet(path)
+    rows = spark.read.parquet(path)
+    planned = buckets.planned_bytes(rows)
+    assert planned >= 3_000_000 * 6 * 8
+    assert buckets.buckets_for(planned) == 2
+    doubled = rows.unionAll(rows)
+    assert buckets.planned_bytes(doubled) == 2 * planned
