@@ -8,8 +8,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from storepulse.schemas import struct
 from storepulse.sinks import manifest
+from storepulse.sources import tables
 from storepulse.streaming import batches, compaction
 
 SCHEMA = struct("id bigint, month string")
@@ -86,6 +88,21 @@ def test_months_are_pruned(spark, scratch):
     assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().toString()
 
 
+def test_sales_are_joined_once_for_both_writes(spark, small, monkeypatch):
+    plans, replace = [], manifest.replace_sales_by_month
+
+    def watched(sales, path, **more):
+        plans.append(sales._jdf.queryExecution().optimizedPlan().toString())
+        return replace(sales, path, **more)
+
+    monkeypatch.setattr(manifest, "replace_sales_by_month", watched)
+    found = entry.sales_months_replaced(spark, small)
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
+    expected = tables.enriched_sales(spark, small).select(*found.columns)
+    assert found.count() == expected.count() > 0
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+
+
 def test_no_table_has_no_rows(spark, scratch):
     assert held(spark, scratch) == []
 
