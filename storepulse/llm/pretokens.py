@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -130,9 +130,12 @@ class Chunks:
                 found[i] = late[p] = early[p]
             else:
                 missing.append(i)
-        new = [pretokens[i] for i in missing]
-        for i, p, ids in zip(missing, new, self.encode(new) if new else (), strict=True):
-            found[i] = late[p] = struct.pack(f"<{len(ids)}I", *ids)
+        coded = list(self.encode([pretokens[i] for i in missing])) if missing else []
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        data = np.fromiter(chain.from_iterable(coded), "<u4", int(sizes.sum())).tobytes()
+        ends = (4 * np.cumsum(sizes)).tolist()
+        for i, begin, end in zip(missing, [0, *ends][:-1], ends, strict=True):
+            found[i] = late[pretokens[i]] = data[begin:end]
         return found
 
     def data(self, texts: Iterable[str]) -> Iterator[bytes]:

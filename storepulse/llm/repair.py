@@ -24,12 +24,20 @@ def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def perhaps_frequent(symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Places of the pairs whose slot, by a hash, counts ``LEAST`` or more: all that do, few others."""
-    first, second = symbols[:-1], symbols[1:]
-    slot = (first * np.uint32(0x9E3779B1) ^ second * np.uint32(0x85EBCA6B)) >> np.uint32(32 - SLOT_BITS)
+def perhaps_frequent(symbols: np.ndarray, shut: np.ndarray) -> np.ndarray:
+    """Places not ``shut`` of pairs whose slot, by a hash, counts ``LEAST`` or more: all that do, few others.
+
+    Few places are not worth a sieve.
+    """
+    at = np.flatnonzero(~shut[:-1])
+    if len(at) < 1 << SLOT_BITS - 4:
+        return at
+    slot = symbols[:-1] * np.uint32(0x9E3779B1)
+    slot ^= symbols[1:] * np.uint32(0x85EBCA6B)
+    slot >>= np.uint32(32 - SLOT_BITS)
+    slot = slot[at].astype(np.intp)
     often = np.bincount(slot, minlength=1 << SLOT_BITS) >= LEAST
-    return np.flatnonzero(often[slot] & ~last[:-1])
+    return at[often.take(slot)]
 
 
 def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,18 +57,20 @@ def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def replace_pairs(
-    symbols: np.ndarray, last: np.ndarray, first_new: int,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    symbols: np.ndarray, last: np.ndarray, shut: np.ndarray, first_new: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """One round: the most frequent pairs become nonterminals ``first_new, ...``.
 
     ``last`` marks the last symbol of each document; no pair crosses it. Where occurrences
     of different pairs overlap, the more frequent pair has it; where those of one pair do
     (a run of one symbol), every other one is replaced. A pair that others leave less than
-    half of ``LEAST`` waits; the most frequent never does. Gives symbols, marks and the
-    pairs, none if no pair occurs ``LEAST`` times.
+    half of ``LEAST`` waits; the most frequent never does. ``shut`` marks the last symbols and
+    those that begin a pair of too few occurrences: all pairs with a symbol come up in the
+    round that makes it, so none gains any later. Gives symbols, both marks and the pairs,
+    none if no pair occurs ``LEAST`` times.
     """
-    none = symbols, last, np.zeros((0, 2), np.uint32)
-    at = perhaps_frequent(symbols, last)
+    none = symbols, last, shut, np.zeros((0, 2), np.uint32)
+    at = perhaps_frequent(symbols, shut)
     if len(at) < LEAST:
         return none
     keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
@@ -73,6 +83,8 @@ def replace_pairs(
     chosen = chosen[np.lexsort((key_of[chosen], -counts[chosen]))]
     rank_of = np.full(len(key_of), -1, np.int64)
     rank_of[chosen] = np.arange(len(chosen))
+    shut = np.ones(len(symbols), bool)
+    shut[at[(counts >= LEAST)[number]]] = False
     rank = rank_of[number]
     hit = np.flatnonzero(rank >= 0)
     at, rank = at[hit], rank[hit]
@@ -96,11 +108,14 @@ def replace_pairs(
     symbols, last = symbols.copy(), last.copy()
     symbols[at] = first_new + (np.cumsum(enough) - 1)[rank]
     last[at] = last[at + 1]
+    shut[at] = False
+    shut[at[at > 0] - 1] = False
+    shut |= last
     left = np.ones(len(symbols), bool)
     left[at + 1] = False
     pairs = key_of[chosen[enough]]
     pairs = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-    return symbols[left], last[left], pairs
+    return symbols[left], last[left], shut[left], pairs
 
 
 def compress(documents: Sequence[np.ndarray]) -> bytes:
@@ -116,9 +131,10 @@ def compress(documents: Sequence[np.ndarray]) -> bytes:
     base = int(symbols.max()) + 1 if len(symbols) else 0
     last = np.zeros(len(symbols), bool)
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
+    shut = last
     rules, lengths = np.zeros((0, 2), np.uint32), np.zeros(0, np.uint32)
     while len(symbols) >= 2:
-        symbols, last, pairs = replace_pairs(symbols, last, base + len(rules))
+        symbols, last, shut, pairs = replace_pairs(symbols, last, shut, base + len(rules))
         if not len(pairs):
             break
         rules, lengths = np.concatenate([rules, pairs]), np.concatenate(

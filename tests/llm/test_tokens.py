@@ -123,3 +123,25 @@ def test_shards_of_a_table(spark, scratch):
 
 def test_pattern_is_the_modules():
     assert regex.compile(public_tokenizers.PATTERN).findall("it's  9\n") == ["it", "'s", " ", " 9", "\n"]
+
+
+def test_repair_shuts_rare_pairs_for_good():
+    """What a round leaves open is what occurs often enough, counted anew by brute force."""
+    draw = np.random.default_rng(5)
+    symbols = draw.zipf(1.3, 40_000).clip(max=3_000).astype(np.uint32)
+    last = np.zeros(len(symbols), bool)
+    last[99::100] = True
+    shut, new = last, 3_001
+    while True:
+        pairs = Counter((a, b) for a, b, end in zip(symbols.tolist(), symbols[1:].tolist(), last) if not end)
+        often = {p for p, n in pairs.items() if n >= repair.LEAST}
+        opened = {(int(symbols[i]), int(symbols[i + 1])) for i in np.flatnonzero(~shut)}
+        assert often <= opened
+        symbols, last, shut, rules = repair.replace_pairs(symbols, last, shut, new)
+        if not len(rules):
+            break
+        fresh = {p for p in zip(symbols.tolist(), symbols[1:].tolist()) if max(p) >= new}
+        kept = {(int(symbols[i]), int(symbols[i + 1])) for i in np.flatnonzero(~shut)} - fresh
+        assert kept <= often
+        new += len(rules)
+    assert not often and new > 3_001
