@@ -22,6 +22,8 @@ UNKNOWN = 2
 MODEL_TYPE, BPE, VOCABULARY_SIZE = 3, 2, 4
 NAME, DUMMY_PREFIX, EXTRA_SPACES, ESCAPE_SPACES = 1, 3, 4, 5
 VARINT, BYTES, FLOAT = 0, 2, 5
+# Pretokens a worker remembers, and characters it splits at a time.
+REMEMBERED, TOGETHER = 100_000, 1 << 19
 
 
 def varint(n: int) -> bytes:
@@ -81,7 +83,7 @@ class Codec:
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model_of(ranks))
         self.tokens = sorted(ranks, key=ranks.__getitem__)
         self.decimals = [str(i) for i in range(len(ranks))]
-        self.chunks = Chunks(regex.compile(pattern), self.encode_pretokens)
+        self.chunks = Chunks(regex.compile(pattern), self.encode_pretokens, REMEMBERED, TOGETHER)
 
     def encode_pretokens(self, data: Sequence[bytes]) -> list[list[int]]:
         """Ids of each; a pretoken that is itself a token is that token."""

@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from storepulse.llm.common import WORD, map_rows, written
+from storepulse.llm.common import WORD, map_rows, slices, written
 
 # Base of the register scale: neighbouring values differ by 0.1 per cent, so equal
 # registers are about as likely as equal minima.
@@ -241,7 +241,7 @@ def verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame
     both = pairs.join(left, "a").join(right, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
                 keep.append(linked(np.frombuffer(x.as_py(), np.uint64),

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import map_rows
+from storepulse.llm.common import map_rows, slices
 
 # The kinds, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -320,7 +320,7 @@ def redact(docs: DataFrame, model: SpanClassifier) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accepts = shared.value.accepts()
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if t.as_py() is None else masked(t.as_py(), accepts)
                      for t in batch.column(at)]
             columns = list(batch.columns)

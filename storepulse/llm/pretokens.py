@@ -102,11 +102,16 @@ class Chunks:
     """Ids of texts, from those of their distinct pretokens.
 
     ``pattern`` splits into pretokens, ``encode`` gives the ids of each of a list of
-    pretokens in UTF-8.
+    pretokens in UTF-8. Memory goes by ``remembered`` and ``characters``: a block of
+    ``characters``, or a longer text, is split at once.
     """
 
-    def __init__(self, pattern, encode: Encode):
+    def __init__(
+        self, pattern, encode: Encode, remembered: int = REMEMBERED,
+        characters: int = TOGETHER,
+    ):
         self.pattern, self.encode = pattern, encode
+        self.remembered, self.characters = remembered, characters
         self.split = split_plain if pattern.pattern == PLAIN else self.split_by_pattern
         self.late: dict[bytes, bytes] = {}
         self.early: dict[bytes, bytes] = {}
@@ -119,7 +124,7 @@ class Chunks:
 
     def read(self, pretokens: list[bytes]) -> list[bytes]:
         """Ids of distinct pretokens, as little-endian unsigned 32-bit integers."""
-        if len(self.late) > REMEMBERED:
+        if len(self.late) > self.remembered:
             self.late, self.early = {}, self.late
         late, early = self.late, self.early
         found = list(map(late.get, pretokens))
@@ -144,7 +149,7 @@ class Chunks:
         for text in texts:
             held.append(text)
             size += len(text)
-            if size >= TOGETHER:
+            if size >= self.characters:
                 yield from self.together(held)
                 held, size = [], 0
         if held:

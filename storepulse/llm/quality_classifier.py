@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from storepulse.llm.common import learning_fold, map_rows, written
+from storepulse.llm.common import learning_fold, map_rows, slices, written
 
 # Byte classes that are counted.
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -178,7 +178,7 @@ def accepted(docs: DataFrame, model: Discriminant) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array([statistics((t.as_py() or "").encode()) for t in batch.column(at)])
             keep = shared.value.scores(x.reshape(-1, FEATURES)) >= THRESHOLD
             yield batch.filter(pa.array(keep, pa.bool_()))

@@ -13,7 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from storepulse.llm import bpe, repair, token_files
-from storepulse.llm.common import table
+from storepulse.llm.common import SLICE, map_rows, table
 from tests.llm.conftest import AWKWARD
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -58,6 +58,29 @@ def test_encode_rows(spark, awkward, nothing, expected):
     assert bpe.encode(nothing, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_codec_splits_little_at_a_time(expected, monkeypatch):
+    monkeypatch.setattr(bpe, "TOGETHER", 200)
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    codec = bpe.Codec(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    split, sizes = codec.chunks.split, []
+    codec.chunks.split = lambda texts: sizes.append(sum(map(len, texts))) or split(texts)
+    texts = odd_texts(1000)
+    assert list(codec.encode(texts)) == [expected.encode_ordinary(t) for t in texts]
+    assert sum(sizes) == sum(map(len, texts))
+    assert max(sizes) < 200 + max(map(len, texts))
+
+
+def test_rows_are_mapped_a_slice_at_a_time(spark):
+    texts = ["é" * 100_000, "", None] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = map_rows(docs, "doc_id long, n_bytes long, n_rows long", lambda batch: [
+        batch.column(0), [batch.nbytes] * batch.num_rows, [batch.num_rows] * batch.num_rows]).collect()
+    assert [row.doc_id for row in found] == list(range(len(texts)))
+    assert max(row.n_rows for row in found) < len(texts) // 2
+    assert max(row.n_bytes for row in found) < 2 * SLICE
+    assert map_rows(docs.limit(0), "doc_id long", lambda batch: [batch.column(0)]).count() == 0
+
+
 def test_encoder_is_the_library():
     encoder = token_files.Encoder(open(MODEL).read(), public_tokenizers.PATTERN)
     library = Tokenizer.from_file(MODEL)
