@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from storepulse.llm.common import written
+from storepulse.llm.common import give_back, slices, written
 
 # Words of a phrase at most, occurrences of a phrase at least, phrases a language gets.
 DEPTH, LEAST, FIRST = 5, 100, 2_000
@@ -28,6 +28,9 @@ SHARES = 1 << 16
 BITS, BITMAP = 1 << 26, 1 << 15
 # Bytes of a text that are split at a time.
 SLICE = 1 << 20
+# Rows of a batch for a Python worker, of texts and of blocks. Spark holds a batch outside
+# its heap, and the worker holds it once more.
+TEXTS, BLOCKS = 1 << 10, 1
 
 # Fixed value: what ends a piece. 0xff, which UTF-8 never has, stands for it.
 ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\xff" * 10)
@@ -84,7 +87,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                 "lang": lang, "words": b"\n".join(list(numbers)[1:]),
                 "tokens": np.concatenate(parts).astype("<i4").tobytes()}], schema)
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 numbers, parts = held.setdefault(lang, (Numbers(), []))
                 own = [*tokens(text.as_py(), numbers), np.zeros(1, np.int32)]
@@ -101,10 +104,14 @@ def blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, words binary, tokens binary")
 
 
-def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
-    """The rows of a batch, one at a time: each is large."""
-    for i in range(batch.num_rows):
-        yield {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns)}
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """All rows of a task's batches, one at a time: each is large."""
+    give_back()
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: column[i].as_py()
+                   for name, column in zip(batch.schema.names, batch.columns)}
+    give_back()
 
 
 def unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
@@ -133,12 +140,11 @@ def word_counts(read: DataFrame) -> DataFrame:
     """``lang, phrase, n, place`` of every word: the prefixes of length one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in rows_of(batch):
-                words, sequence = unpacked(row)
-                found = np.bincount(sequence, minlength=len(words))
-                for i in range(1, len(words), 1 << 16):
-                    yield counts(row["lang"], words[i:i + (1 << 16)], found[i:i + (1 << 16)])
+        for row in rows_of(batches):
+            words, sequence = unpacked(row)
+            found = np.bincount(sequence, minlength=len(words))
+            for i in range(1, len(words), 1 << 16):
+                yield counts(row["lang"], words[i:i + (1 << 16)], found[i:i + (1 << 16)])
 
     return summed(read.mapInArrow(run, COUNTED))
 
@@ -189,18 +195,17 @@ def extensions(read: DataFrame, partition: Partition, depth: int) -> DataFrame:
     shared = read.sparkSession.sparkContext.broadcast(partition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in rows_of(batch):
-                words, sequence = unpacked(row)
-                _, kept, heavy = shared.value.suffixes(row["lang"], words, sequence, DEPTH)
-                at = np.flatnonzero((heavy[-1] >= 0) & (kept[depth - 1:depth - 1 + len(sequence)] > 0))
-                key = heavy[-1][at] * len(words) + kept[at + depth - 1]
-                _, first, n = np.unique(key, return_index=True, return_counts=True)
-                for i in range(0, len(first), 1 << 16):
-                    starts = at[first[i:i + (1 << 16)]]
-                    phrases = [b" ".join([words[w] for w in kept[s:s + depth].tolist()])
-                               for s in starts.tolist()]
-                    yield counts(row["lang"], phrases, n[i:i + (1 << 16)])
+        for row in rows_of(batches):
+            words, sequence = unpacked(row)
+            _, kept, heavy = shared.value.suffixes(row["lang"], words, sequence, DEPTH)
+            at = np.flatnonzero((heavy[-1] >= 0) & (kept[depth - 1:depth - 1 + len(sequence)] > 0))
+            key = heavy[-1][at] * len(words) + kept[at + depth - 1]
+            _, first, n = np.unique(key, return_index=True, return_counts=True)
+            for i in range(0, len(first), 1 << 16):
+                starts = at[first[i:i + (1 << 16)]]
+                phrases = [b" ".join([words[w] for w in kept[s:s + depth].tolist()])
+                           for s in starts.tolist()]
+                yield counts(row["lang"], phrases, n[i:i + (1 << 16)])
 
     return summed(read.mapInArrow(run, COUNTED))
 
@@ -228,7 +233,7 @@ def partitioned(
     level, known = often, []
     for depth in range(1, DEPTH + 1):
         if depth > 1:
-            level = written(extensions(read, partition, depth), f"prefixes-{depth}")
+            level = written(extensions(read, partition, depth), f"prefixes-{depth}", BLOCKS)
         if depth == DEPTH:
             known.append(level.filter(F.col("n") >= least).withColumn("words", F.lit(depth)))
             break
@@ -265,53 +270,52 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
                         ("wide", pa.bool_()), ("n", pa.int32()), ("suffixes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in rows_of(batch):
-                words, sequence = unpacked(row)
-                lang, group = row["lang"], shared.value.group
-                places, kept, heavy = shared.value.suffixes(lang, words, sequence, DEPTH)
-                size = len(sequence)
-                columns = [kept[:size]]
-                for k in range(1, DEPTH):
-                    columns.append(np.where(columns[-1] > 0, kept[k:k + size], np.int32(0)))
-                route = np.where(columns[1] > 0, group[places % SHARES][columns[0]], -1)
-                light = np.ones(size, np.int32)
-                for k, own in enumerate(heavy, 1):
-                    # What a heavy prefix starts goes by one word more; if there is none,
-                    # or no room for one, its phrases are counted already.
-                    at = np.flatnonzero(own >= 0)
-                    route[at] = -1
-                    if k + 1 >= DEPTH:
-                        continue
-                    at = at[columns[k][at] > 0]
-                    key = own[at] * len(words) + columns[k][at]
-                    _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-                    phrases = [b" ".join([words[w] for w in kept[s:s + k + 1].tolist()])
-                               for s in at[first].tolist()]
-                    of = np.array([place_of(lang, p) % SHARES for p in phrases], np.int64)
-                    route[at] = group[of[inverse]] if len(of) else route[at]
-                    light[at] = k + 1
-                at = np.flatnonzero(route >= 0)
-                at = at[np.lexsort((columns[1][at], route[at] * len(words) + columns[0][at]))]
-                rows = np.stack([c[at] for c in columns] + [light[at]])
-                route = route[at]
-                del columns, light, heavy, at
-                cuts = np.flatnonzero(np.diff(route)) + 1
-                used = np.zeros(len(words), np.int64)
-                for number, part in zip(route[np.concatenate([[0], cuts])] if len(route) else (),
-                                        np.split(rows, cuts, axis=1)):
-                    present = np.zeros(len(words), bool)
-                    present[part[:DEPTH]] = True
-                    present[0] = False
-                    own = np.flatnonzero(present)
-                    used[own] = np.arange(1, len(own) + 1)
-                    part = np.vstack([used[part[:DEPTH]], part[DEPTH:]])
-                    wide = len(own) >= 1 << 16
-                    data = part.astype("<u4" if wide else "<u2").tobytes()
-                    yield pa.RecordBatch.from_pylist([{
-                        "group": number, "lang": lang, "wide": wide, "n": part.shape[1],
-                        "words": b"\n".join([words[i] for i in own.tolist()]),
-                        "suffixes": pa.compress(data, "zstd", asbytes=True)}], schema)
+        for row in rows_of(batches):
+            words, sequence = unpacked(row)
+            lang, group = row["lang"], shared.value.group
+            places, kept, heavy = shared.value.suffixes(lang, words, sequence, DEPTH)
+            size = len(sequence)
+            columns = [kept[:size]]
+            for k in range(1, DEPTH):
+                columns.append(np.where(columns[-1] > 0, kept[k:k + size], np.int32(0)))
+            route = np.where(columns[1] > 0, group[places % SHARES][columns[0]], -1)
+            light = np.ones(size, np.int32)
+            for k, own in enumerate(heavy, 1):
+                # What a heavy prefix starts goes by one word more; if there is none,
+                # or no room for one, its phrases are counted already.
+                at = np.flatnonzero(own >= 0)
+                route[at] = -1
+                if k + 1 >= DEPTH:
+                    continue
+                at = at[columns[k][at] > 0]
+                key = own[at] * len(words) + columns[k][at]
+                _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+                phrases = [b" ".join([words[w] for w in kept[s:s + k + 1].tolist()])
+                           for s in at[first].tolist()]
+                of = np.array([place_of(lang, p) % SHARES for p in phrases], np.int64)
+                route[at] = group[of[inverse]] if len(of) else route[at]
+                light[at] = k + 1
+            at = np.flatnonzero(route >= 0)
+            at = at[np.lexsort((columns[1][at], route[at] * len(words) + columns[0][at]))]
+            rows = np.stack([c[at] for c in columns] + [light[at]])
+            route = route[at]
+            del columns, light, heavy, at
+            cuts = np.flatnonzero(np.diff(route)) + 1
+            used = np.zeros(len(words), np.int64)
+            for number, part in zip(route[np.concatenate([[0], cuts])] if len(route) else (),
+                                    np.split(rows, cuts, axis=1)):
+                present = np.zeros(len(words), bool)
+                present[part[:DEPTH]] = True
+                present[0] = False
+                own = np.flatnonzero(present)
+                used[own] = np.arange(1, len(own) + 1)
+                part = np.vstack([used[part[:DEPTH]], part[DEPTH:]])
+                wide = len(own) >= 1 << 16
+                data = part.astype("<u4" if wide else "<u2").tobytes()
+                yield pa.RecordBatch.from_pylist([{
+                    "group": number, "lang": lang, "wide": wide, "n": part.shape[1],
+                    "words": b"\n".join([words[i] for i in own.tolist()]),
+                    "suffixes": pa.compress(data, "zstd", asbytes=True)}], schema)
 
     return read.mapInArrow(
         run, "group long, lang string, words binary, wide boolean, n int, suffixes binary")
@@ -385,11 +389,10 @@ def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        for batch in batches:
-            for row in rows_of(batch):
-                if held and (held[0]["group"], held[0]["lang"]) != (row["group"], row["lang"]):
-                    yield from found(held)
-                held.append(row)
+        for row in rows_of(batches):
+            if held and (held[0]["group"], held[0]["lang"]) != (row["group"], row["lang"]):
+                yield from found(held)
+            held.append(row)
         if held:
             yield from found(held)
 
@@ -452,13 +455,13 @@ def mine(
     many suffixes they start, prefixes of more than a group are extended first, and every
     group's suffixes, cut off after five words, go to one task, which builds their tree.
     """
-    read = written(blocks(docs), "blocks")
-    counted = written(word_counts(read), "words")
+    read = written(blocks(docs), "blocks", TEXTS)
+    counted = written(word_counts(read), "words", BLOCKS)
     words = written(counted.filter(F.col("n") >= least), "frequent-words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     partition, known = partitioned(read, words, least, group)
     found = reduce(DataFrame.unionByName, known, phrase_counts(routed(read, partition), least))
-    phrases = written(found.withColumnRenamed("n", "a"), "phrases")
+    phrases = written(found.withColumnRenamed("n", "a"), "phrases", BLOCKS)
     kept = maximal(scored(phrases, words, totals))
     order = W.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     return kept.withColumn("rank", F.row_number().over(order).cast("long")).filter(

@@ -8,10 +8,12 @@ from itertools import product
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from storepulse.llm import collocations, conversations, topk
+from storepulse.llm.common import BATCH, written
 from tests.llm.conftest import CLASHING, documents
 
 
@@ -88,6 +90,29 @@ def test_phrases_over_closed_blocks_and_sliced_texts(spark, monkeypatch):
         b"ab", b"cd", b"\xff", b"ef", b"gh", b"ab", b"abcdefghijklmnop", b"q"]
 
 
+def test_phrases_send_workers_a_block_at_a_time(spark, monkeypatch):
+    at_once = {}
+    monkeypatch.setattr(collocations, "written", lambda rows, purpose, n=None: (
+        at_once.setdefault(purpose, n), written(rows, purpose, n))[1])
+    before = spark.conf.get(BATCH)
+    rows = phrase_docs(spark)
+    found = collocations.mine(given(spark, rows), 3, 40, 200).collect()
+    assert sorted(map(tuple, found)) == mined_plainly(rows, 3, 40)
+    assert at_once["blocks"] == collocations.TEXTS
+    assert {at_once[p] for p in ("words", "prefixes-2", "phrases")} == {collocations.BLOCKS}
+    assert spark.conf.get(BATCH) == before
+
+
+def test_written_by_few_rows_at_once(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows = spark.range(10).coalesce(1).mapInArrow(sizes, "n long")
+    assert sorted(r.n for r in written(rows, "test-few", 3).collect()) == [1, 3, 3, 3]
+    assert [r.n for r in written(rows, "test-all").collect()] == [10]
+
+
 def test_phrases_of_awkward_texts(spark, awkward, nothing):
     assert collocations.mine(nothing).collect() == []
     long = collocations.mine(awkward, least=60).collect()
