@@ -26,6 +26,8 @@ GROUP, MOST_GROUPS, LARGEST, BUILT = 1 << 20, 1 << 10, 1 << 23, 1 << 18
 SHARES = 1 << 16
 # Bits that tell which words may be frequent, and bits of one bitmap.
 BITS, BITMAP = 1 << 26, 1 << 15
+# Word pairs that a worker counts at a time, and a share of them by hash, which a task sums.
+PAIRS, PAIR_SHARE = 1 << 21, 1 << 21
 # Bytes of a text that are split at a time.
 SLICE = 1 << 20
 # Rows of a batch for a Python worker, of texts and of blocks. Spark holds a batch outside
@@ -119,7 +121,7 @@ def unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
     return [b"", *row["words"].split(b"\n")], np.frombuffer(row["tokens"], "<i4")
 
 
-COUNTED = "lang string, phrase string, n long, place long"
+COUNTED = "lang string, phrase string, n long"
 
 
 def counts(lang: str, phrases: list[bytes], n: np.ndarray) -> pa.RecordBatch:
@@ -127,17 +129,27 @@ def counts(lang: str, phrases: list[bytes], n: np.ndarray) -> pa.RecordBatch:
         pa.array([lang] * len(phrases), pa.string()),
         pa.array([p.decode() for p in phrases], pa.string()),
         pa.array(n.astype(np.int64)),
-        pa.array([place_of(lang, p) for p in phrases], pa.int64()),
-    ], ["lang", "phrase", "n", "place"])
+    ], ["lang", "phrase", "n"])
 
 
 def summed(partial: DataFrame) -> DataFrame:
-    return partial.groupBy("lang", "phrase").agg(
-        F.sum("n").alias("n"), F.first("place").alias("place"))
+    return partial.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def placed(counted: DataFrame) -> DataFrame:
+    """``lang, phrase, n, place``: with the hash of each phrase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = [place_of(lang, phrase.encode()) for lang, phrase in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield batch.append_column("place", pa.array(places, pa.int64()))
+
+    return counted.mapInArrow(run, f"{COUNTED}, place long")
 
 
 def word_counts(read: DataFrame) -> DataFrame:
-    """``lang, phrase, n, place`` of every word: the prefixes of length one."""
+    """``lang, phrase, n`` of every word: the prefixes of length one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
@@ -149,29 +161,155 @@ def word_counts(read: DataFrame) -> DataFrame:
     return summed(read.mapInArrow(run, COUNTED))
 
 
+def is_set(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    bit = place % BITS
+    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def bitmap_of(places: DataFrame) -> np.ndarray:
+    """BITS bits, of which those of these rows' ``place`` are set."""
+    bit = F.col("place") % BITS
+    out = np.zeros(BITS // 8, np.uint8)
+    for row in places.groupBy(F.floor(bit / BITMAP).alias("bitmap")).agg(
+            F.bitmap_construct_agg((bit % BITMAP).cast("long")).alias("bits")).toLocalIterator():
+        own = np.frombuffer(row.bits, np.uint8)
+        out[row.bitmap * (BITMAP // 8):][:len(own)] = own
+    return out
+
+
+def frequent_words(
+    frequent: np.ndarray, lang: str, words: list[bytes], sequence: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a block's words, and its sequence with 0 for those that are not frequent."""
+    places = np.array([place_of(lang, w) for w in words], np.int64)
+    often = is_set(frequent, places)
+    often[0] = False
+    return places, np.where(often[sequence], sequence, np.int32(0))
+
+
+def pair_places(places: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """63 bits that pairs of words hash to, from the places of the words."""
+    mixed = places.astype(np.uint64)[first] * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed += places.astype(np.uint64)[second]
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0x94D049BB133111EB)
+    return ((mixed ^ mixed >> np.uint64(31)) >> np.uint64(1)).astype(np.int64)
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 by their bytes, the first ones first: the last ones are mostly 0."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unplaned(data: bytes) -> np.ndarray:
+    return np.frombuffer(np.frombuffer(data, np.uint8).reshape(4, -1).T.tobytes(), "<u4")
+
+
+def frequent_pairs(read: DataFrame, frequent: np.ndarray, least: int, everything: int) -> np.ndarray:
+    """A bitmap of the word pairs that occur ``least`` times, and few others.
+
+    Workers count pairs of frequent words by hash, ``PAIRS`` places at a time, and send the
+    sorted hashes as differences. A task sums those of a share; there are as many shares as
+    ``everything``, the places of frequent words, asks for. Pairs whose hashes meet
+    may pass without need; none that is frequent is missed.
+    """
+    shared = read.sparkSession.sparkContext.broadcast(frequent)
+    shares = max(1, everything // PAIR_SHARE)
+
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        places = np.concatenate(held)
+        key = (places >> 32) % shares << 32 | places & 0xFFFFFFFF
+        key.sort()
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        n = np.diff(first, append=len(key))
+        key = key[first]
+        own = key >> 32
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(key)]])
+        for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            steps = np.diff(key[begin:end] & 0xFFFFFFFF, prepend=0)
+            data = planes(steps) + planes(n[begin:end])
+            yield pa.RecordBatch.from_pylist([{
+                "share": int(own[begin]), "n": end - begin,
+                "pairs": pa.compress(data, "zstd", asbytes=True)}])
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for row in rows_of(batches):
+            words, sequence = unpacked(row)
+            places, kept = frequent_words(shared.value, row["lang"], words, sequence)
+            at = np.flatnonzero((kept[:-1] > 0) & (kept[1:] > 0))
+            if len(at):
+                held.append(pair_places(places, kept[at], kept[at + 1]))
+            if sum(map(len, held)) >= PAIRS:
+                yield from counted(held)
+                held = []
+        if held:
+            yield from counted(held)
+
+    def often(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        key, n = (np.concatenate(column) for column in zip(*parts))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        total = np.add.reduceat(n[order].astype(np.int64), first)
+        found = key[first[total >= least]].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(found)], ["place"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, held = None, []
+        for row in rows_of(batches):
+            if held and share != row["share"]:
+                yield often(held)
+                held = []
+            data = pa.decompress(row["pairs"], 8 * row["n"], "zstd", asbytes=True)
+            steps, n = unplaned(data[:4 * row["n"]]), unplaned(data[4 * row["n"]:])
+            held.append((np.cumsum(steps, dtype=np.int64).astype(np.uint32), n))
+            share = row["share"]
+        if held:
+            yield often(held)
+
+    rows = read.mapInArrow(sent, "share long, n long, pairs binary").repartition(
+        "share").sortWithinPartitions("share")
+    return bitmap_of(written(rows.mapInArrow(sums, "place long"), "frequent-pairs", BLOCKS))
+
+
 @dataclass
 class Partition:
-    """Which words may be frequent, which prefixes are heavy, and the groups of the others.
+    """Which words and pairs may be frequent, which prefixes are heavy, and the groups of the others.
 
-    Bounded: ``frequent`` by BITS, ``group`` by SHARES, ``heavy`` by the number of suffixes
-    over the size of a group, for each depth.
+    Bounded: ``frequent`` and ``pairs`` by BITS, ``group`` by SHARES, ``heavy`` by the number
+    of suffixes over the size of a group, for each depth.
     """
 
     frequent: np.ndarray
+    pairs: np.ndarray
     heavy: list[dict[str, list[bytes]]]
     group: np.ndarray
 
+    def parted(self, places: np.ndarray, kept: np.ndarray) -> np.ndarray:
+        """The sequence without words that are in no frequent pair, and with a 0 between
+        neighbours that are none: no frequent phrase crosses it."""
+        joined = np.zeros(len(kept) + 1, bool)
+        at = np.flatnonzero((kept[:-1] > 0) & (kept[1:] > 0))
+        joined[at + 1] = is_set(self.pairs, pair_places(places, kept[at], kept[at + 1]))
+        before, after = joined[:-1], joined[1:]
+        at = np.flatnonzero(before | after)
+        last = ~after[at]
+        out = np.zeros(len(at) + int(last.sum()), np.int32)
+        out[np.arange(len(at)) + np.cumsum(last) - last] = kept[at]
+        return out
+
     def suffixes(self, lang: str, words: list[bytes], sequence: np.ndarray, depth: int):
-        """The sequence without words that are not frequent, and by depth, for each place
-        the number of the heavy prefix that starts there, or -1."""
-        places = np.array([place_of(lang, w) for w in words], np.int64)
-        bit = places % BITS
-        often = (self.frequent[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
-        often[0] = 0
-        kept = np.concatenate([np.where(often[sequence], sequence, np.int32(0)),
-                               np.zeros(depth, np.int32)])
+        """The parts of the sequence that frequent phrases can lie in, and by depth, for each
+        place of these the number of the heavy prefix that starts there, or -1."""
+        places, kept = frequent_words(self.frequent, lang, words, sequence)
+        kept = self.parted(places, kept)
+        size = len(kept)
+        kept = np.concatenate([kept, np.zeros(depth, np.int32)])
         number = {w: i for i, w in enumerate(words)}
-        size, names, found = len(sequence), {(): 0}, [np.zeros(len(sequence), np.int64)]
+        names, found = {(): 0}, [np.zeros(size, np.int64)]
         for k, of_lang in enumerate(self.heavy, 1):
             keys, ahead = [], {}
             for phrase in of_lang.get(lang, ()):
@@ -198,7 +336,7 @@ def extensions(read: DataFrame, partition: Partition, depth: int) -> DataFrame:
         for row in rows_of(batches):
             words, sequence = unpacked(row)
             _, kept, heavy = shared.value.suffixes(row["lang"], words, sequence, DEPTH)
-            at = np.flatnonzero((heavy[-1] >= 0) & (kept[depth - 1:depth - 1 + len(sequence)] > 0))
+            at = np.flatnonzero((heavy[-1] >= 0) & (kept[depth - 1:depth - 1 + len(heavy[-1])] > 0))
             key = heavy[-1][at] * len(words) + kept[at + depth - 1]
             _, first, n = np.unique(key, return_index=True, return_counts=True)
             for i in range(0, len(first), 1 << 16):
@@ -219,21 +357,18 @@ def partitioned(
     a phrase may be; light prefixes are packed into groups by their counts.
     """
     often = words.filter(F.col("n") >= least)
-    bit = F.col("place") % BITS
-    frequent = np.zeros(BITS // 8, np.uint8)
-    for row in often.groupBy(F.floor(bit / BITMAP).alias("bitmap")).agg(
-            F.bitmap_construct_agg((bit % BITMAP).cast("long")).alias("bits")).toLocalIterator():
-        own = np.frombuffer(row.bits, np.uint8)
-        frequent[row.bitmap * (BITMAP // 8):][:len(own)] = own
+    frequent = bitmap_of(often)
     everything = often.agg(F.sum("n")).first()[0] or 0
+    pairs = frequent_pairs(read, frequent, least, everything)
     size = min(max(group, everything // MOST_GROUPS), max(group, LARGEST))
     share = (F.col("place") % SHARES).cast("int").alias("share")
     weights = np.zeros(SHARES, np.int64)
-    partition = Partition(frequent, [], np.zeros(SHARES, np.int64))
+    partition = Partition(frequent, pairs, [], np.zeros(SHARES, np.int64))
     level, known = often, []
     for depth in range(1, DEPTH + 1):
         if depth > 1:
-            level = written(extensions(read, partition, depth), f"prefixes-{depth}", BLOCKS)
+            level = placed(written(
+                extensions(read, partition, depth), f"prefixes-{depth}", BLOCKS))
         if depth == DEPTH:
             known.append(level.filter(F.col("n") >= least).withColumn("words", F.lit(depth)))
             break
@@ -274,7 +409,7 @@ def routed(read: DataFrame, partition: Partition) -> DataFrame:
             words, sequence = unpacked(row)
             lang, group = row["lang"], shared.value.group
             places, kept, heavy = shared.value.suffixes(lang, words, sequence, DEPTH)
-            size = len(sequence)
+            size = len(kept) - DEPTH
             columns = [kept[:size]]
             for k in range(1, DEPTH):
                 columns.append(np.where(columns[-1] > 0, kept[k:k + size], np.int32(0)))
@@ -451,13 +586,14 @@ def mine(
     frequent phrase holds each time is left out. Ties go to the more frequent, then to the
     phrase. Repeated rows count each time. No rows, or no frequent phrase, give no rows.
 
-    Texts are split once, into blocks of numbered words. Word prefixes are grouped by how
-    many suffixes they start, prefixes of more than a group are extended first, and every
-    group's suffixes, cut off after five words, go to one task, which builds their tree.
+    Texts are split once, into blocks of numbered words, and parted between words that are
+    no frequent pair. Word prefixes are grouped by how often they occur, prefixes of more than
+    a group are extended first, and every group's suffixes, cut off after five words, go to
+    one task, which builds their tree.
     """
     read = written(blocks(docs), "blocks", TEXTS)
     counted = written(word_counts(read), "words", BLOCKS)
-    words = written(counted.filter(F.col("n") >= least), "frequent-words")
+    words = written(placed(counted.filter(F.col("n") >= least)), "frequent-words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     partition, known = partitioned(read, words, least, group)
     found = reduce(DataFrame.unionByName, known, phrase_counts(routed(read, partition), least))

@@ -113,6 +113,28 @@ def test_written_by_few_rows_at_once(spark):
     assert [r.n for r in written(rows, "test-all").collect()] == [10]
 
 
+def test_phrases_send_suffixes_of_frequent_pairs_only(spark, monkeypatch):
+    """Words that are frequent side by side; each rare pair of them parts a text."""
+    monkeypatch.setattr(collocations, "PAIRS", 50)
+    monkeypatch.setattr(collocations, "PAIR_SHARE", 500)
+    random = np.random.default_rng(4)
+    words = np.array([f"w{i}" for i in range(60)])
+    rows = [(["en", None][i % 2], " ".join([*random.choice(words, 40), "so it is said"]))
+            for i in range(150)]
+    sent, routed = [], collocations.routed
+    monkeypatch.setattr(collocations, "routed", lambda *a: (sent.append(routed(*a)), sent[0])[1])
+    found = collocations.mine(given(spark, rows), 20, 40, 200).collect()
+    assert sorted(map(tuple, found)) == mined_plainly(rows, 20, 40)
+    places = 150 * 43
+    assert sent[0].agg(F.sum("n")).first()[0] < places // 5
+
+
+def test_pairs_are_packed_by_their_bytes():
+    numbers = np.array([0, 1, 255, 256, 70_000, (1 << 32) - 1], np.int64)
+    assert collocations.unplaned(collocations.planes(numbers)).tolist() == numbers.tolist()
+    assert len(collocations.unplaned(collocations.planes(numbers[:0]))) == 0
+
+
 def test_phrases_of_awkward_texts(spark, awkward, nothing):
     assert collocations.mine(nothing).collect() == []
     long = collocations.mine(awkward, least=60).collect()
