@@ -56,6 +56,48 @@ def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return slot, np.concatenate([owner, others])
 
 
+def frequent_places(
+    symbols: np.ndarray, shut: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places not ``shut`` of pairs that occur ``LEAST`` times or more, the number of the pair
+    at each, and by number the pairs (as keys of 64 bits) and how often they occur.
+
+    Pairs and their places are sorted as one integer where they fit in 64 bits.
+    """
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = np.flatnonzero(~shut[:-1])
+    if len(at) < LEAST:
+        return none
+    wide, far = int(symbols.max()).bit_length(), len(symbols).bit_length()
+    if 2 * wide + far > 64:
+        at = perhaps_frequent(symbols, shut)
+        number, key_of = numbered(symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1])
+        counts = np.bincount(number, minlength=len(key_of))
+        often = counts >= LEAST
+        kept = often[number]
+        return at[kept], (np.cumsum(often) - 1)[number[kept]], key_of[often], counts[often]
+    packed = symbols[at].astype(np.uint64)
+    packed <<= np.uint64(wide)
+    packed |= symbols[at + 1]
+    packed <<= np.uint64(far)
+    packed |= at.view(np.uint64)
+    packed.sort()
+    pair = packed >> np.uint64(far)
+    ends = np.append(np.flatnonzero(pair[1:] != pair[:-1]) + 1, len(pair))
+    counts = np.diff(ends, prepend=0)
+    often = np.flatnonzero(counts >= LEAST)
+    ends, counts = ends[often], counts[often]
+    pair = pair[ends - 1]
+    key_of = pair >> np.uint64(wide) << np.uint64(32) | pair & np.uint64((1 << wide) - 1)
+    places = packed[stretches(ends - counts, counts)] & np.uint64((1 << far) - 1)
+    places <<= np.uint64(32)
+    places |= np.repeat(np.arange(len(often), dtype=np.uint64), counts)
+    places.sort()
+    number = places & np.uint64(0xFFFFFFFF)
+    places >>= np.uint64(32)
+    return places.view(np.int64), number.view(np.int64), key_of, counts
+
+
 def replace_pairs(
     symbols: np.ndarray, last: np.ndarray, shut: np.ndarray, first_new: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -69,22 +111,15 @@ def replace_pairs(
     round that makes it, so none gains any later. Gives symbols, both marks and the pairs,
     none if no pair occurs ``LEAST`` times.
     """
-    none = symbols, last, shut, np.zeros((0, 2), np.uint32)
-    at = perhaps_frequent(symbols, shut)
-    if len(at) < LEAST:
-        return none
-    keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
-    number, key_of = numbered(keys)
-    counts = np.bincount(number, minlength=len(key_of))
-    most = counts.max()
-    if most < LEAST:
-        return none
-    chosen = np.flatnonzero(counts >= max(LEAST, most * SHARE))
+    at, number, key_of, counts = frequent_places(symbols, shut)
+    if not len(at):
+        return symbols, last, shut, np.zeros((0, 2), np.uint32)
+    chosen = np.flatnonzero(counts >= counts.max() * SHARE)
     chosen = chosen[np.lexsort((key_of[chosen], -counts[chosen]))]
-    rank_of = np.full(len(key_of), -1, np.int64)
+    rank_of = np.full(len(key_of), -1, np.int32)
     rank_of[chosen] = np.arange(len(chosen))
     shut = np.ones(len(symbols), bool)
-    shut[at[(counts >= LEAST)[number]]] = False
+    shut[at] = False
     rank = rank_of[number]
     hit = np.flatnonzero(rank >= 0)
     at, rank = at[hit], rank[hit]
@@ -99,7 +134,7 @@ def replace_pairs(
     stays = np.ones(len(begin), bool)
     stays[1:] &= ~touching | lower
     stays[:-1] &= ~(touching & lower)
-    taken = stays[run] & ((np.arange(len(at)) - begin[run]) % 2 == 0)
+    taken = stays[run] & ((np.arange(len(at)) - begin[run]) & 1 == 0)
     at, rank = at[taken], rank[taken]
     enough = np.bincount(rank, minlength=len(chosen)) >= LEAST // 2
     kept = enough[rank]

@@ -168,3 +168,21 @@ def test_repair_shuts_rare_pairs_for_good():
         assert kept <= often
         new += len(rules)
     assert not often and new > 3_001
+
+
+def test_repair_sorts_pairs_with_their_places_or_apart():
+    """Small symbols fit in one integer with their place, large ones do not: the same rounds."""
+    draw = np.random.default_rng(6)
+    small = draw.zipf(1.4, 30_000).clip(max=2_000).astype(np.uint32)
+    shut = draw.random(len(small)) < 0.1
+    shut[-1] = True
+    pairs = Counter((a, b) for a, b, end in zip(small.tolist(), small[1:].tolist(), shut) if not end)
+    expected = [(i, (int(a), int(b)), pairs[a, b]) for i, (a, b) in enumerate(zip(
+        small.tolist(), small[1:].tolist())) if not shut[i] and pairs[a, b] >= repair.LEAST]
+    for far in (0, 1 << 31):
+        at, number, key_of, counts = repair.frequent_places(small + np.uint32(far), shut)
+        found = [(i, ((key_of[k] >> np.uint64(32)) - far, (key_of[k] & np.uint64(0xFFFFFFFF)) - far), counts[k])
+                 for i, k in zip(at.tolist(), number.tolist())]
+        assert found == expected
+    for few in (small[:1], small[:3]):
+        assert not any(map(len, repair.frequent_places(few, np.array([False] * (len(few) - 1) + [True]))))
