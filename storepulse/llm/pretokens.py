@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -135,11 +135,13 @@ class Chunks:
                 found[i] = late[p] = early[p]
             else:
                 missing.append(i)
-        coded = list(self.encode([pretokens[i] for i in missing])) if missing else []
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        data = np.fromiter(chain.from_iterable(coded), "<u4", int(sizes.sum())).tobytes()
-        ends = (4 * np.cumsum(sizes)).tolist()
-        for i, begin, end in zip(missing, [0, *ends][:-1], ends, strict=True):
+        # One pretoken's ids at a time: lists of all would set off the garbage collector.
+        ids, ends = array("I"), [0]
+        for own in self.encode([pretokens[i] for i in missing]) if missing else ():
+            ids.extend(own)
+            ends.append(ids.itemsize * len(ids))
+        data = np.array(ids, "<u4").tobytes()
+        for i, begin, end in zip(missing, ends[:-1], ends[1:], strict=True):
             found[i] = late[pretokens[i]] = data[begin:end]
         return found
 

@@ -38,10 +38,10 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks = Chunks(regex.compile(pattern), self.encode_pretokens)
 
-    def encode_pretokens(self, pretokens: Sequence[bytes]) -> list[list[int]]:
+    def encode_pretokens(self, pretokens: Sequence[bytes]) -> Iterator[list[int]]:
         tokenize = self.model.tokenize
         spelt = APART.join([p.decode("latin-1") for p in pretokens]).translate(LETTERS)
-        return [[t.id for t in tokenize(p)] for p in spelt.split(APART)]
+        return ([t.id for t in tokenize(p)] for p in spelt.split(APART))
 
     def data(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids as little-endian unsigned 32-bit integers.
