@@ -27,7 +27,7 @@ from storepulse.plans import delivery, kpis, reports
 from storepulse.schemas import (
     MESSAGE, MORE_TABLES, ORDER_EVENT, SALE_EVENT, TABLES, struct,
 )
-from storepulse.sinks import buckets, documents, manifest
+from storepulse.sinks import buckets, documents, manifest, runs
 from storepulse.sinks.reports import plain_numbers, write_report_csv
 from storepulse.sinks.tables import (
     export_tables, write_csv, write_json, write_lines, write_sales_by_month,
@@ -81,15 +81,14 @@ def sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_months_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table by month whose sales of 1997 are wrong at first, then replaced at once."""
     path, joined = scratch_path(spark, "sales-months"), scratch_path(spark, "sales-joined")
-    enriched = tables.enriched_sales(spark, sf_dir)
+    enriched = manifest.with_month(tables.enriched_sales(spark, sf_dir))
     # Joined once for both writes: as files a sale takes a fraction of what joining it shuffles.
-    enriched.write.parquet(joined)
-    enriched = files.read_parquet(spark, joined, enriched.schema)
+    # Each file is sorted by month, so that neither write shuffles the sales by month.
+    sales = runs.write_sorted(enriched, joined, "month")
     wrong = F.when(F.year("sold_at") == 1997, F.col("amount") + 1).otherwise(F.col("amount"))
-    manifest.replace_sales_by_month(enriched.withColumn("amount", wrong), path)
-    manifest.replace_sales_by_month(enriched.filter(F.year("sold_at") == 1997), path)
-    schema = StructType(list(enriched.schema.fields)).add("month", "string")
-    return manifest.read(spark, path, schema, "month").drop("month")
+    for rows in (sales.withColumn("amount", wrong), sales.filter(F.year("sold_at") == 1997)):
+        manifest.replace_sales_by_month(runs.gathered(rows, "month"), path, gathered=True)
+    return manifest.read(spark, path, enriched.schema, "month").drop("month")
 
 
 def sales_enriched_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:

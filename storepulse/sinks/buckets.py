@@ -28,13 +28,18 @@ def buckets_for(data_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     return 1 << (max(1, ceil(data_bytes / bucket_bytes)) - 1).bit_length()
 
 
-def planned_bytes(rows: DataFrame) -> int:
-    """What the rows take in the memory of a sort; counts them, which parquet does by footers.
+def row_bytes(schema: StructType) -> int:
+    """What a row takes in the memory of a sort.
 
     Files are no measure: packed columns take a small part of what a sort holds of them.
     """
-    text = sum(f.dataType.typeName() in ("string", "binary") for f in rows.schema.fields)
-    return rows.count() * (ROW_BYTES + 8 * len(rows.columns) + TEXT_BYTES * text)
+    text = sum(f.dataType.typeName() in ("string", "binary") for f in schema.fields)
+    return ROW_BYTES + 8 * len(schema.fields) + TEXT_BYTES * text
+
+
+def planned_bytes(rows: DataFrame) -> int:
+    """What the rows take in a sort; counts them, which parquet does by footers."""
+    return rows.count() * row_bytes(rows.schema)
 
 
 def write_bucketed(rows: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:

@@ -84,16 +84,18 @@ def _publish(spark: SparkSession, path: str, version: int, content: dict) -> Non
         raise
 
 
-def stage(rows: DataFrame, path: str, by: str) -> dict[str, str]:
+def stage(rows: DataFrame, path: str, by: str, gathered: bool = False) -> dict[str, str]:
     """Write rows to folders of their own; gives the folder of each partition in them.
 
-    Nothing reads those folders until ``publish`` names them.
+    Nothing reads those folders until ``publish`` names them. Of ``gathered`` rows a task has
+    those of a few partitions already (see ``sinks/runs.py``); others are shuffled.
     """
     spark = rows.sparkSession
     write = uuid.uuid4().hex
     folder = f"{path}/data/write={write}"
     # Each partition is gathered into files of the advisory size; AQE cuts a large one.
-    rows.hint("rebalance", by).write.partitionBy(by).parquet(folder)
+    dealt = rows if gathered else rows.hint("rebalance", by)
+    dealt.write.partitionBy(by).parquet(folder)
     return {name.split("=", 1)[1]: write for name in _names(spark, folder)
             if name.startswith(f"{by}=")}
 
@@ -115,10 +117,11 @@ def publish(spark: SparkSession, path: str, staged: dict[str, str], base: dict,
     return version
 
 
-def replace(rows: DataFrame, path: str, by: str, whole: bool = False) -> int:
+def replace(rows: DataFrame, path: str, by: str, whole: bool = False,
+            gathered: bool = False) -> int:
     """Replace the partitions that ``rows`` has rows of, or the whole table, at once."""
     base = manifest(rows.sparkSession, path)
-    return publish(rows.sparkSession, path, stage(rows, path, by), base, whole)
+    return publish(rows.sparkSession, path, stage(rows, path, by, gathered), base, whole)
 
 
 def read(spark: SparkSession, path: str, schema: StructType, by: str,
@@ -156,8 +159,11 @@ def clean(spark: SparkSession, path: str, keep: int = 2) -> None:
             files.delete(_path(spark, f"{path}/manifests/{name}"), False)
 
 
+def with_month(sales: DataFrame, time_column: str = "sold_at") -> DataFrame:
+    return sales.withColumn("month", F.date_format(time_column, "yyyy-MM"))
+
+
 def replace_sales_by_month(sales: DataFrame, path: str, time_column: str = "sold_at",
-                           whole: bool = False) -> int:
+                           whole: bool = False, gathered: bool = False) -> int:
     """Replace the months that ``sales`` has sales of; the other months stay as they are."""
-    month = F.date_format(time_column, "yyyy-MM")
-    return replace(sales.withColumn("month", month), path, "month", whole)
+    return replace(with_month(sales, time_column), path, "month", whole, gathered)

@@ -86,14 +86,20 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sale line with its order, customer, product and store.
 
-    The narrow sides, product and store, are attached to the lines first; customers are
-    attached to the orders, which are several times fewer, and the orders come last.
+    Where no side is small enough to broadcast, each lookup shuffles the lines with all that
+    they have by then. So the store comes first, which adds least to a line, then the product;
+    customers are attached to the orders, which are several times fewer. The orders come last:
+    then the lines of an order lie together, and files of them pack well.
     """
     sold, placed = sale_lines(spark, sf_dir), sale_orders(spark, sf_dir)
-    with_product = lookup(sold, products(spark, sf_dir), "product_id")
-    with_store = lookup(with_product, stores(spark, sf_dir), "store_id")
+    known_stores, known_products = stores(spark, sf_dir), products(spark, sf_dir)
+    with_store = lookup(sold, known_stores, "store_id")
+    with_product = lookup(with_store, known_products, "product_id")
     known_orders = lookup(placed, customers(spark, sf_dir), "customer_id")
-    return lookup(with_store, known_orders, "order_id")
+    sides = (sold, known_products, known_stores, known_orders)
+    columns = (name for side in sides for name in side.columns)
+    return lookup(with_product, known_orders, "order_id").select(
+        *dict.fromkeys(["order_id", "store_id", "product_id", *columns]))
 
 
 def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
