@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
